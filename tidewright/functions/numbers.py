@@ -1,32 +1,36 @@
 """Number expressions: parsing, rounding, empty values."""
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def py_round(value: Column, digits: int) -> Column:
-    """Round as Python's round() does: to the nearest decimal, ties to even.
+def py_round(name: str, digits: int) -> Column:
+    """Round a column as Python's round() does: to the nearest decimal, ties to even.
 
     A double such as 2.675 lies a little below the decimal it prints as, so
     scaling it can land on .5 although it is no tie. There the exact sign of
     (k + .5) - scale * value decides; it is found by subtracting the
     power-of-two multiples that make up the scale, each step being exact.
+
+    It takes a column name, as the value occurs many times in the expression.
     """
+    value = f"`{name}`"
     if digits == 0:
-        return F.bround(value)
+        return F.expr(f"bround({value})")
     scale = 10 ** digits
-    scaled = value * F.lit(float(scale))
-    below = F.floor(scaled).cast("double")
-    rest = below + F.lit(0.5)
-    for bit in reversed(range(scale.bit_length())):
-        if scale >> bit & 1:
-            rest = rest - value * F.lit(float(1 << bit))
-    half = (scaled - below) == 0.5
-    return (
-        F.when(half & (rest > 0), below)
-        .when(half & (rest < 0), below + 1)
-        .otherwise(F.bround(scaled))
-    ) / F.lit(float(scale))
+    scaled = f"({value} * {scale}D)"
+    below = f"CAST(floor({scaled}) AS DOUBLE)"
+    multiples = [bit for bit in reversed(range(scale.bit_length())) if scale >> bit & 1]
+    rest = f"({below} + 0.5D" + "".join(f" - {value} * {1 << bit}D" for bit in multiples) + ")"
+    return F.expr(
+        f"CASE WHEN {scaled} - {below} = 0.5D AND {rest} > 0 THEN {below} "
+        f"WHEN {scaled} - {below} = 0.5D AND {rest} < 0 THEN {below} + 1 "
+        f"ELSE bround({scaled}) END / {scale}D")
+
+
+def round_columns(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    """Columns rounded in place."""
+    return df.withColumns({name: py_round(name, digits) for name in names})
 
 
 def js_round(value: Column, digits: int = 0) -> Column:

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numbers import py_round
+from ..functions.numbers import round_columns
 from .latest import keep_first
 
 
@@ -64,7 +64,7 @@ def ratio_guard(existing: DataFrame, incoming: DataFrame, group: str, groups: Se
     ratio = F.when(F.col("existing") > 0, F.col("incoming") / F.col("existing"))
     passed = (F.when(F.col("existing") == 0, True).when(F.col("incoming") == 0, False)
               .otherwise((ratio >= least) | F.lit(force)))
-    return counts.withColumn("ratio", py_round(ratio, 2)).withColumn("passed", passed)
+    return round_columns(counts.withColumns({"ratio": ratio, "passed": passed}), 2, "ratio")
 
 
 def replace_rows(incoming: DataFrame, existing: DataFrame, key: str, group: str,

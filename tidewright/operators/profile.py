@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import compass, fixed
-from ..functions.numbers import blank_as_null, py_round, zero_as_null
+from ..functions.numbers import blank_as_null, round_columns, zero_as_null
 from .ranks import cell_anchor, value_counts, values_at_ranks
 
 SUMMARY = ["n", "mean", "median", "std", "min", "max", "p25", "p75"]
@@ -30,31 +30,27 @@ def summary(df: DataFrame, keys: Sequence[str], value: str = "value",
 
 def summary_of_counts(counts: DataFrame, keys: Sequence[str], digits: int = 2) -> DataFrame:
     """Like summary, on rows per key and value."""
-    n, value, off = F.col("n"), F.col("value"), F.col("value") - cell_anchor(F.col("cell"))
-    cells = counts.groupBy(*keys, "cell").agg(
-        F.sum("n").alias("n"), F.sum(n * value).alias("total"),
-        F.sum(n * off).alias("off"), F.sum(n * off * off).alias("off2"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    ).withColumn("n", F.when(F.col("cell").isNotNull(), F.col("n")).otherwise(F.lit(0)))
+    value, off = F.col("value"), F.col("value") - cell_anchor(F.col("cell"))
+    cell_sums = [
+        F.sum(F.col("n") * value).alias("_sum"), F.sum(F.col("n") * off).alias("_off"),
+        F.sum(F.col("n") * off * off).alias("_off2"),
+        F.min("value").alias("_min"), F.max("value").alias("_max")]
     # Squared deviations cell by cell, then moved to the mean of the key: no
     # difference of large sums, so narrow spreads far from zero stay exact.
-    per_key = Window.partitionBy(*keys)
-    cells = cells.withColumn(
-        "_mean", F.sum("total").over(per_key) / F.sum("n").over(per_key))
-    cell_mean = cell_anchor(F.col("cell")) + F.col("off") / F.col("n")
-    spread = (F.col("off2") - F.col("off") * F.col("off") / F.col("n")
-              + F.col("n") * (cell_mean - F.col("_mean")) * (cell_mean - F.col("_mean")))
-    moments = cells.groupBy(*keys).agg(
-        F.sum("n").alias("n"), F.first("_mean").alias("mean"),
-        F.sum(F.when(F.col("n") > 0, spread)).alias("_spread"),
-        F.min("min").alias("min"), F.max("max").alias("max"))
-    ranks = values_at_ranks(counts, keys, {
+    from_mean = cell_anchor(F.col("cell")) + F.col("_off") / F.col("_in_cell") - F.col("mean")
+    spread = (F.col("_off2") - F.col("_off") * F.col("_off") / F.col("_in_cell")
+              + F.col("_in_cell") * from_mean * from_mean)
+    key_values = [
+        {"_total": F.sum("_sum"), "min": F.min("_min"), "max": F.max("_max")},
+        {"mean": F.max(F.col("_total") / F.col("n"))},
+        {"_spread": F.sum(F.when(F.col("_in_cell") > 0, spread))}]
+    found = values_at_ranks(counts, keys, {
         "_m0": lambda n: F.floor((n - 1) / 2), "_m1": lambda n: F.floor(n / 2),
-        "_a0": lambda n: F.floor((n - 1) * 25 / 100),
-        "_a1": lambda n: F.least(F.floor((n - 1) * 25 / 100) + 1, n - 1),
-        "_b0": lambda n: F.floor((n - 1) * 75 / 100),
-        "_b1": lambda n: F.least(F.floor((n - 1) * 75 / 100) + 1, n - 1),
-    })
+        "_a0": lambda n: F.floor((n - 1) * 0.25),
+        "_a1": lambda n: F.least(F.floor((n - 1) * 0.25) + 1, n - 1),
+        "_b0": lambda n: F.floor((n - 1) * 0.75),
+        "_b1": lambda n: F.least(F.floor((n - 1) * 0.75) + 1, n - 1),
+    }, cell_sums, key_values)
 
     def quartile(percent: int, low: str, high: str) -> Column:
         at = (F.col("n") - 1) * percent / 100.0
@@ -71,8 +67,8 @@ def summary_of_counts(counts: DataFrame, keys: Sequence[str], digits: int = 2) -
         "min": F.col("min"), "max": F.col("max"),
         "p25": quartile(25, "_a0", "_a1"), "p75": quartile(75, "_b0", "_b1"),
     }
-    return moments.join(ranks, [*keys], "left").select(
-        *keys, "n", *[py_round(column, digits).alias(name) for name, column in out.items()])
+    raw = found.select(*keys, "n", *[column.alias(name) for name, column in out.items()])
+    return round_columns(raw, digits, *out)
 
 
 def frequency(df: DataFrame, keys: Sequence[str], value: str, digits: int = 1) -> DataFrame:
@@ -84,7 +80,7 @@ def frequency(df: DataFrame, keys: Sequence[str], value: str, digits: int = 1) -
 
 def _share(counted: DataFrame, keys: Sequence[str], digits: int) -> DataFrame:
     total = F.sum("n").over(Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)]))
-    return counted.withColumn("pct", py_round(F.col("n") / total * 100, digits))
+    return round_columns(counted.withColumn("pct", F.col("n") / total * 100), digits, "pct")
 
 
 def amount(count: Column) -> Column:
@@ -146,10 +142,12 @@ def point_profiles(catch: DataFrame, current: DataFrame, group: str, day: str, p
     days = catch_days(catch, group, day).join(current, day)
     keys = [group, point]
     numbers = summary(metrics_long(days, keys, [speed, temp, salinity]), [*keys, "metric"])
-    present = numbers.where(F.col("metric").isin(speed, temp) & (F.col("n") > 0)
-                            ).select(*keys).distinct()
-    return (numbers.join(present, keys, "left_semi"),
-            sector_shares(days, keys, direction).join(present, keys, "left_semi"))
+    known = F.sum(F.when(F.col("metric").isin(speed, temp), F.col("n")))
+    numbers = (numbers.withColumn("_known", known.over(Window.partitionBy(*keys)))
+               .where(F.col("_known") > 0).drop("_known"))
+    present = days.groupBy(*keys).agg((F.count(speed) + F.count(temp)).alias("_known")).where(
+        F.col("_known") > 0).drop("_known")
+    return numbers, sector_shares(days, keys, direction).join(present, keys, "left_semi")
 
 
 def label_shares(catch: DataFrame, trend: DataFrame, group: str, day: str,
@@ -181,11 +179,11 @@ def month_means(df: DataFrame, day: str, point: str, means: Mapping[str, str],
                 digits: int, count_of: str, maxima: Mapping[str, str] | None = None,
                 count_name: str = "days") -> DataFrame:
     """Means (and maxima) by year, month and point; null values not counted."""
-    aggs = [py_round(F.avg(column), digits).alias(name) for name, column in means.items()]
-    aggs += [py_round(F.max(column), digits).alias(name)
-             for name, column in (maxima or {}).items()]
-    return df.groupBy(F.year(day).alias("year"), F.month(day).alias("month"), point).agg(
+    aggs = [F.avg(column).alias(name) for name, column in means.items()]
+    aggs += [F.max(column).alias(name) for name, column in (maxima or {}).items()]
+    raw = df.groupBy(F.year(day).alias("year"), F.month(day).alias("month"), point).agg(
         *aggs, F.count(count_of).alias(count_name))
+    return round_columns(raw, digits, *means, *(maxima or {}))
 
 
 def big_thresholds(df: DataFrame, group: str, weight: str, share: float = 0.8,
@@ -193,9 +191,8 @@ def big_thresholds(df: DataFrame, group: str, weight: str, share: float = 0.8,
     """Weight at which the upper part of each group's catch begins."""
     named = df.where(F.col(weight).isNotNull() & blank_as_null(F.col(group)).isNotNull())
     found = values_at_ranks(value_counts(named, [group], weight), [group],
-                            {"threshold": lambda n: F.floor(n * share)})
-    return found if digits is None else found.withColumn(
-        "threshold", py_round(F.col("threshold"), digits))
+                            {"threshold": lambda n: F.floor(n * share)}).drop("n")
+    return found if digits is None else round_columns(found, digits, "threshold")
 
 
 def day_sets(df: DataFrame, day: str, group: str, name: str) -> DataFrame:

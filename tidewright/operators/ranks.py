@@ -10,6 +10,7 @@ values or one group's cell counts.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -30,40 +31,49 @@ def cell_anchor(cell_no: Column) -> Column:
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per key and value (column ``n``), with the value's cell."""
-    return (df.groupBy(*keys, F.col(value).cast("double").alias("value"))
-            .agg(F.count(F.lit(1)).alias("n"))
+    """Number of rows (``n``) per key and value, with the value's cell.
+
+    Empty values of a key give one row with n = 0, so the key itself is kept.
+    """
+    number = F.col(value).cast("double")
+    return (df.groupBy(*keys, number.alias("value")).agg(F.count(number).alias("n"))
             .withColumn("cell", cell(F.col("value"))))
 
 
 def values_at_ranks(counts: DataFrame, keys: Sequence[str],
-                    ranks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    """One row per key with the value at each wanted zero-based rank.
+                    ranks: Mapping[str, Callable[[Column], Column]],
+                    cell_sums: Sequence[Column] = (),
+                    key_values: Sequence[Mapping[str, Column]] = ()) -> DataFrame:
+    """One row per key with its number of values and the value at each wanted rank.
 
-    ``counts`` comes from value_counts. A rank is a function of the number of
-    values of the key; keys without values are left out.
+    ``counts`` comes from value_counts. A rank, from zero, is a function of the
+    number of values. ``cell_sums`` are further aggregates per cell, and
+    ``key_values`` window expressions over a key's cells, worked out one mapping
+    after the other; they come out as columns, too.
     """
-    counts = counts.where(F.col("value").isNotNull())
     per_key = Window.partitionBy(*keys)
-    wanted = F.array(*[F.struct(F.lit(name).alias("name"),
-                                rank(F.col("_total")).cast("long").alias("rank"))
-                       for name, rank in ranks.items()])
-
-    def inside(before: str, size: str):
-        return lambda want: ((want["rank"] >= F.col(before))
-                             & (want["rank"] < F.col(before) + F.col(size)))
-
-    cells = (counts.groupBy(*keys, "cell").agg(F.sum("n").alias("_in_cell"))
-             .withColumn("_before", F.sum("_in_cell").over(per_key.orderBy("cell"))
-                         - F.col("_in_cell"))
-             .withColumn("_total", F.sum("_in_cell").over(per_key))
-             .withColumn("_wanted", F.filter(wanted, inside("_before", "_in_cell")))
-             .where(F.size("_wanted") > 0)
-             .select(*keys, "cell", "_before", "_wanted"))
+
+    def holds(rank: Callable[[Column], Column], size: str) -> Column:
+        at = rank(F.col("n"))
+        return (at >= F.col("_before")) & (at < F.col("_before") + F.col(size))
+
+    cells = (counts.groupBy(*keys, "cell").agg(F.sum("n").alias("_in_cell"), *cell_sums)
+             .withColumns({"_before": F.sum("_in_cell").over(per_key.orderBy("cell"))
+                           - F.col("_in_cell"),
+                           "n": F.sum("_in_cell").over(per_key)}))
+    for mapping in key_values:
+        cells = cells.withColumns({name: column.over(per_key) for name, column in mapping.items()})
+    carried = ["n", *[name for mapping in key_values for name in mapping]]
+    wanted = reduce(lambda a, b: a | b, [holds(rank, "_in_cell") for rank in ranks.values()])
+    cells = cells.where(wanted | (F.col("n") == 0)).select(*keys, "cell", "_before", *carried)
+    # Null-safe, so both sides read the counts in the same form and share one shuffle.
+    other = counts.select(*[F.col(c).alias(f"_{c}") for c in [*keys, "cell"]], "value",
+                          F.col("n").alias("_rows"))
+    on = reduce(lambda a, b: a & b, [cells[c].eqNullSafe(other[f"_{c}"]) for c in [*keys, "cell"]])
     in_cell = Window.partitionBy(*keys, "cell").orderBy("value")
-    hits = (counts.join(cells, [*keys, "cell"])
-            .withColumn("_before", F.col("_before") + F.sum("n").over(in_cell) - F.col("n"))
-            .withColumn("_hit", F.explode(F.filter("_wanted", inside("_before", "n")))))
-    return hits.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_hit.name") == name, F.col("value"))).alias(name)
-          for name in ranks])
+    values = cells.join(other, on).withColumn(
+        "_before", F.col("_before") + F.sum("_rows").over(in_cell) - F.col("_rows"))
+    return values.groupBy(*keys).agg(
+        *[F.first(name).alias(name) for name in carried],
+        *[F.max(F.when(holds(rank, "_rows"), F.col("value"))).alias(name)
+          for name, rank in ranks.items()])

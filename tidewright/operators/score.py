@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import compass, fixed
-from ..functions.numbers import js_round, py_round
+from ..functions.numbers import js_round, round_columns
 from .trend import last_days
 
 
@@ -32,6 +32,9 @@ def suitability(conditions: DataFrame, labels: DataFrame, profiles: DataFrame,
                   [species, "label"], "left")
             .join(tide_shares.select(species, "tide", F.col("pct").alias("_tide_pct")),
                   [species, "tide"], "left"))
+    rows = round_columns(rows.withColumns({
+        f"_{name}_pts": F.coalesce(F.col(f"_{name}_pct"), F.lit(0.0)) / 100 * 20
+        for name in ("label", "tide")}), 1, "_label_pts", "_tide_pts")
 
     def present(*names: str) -> Column:
         condition = F.lit(True)
@@ -44,9 +47,6 @@ def suitability(conditions: DataFrame, labels: DataFrame, profiles: DataFrame,
             F.col(f"{name}_std"), F.lit(least_std))
         return F.greatest(F.lit(0.0), top - z * slope)
 
-    def share(name: str) -> Column:
-        return py_round(F.coalesce(F.col(name), F.lit(0.0)) / 100 * 20, 1)
-
     water = (F.when(F.col("water").isNotNull() & present("water_mean", "water_std"),
                     closeness("water", "water", 0.5, 40.0, 15.0))
              .when(F.col("water").isNotNull() & present("water_p25", "water_p75")
@@ -56,10 +56,10 @@ def suitability(conditions: DataFrame, labels: DataFrame, profiles: DataFrame,
                   closeness("moon", "moon", 1.0, 10.0, 4.0)).otherwise(0.0)
     wave = F.when(F.col("wave").isNotNull() & present("wave_p75")
                   & (F.col("wave") <= F.col("wave_p75")), 10.0).otherwise(0.0)
-    score = water + share("_label_pct") + share("_tide_pct") + moon + wave
-    return rows.select(station, day, species, py_round(score, 1).alias("score"),
-                       py_round(F.col("water"), 2).alias("water"), "tide", "label",
-                       py_round(F.col("wave"), 2).alias("wave"))
+    score = water + F.col("_label_pts") + F.col("_tide_pts") + moon + wave
+    raw = rows.select(station, day, species, score.alias("score"), "water", "tide", "label",
+                      "wave")
+    return round_columns(round_columns(raw, 1, "score"), 2, "water", "wave")
 
 
 def go_criteria(document: Mapping | None = None) -> dict:
@@ -129,11 +129,9 @@ def go_nogo(forecast: DataFrame, place: str, time: str, criteria: Mapping | None
     ]
     total, tags = wave, []
     for step in steps:
-        change, word = F.when(F.lit(False), 0.0), F.when(F.lit(False), "")
-        for condition, penalty, name in step:
-            change, word = change.when(condition, penalty), word.when(condition, name)
-        total = total + change.otherwise(0.0)
-        tags.append(word)
+        total = total + F.coalesce(
+            *[F.when(condition, penalty) for condition, penalty, _ in step], F.lit(0.0))
+        tags.append(F.coalesce(*[F.when(condition, name) for condition, _, name in step]))
     raw = F.greatest(F.lit(0.0), js_round(total, 1))
     return (rows.withColumn("raw", raw).withColumn("score", go_class(F.col("raw"), c))
             .withColumn("tags", F.array_compact(F.array(*tags))).drop("_wind", "_before"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import compass, fixed, geo, text
-from ..functions.numbers import py_round
+from ..functions.numbers import round_columns
 
 
 def station_of(lat: Column, lng: Column, stations=tuple(fixed.STATIONS),
@@ -103,13 +103,15 @@ def grid_points(grid: DataFrame, points=tuple(fixed.CURRENT_POINTS), day: str =
     # As many rows as points were passed in, checked above.
     rows = grid.join(F.broadcast(lines), condition)
     u, v = F.col("u"), F.col("v")
+    speed = compass.flow_speed(u, v)
     off = F.sqrt(F.pow(F.col("_lat") - F.col("point_lat"), F.lit(2.0))
                  + F.pow(F.col("_lon") - F.col("point_lon"), F.lit(2.0)))
-    return rows.select(
+    raw = rows.select(
         F.col(day), "point", F.col("point_lat").alias("lat"), F.col("point_lon").alias("lon"),
-        py_round(u, 4).alias("u_ms"), py_round(v, 4).alias("v_ms"),
-        py_round(compass.flow_speed(u, v), 4).alias("speed_ms"),
-        py_round(compass.knots(compass.flow_speed(u, v)), 4).alias("speed_kn"),
-        py_round(compass.flow_direction(u, v), 1).alias("direction"),
-        py_round(F.col("temp"), 2).alias("temp_c"), py_round(F.col("salt"), 3).alias("salinity"),
+        u.alias("u_ms"), v.alias("v_ms"), speed.alias("speed_ms"),
+        compass.knots(speed).alias("speed_kn"), compass.flow_direction(u, v).alias("direction"),
+        F.col("temp").alias("temp_c"), F.col("salt").alias("salinity"),
         (off > tolerance).alias("too_far"))
+    raw = round_columns(raw, 4, "u_ms", "v_ms", "speed_ms", "speed_kn")
+    return round_columns(round_columns(round_columns(raw, 1, "direction"), 2, "temp_c"),
+                         3, "salinity")

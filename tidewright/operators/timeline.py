@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed
-from ..functions.numbers import py_round
+from ..functions.numbers import round_columns
 from .profile import big_catches, big_thresholds, day_sets
 from .trend import calendar_trend
 
@@ -28,11 +28,8 @@ def timeline(conditions: DataFrame, current: DataFrame, catch: DataFrame, statio
     big = day_sets(big_catches(catch.where(F.col(day).isNotNull()),
                                big_thresholds(catch, species, weight, digits=None),
                                species, weight), day, species, "species_big")
-    return (days.select(day, py_round(F.col("water"), 2).alias("water"),
-                        py_round(F.col("moon"), 2).alias("moon"), "phase")
-            .join(water, day, "left")
-            .join(speed, day, "left")
-            .join(flow.select(day, py_round(F.col("direction"), 2).alias("direction")), day, "left")
-            .join(caught, day, "left").join(big, day, "left")
-            .withColumn("speed", py_round(F.col("speed"), 2))
-            .withColumn("speed_ma7", py_round(F.col("speed_ma7"), 2)))
+    joined = (days.select(day, "water", "moon", "phase")
+              .join(water, day, "left").join(speed, day, "left")
+              .join(flow.select(day, "direction"), day, "left")
+              .join(caught, day, "left").join(big, day, "left"))
+    return round_columns(joined, 2, "water", "moon", "speed", "speed_ma7", "direction")

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed
-from ..functions.numbers import py_round
+from ..functions.numbers import round_columns
 
 
 def trend_label(change: Column, words: Mapping = fixed.TEMP_TREND) -> Column:
@@ -34,11 +34,13 @@ def calendar_trend(daily: DataFrame, point: str, day: str, value: str,
         return F.max(value).over(by_day.rangeBetween(-days, -days))
 
     known = daily.where(F.col(value).isNotNull())
-    return known.withColumns({
-        "ma7": py_round(F.avg(value).over(by_day.rangeBetween(-6, 0)), digits),
-        "change1": py_round(F.col(value) - days_before(1), digits),
-        "change7": py_round(F.col(value) - days_before(7), digits),
-    }).withColumn("label", trend_label(F.col("change7"), words))
+    windows = known.withColumns({
+        "ma7": F.avg(value).over(by_day.rangeBetween(-6, 0)),
+        "change1": F.col(value) - days_before(1),
+        "change7": F.col(value) - days_before(7),
+    })
+    return round_columns(windows, digits, "ma7", "change1", "change7").withColumn(
+        "label", trend_label(F.col("change7"), words))
 
 
 def last_days(daily: DataFrame, point: str, day: str, days: int = 30) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed
-from ..functions.numbers import one_decimal, py_round
+from ..functions.numbers import one_decimal, round_columns
 
 
 def unpack(payload: DataFrame, keys: Sequence[str], arrays: Sequence[str],
@@ -45,14 +45,14 @@ def forecast_rows(marine: DataFrame, weather: DataFrame, keys: Sequence[str], ti
     rows = (marine.where(F.substring(time, 12, 2).try_cast("int").isin(*hours))
             .where(F.col("wave_height").isNotNull())
             .join(weather.where(F.col("wind_speed_10m").isNotNull()), on))
-    return rows.select(
-        *keys, F.col(time).alias("t"),
-        py_round(F.col("wave_height"), 2).alias("wave"),
-        py_round(F.col("wind_speed_10m"), 1).alias("wind"),
+    raw = rows.select(
+        *keys, F.col(time).alias("t"), F.col("wave_height").alias("wave"),
+        F.col("wind_speed_10m").alias("wind"),
         F.coalesce(F.col("wind_direction_10m").cast("int"), F.lit(0)).alias("dir"),
         F.col("wave_direction").cast("int").alias("wave_dir"),
-        py_round(F.col("wind_wave_height"), 2).alias("wind_wave"),
-        py_round(F.coalesce("precipitation", F.lit(0.0)), 1).alias("rain"))
+        F.col("wind_wave_height").alias("wind_wave"),
+        F.coalesce("precipitation", F.lit(0.0)).alias("rain"))
+    return round_columns(round_columns(raw, 2, "wave", "wind_wave"), 1, "wind", "rain")
 
 
 def read_forecast(spark, path: str) -> DataFrame:
