@@ -21,14 +21,19 @@ def at_first_maximum(value: Column, of: Column, *when: Column) -> Column:
 
 
 def daily_weather(hourly: DataFrame, station: str, day: str, hour: str, temp: str, wind: str,
-                  direction: str, rain: str, code: str) -> DataFrame:
-    """Daily temperatures, strongest wind and its direction, rain, weather code."""
+                  direction: str, rain: str, code: str, order: Sequence[str] = ()) -> DataFrame:
+    """Daily temperatures, strongest wind and its direction, rain, weather code.
+
+    The direction is that of the first hour with the strongest wind; ``order``
+    tells rows of one hour apart where there are several.
+    """
     daily = at_hours(hourly, hour).groupBy(station, day).agg(
         one_decimal(F.avg(temp)).alias("気温_平均"),
         one_decimal(F.max(temp)).alias("気温_最高"),
         one_decimal(F.min(temp)).alias("気温_最低"),
         one_decimal(F.max(wind)).alias("風速_最大"),
-        at_first_maximum(F.col(direction), F.col(wind), F.col(hour)).alias("_direction"),
+        at_first_maximum(F.col(direction), F.col(wind), F.col(hour),
+                         *[F.col(c) for c in order]).alias("_direction"),
         one_decimal(F.sum(rain)).alias("降水量"),
         F.max(F.col(code).cast("int")).alias("天気コード"))
     return (daily.withColumn("風向", F.coalesce(compass.sector16(F.col("_direction")), F.lit("")))

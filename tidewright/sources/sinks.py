@@ -14,7 +14,8 @@ def write_columns(df: DataFrame, columns: Sequence[str], path: str, header: bool
     texts = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c)
                         for c in columns])
     (texts.write.option("header", header).option("lineSep", "\r\n").option("emptyValue", "")
-     .option("escape", '"').csv(path))
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_issue(df: DataFrame, root: str, issue: str) -> str:
