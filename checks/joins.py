@@ -396,9 +396,8 @@ def _nearest_sql(places, limit: float, far: str, area: str | None = None) -> str
 @query(with_views("geo", near=_nearest_sql(fixed.STATIONS, 100.0, "'その他'"))
        + "SELECT c_custkey, name, round(km, 3) AS km FROM near")
 def nearest_station(spark, sf):
-    near = spatial.station_of(F.col("lat"), F.col("lng"), limit_km=100.0)
-    return view(spark, sf, "geo").select("c_custkey", near.alias("near")).select(
-        "c_custkey", "near.name", F.round("near.km", 3).alias("km"))
+    out = spatial.with_station(view(spark, sf, "geo"), "lat", "lng", "name", "km", limit_km=100.0)
+    return out.select("c_custkey", "name", F.round("km", 3).alias("km"))
 
 
 AREA_POINTS = [(name, lat, lng, area) for (name, lat, lng, _), area in
@@ -411,9 +410,9 @@ AREA_POINTS = [(name, lat, lng, area) for (name, lat, lng, _), area in
            CASE WHEN near.km <= 50 THEN round(near.km, 3) END AS km
     FROM geo g LEFT JOIN near ON near.c_custkey = g.c_custkey""")
 def nearest_in_area(spark, sf):
-    near = spatial.point_of(F.col("lat"), F.col("lng"), F.col("c_mktsegment"), AREA_POINTS)
-    return view(spark, sf, "geo").select("c_custkey", near.alias("near")).select(
-        "c_custkey", "near.name", F.round("near.km", 3).alias("km"))
+    out = spatial.with_point(view(spark, sf, "geo"), "lat", "lng", "c_mktsegment", "name", "km",
+                             AREA_POINTS)
+    return out.select("c_custkey", "name", F.round("km", 3).alias("km"))
 
 
 # Words of the documents in the part of station names, one inside another.

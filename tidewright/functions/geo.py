@@ -10,35 +10,38 @@ from . import fixed
 MAX_PLACES = 1000
 
 
-def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2.0)
-    half_lng = F.sin(F.radians(lng2 - lng1) / 2.0)
-    a = half_lat * half_lat + (
-        F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lng * half_lng)
-    return fixed.EARTH_RADIUS_KM * (2.0 * F.atan2(F.sqrt(a), F.sqrt(1.0 - a)))
-
-
-def nearest_place(lat: Column, lng: Column, places: Sequence[tuple],
-                  area: Column | None = None) -> Column:
-    """Struct (name, km) of the nearest of a few fixed places.
-
-    ``places`` holds (name, lat, lng, area). Distances that agree to six
-    decimals are a tie, won by the smaller name in bytes. Where ``area`` has a
-    value, only places of that area count; none there gives null. The places
-    are literals of the plan, so no row leaves its task for this.
+def _haversine(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
+    half_lat = f"sin(radians({lat2} - {lat1}) / 2D)"
+    half_lng = f"sin(radians({lng2} - {lng1}) / 2D)"
+    a = (f"({half_lat} * {half_lat} + cos(radians({lat1})) * cos(radians({lat2})) "
+         f"* {half_lng} * {half_lng})")
+    return f"({fixed.EARTH_RADIUS_KM}D * (2D * atan2(sqrt({a}), sqrt(1D - {a}))))"
+
+
+def haversine_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:
+    """Distance of two positions given by column names."""
+    return F.expr(_haversine(*[f"`{name}`" for name in (lat1, lng1, lat2, lng2)]))
+
+
+def nearest_place(lat: str, lng: str, places: Sequence[tuple], area: str | None = None) -> Column:
+    """Struct (off, rounded, name, km) of the nearest of a few fixed places.
+
+    ``places`` holds (name, lat, lng, area); ``lat``, ``lng`` and ``area`` are
+    column names. Distances that agree to six decimals are a tie, won by the
+    smaller name in bytes. Where the area column has a value, only places of that
+    area count; ``off`` says that there is none. Without a position km is null.
+    The places are literals of the plan, so no row leaves its task for this.
     """
     if not 0 < len(places) <= MAX_PLACES:
         raise ValueError(f"between 1 and {MAX_PLACES} places expected, got {len(places)}")
 
-    def candidate(place):
-        name, place_lat, place_lng, place_area = place
-        km = haversine_km(lat, lng, F.lit(place_lat), F.lit(place_lng))
-        found = F.struct(F.round(km, 6).alias("rounded"), F.lit(name).alias("name"),
-                         km.alias("km"))
-        if area is None:
-            return found
-        return F.when(F.coalesce(area, F.lit("")).isin("", place_area), found)
-
-    best = F.array_min(F.array(*[candidate(place) for place in places]))
-    return F.when(lat.isNotNull() & lng.isNotNull(),
-                  F.struct(best["name"].alias("name"), best["km"].alias("km")))
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def candidate(name: str, place_lat: float, place_lng: float, place_area: str) -> str:
+        km = _haversine(f"`{lat}`", f"`{lng}`", f"{place_lat!r}D", f"{place_lng!r}D")
+        off = (f"coalesce(`{area}`, '') NOT IN ('', {text(place_area)})" if area else "false")
+        return (f"named_struct('off', {off}, 'rounded', round({km}, 6), 'name', {text(name)}, "
+                f"'km', {km})")
+
+    return F.expr("array_min(array(" + ", ".join(candidate(*p) for p in places) + "))")

@@ -56,11 +56,20 @@ def null_as_blank(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
 
+_NUMBER = (r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$")
+
+
 def to_number(text: Column) -> Column:
     """Text to double; null where the text is no number.
 
-    Java's number suffixes (1.5d) are refused and digit grouping (1_000) is
-    accepted, unlike a plain cast.
+    The pattern comes first because try_cast works by catching an exception per
+    bad value. Digit grouping (1_000) counts as a number, Java's suffixes (1.5d)
+    do not.
     """
-    text = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
-    return F.when(~text.rlike(r"\d\.?[dDfF]\s*$"), text.try_cast("double"))
+    text = F.when(text.contains("_"), F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")).otherwise(text)
+    return F.when(text.rlike(_NUMBER), text.cast("double"))
+
+
+def to_int(text: Column) -> Column:
+    """Text of up to nine digits to int; null for other texts."""
+    return F.when(text.rlike(r"^\s*\+?\d{1,9}\s*$"), text.cast("int"))

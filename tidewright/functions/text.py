@@ -6,39 +6,55 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import fixed
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# White space as str.strip() knows it.
+_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+          "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip(text: Column) -> Column:
     """Remove all white space at both ends; null becomes an empty text."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), _EDGE_SPACE, "")
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
+
+
+def _normal(text: str) -> str:
+    return text if text.isascii() else unicodedata.normalize("NFKC", text)
+
+
+@F.pandas_udf(T.StringType())
+def _nfkc(texts: pd.Series) -> pd.Series:
+    return texts.map(_normal, na_action="ignore")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _nfkc_each(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda row: None if row is None
-        else [unicodedata.normalize("NFKC", text) for text in row])
+def _nfkc_each(rows: pd.Series) -> pd.Series:
+    return rows.map(lambda row: [_normal(text) for text in row], na_action="ignore")
 
 
-def nfkc_all(texts: Sequence[Column]) -> list[Column]:
-    """Compatibility-normalise several texts of a row with one Arrow batch call.
+def _ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
 
-    Spark has no such function. Rows in plain ASCII are their own normal form
-    and go through as null, so only the other rows cost anything in Python.
+
+def nfkc(text: Column) -> Column:
+    """Text in compatibility normal form, which Spark has no function for.
+
+    A text in plain ASCII is its own normal form and goes through as null, so
+    only other texts cost anything in Python.
     """
-    row = F.array(*texts)
-    plain = F.concat_ws("", *texts).rlike(r"^\p{ASCII}*$")
-    done = F.coalesce(_nfkc_each(F.when(~plain, row)), row)
-    return [F.element_at(done, i + 1) for i in range(len(texts))]
+    return F.coalesce(_nfkc(F.when(~_ascii(text), text)), text)
 
 
-def nfkc(text: Column) -> Column:
-    return nfkc_all([text])[0]
+def with_nfkc(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
+    """Adds several columns in compatibility normal form with one Arrow call per batch."""
+    rows = df.withColumn("_texts", F.array(*texts.values()))
+    rows = rows.withColumn("_normal", _nfkc_each(
+        F.when(~_ascii(F.array_join("_texts", "")), F.col("_texts"))))
+    done = F.coalesce("_normal", "_texts")
+    return rows.withColumns({name: done[i] for i, name in enumerate(texts)}).drop(
+        "_texts", "_normal")
 
 
 def clean(text: Column) -> Column:

@@ -32,12 +32,13 @@ def normalise_records(df: DataFrame, columns: Mapping[str, str | Sequence[str]],
         source_names = columns.get(name, [])
         return _first_filled(df, [source_names] if isinstance(source_names, str) else source_names)
 
-    clean = dict(zip(CLEANED, text.nfkc_all([text.strip(given(n)) for n in CLEANED])))
-    row = df.select(*passed, entered_at.alias("_entered_at"), record_id.alias("_record_id"),
-                    *[column.alias(f"_{name}") for name, column in clean.items()],
-                    *[text.strip(given(n)).alias(f"_{n}") for n in KEPT_NUMBERS],
-                    (text.strip(F.col(confidence).cast("string")) if confidence else F.lit("")
-                     ).alias("_confidence"))
+    row = df.select(
+        *passed, entered_at.alias("_entered_at"), record_id.alias("_record_id"),
+        *[given(name).alias(f"_{name}") for name in [*CLEANED, *KEPT_NUMBERS]],
+        (F.col(confidence).cast("string") if confidence else F.lit("")).alias("_confidence"))
+    row = row.withColumns({f"_{name}": text.strip(F.col(f"_{name}"))
+                           for name in [*KEPT_NUMBERS, "confidence"]})
+    row = text.with_nfkc(row, {f"_{name}": text.strip(F.col(f"_{name}")) for name in CLEANED})
 
     def listed(name: str, words: Sequence[str]) -> tuple[Column, Column]:
         inside = F.col(f"_{name}").isin(*words)
@@ -142,17 +143,16 @@ def catch_columns(master: DataFrame, force_empty: bool = False) -> DataFrame:
 
 def design_order() -> list[Column]:
     """Newest day and time first, then the id; malformed days and times last."""
-    def number(column: str, pattern: str, *weights: int) -> Column:
-        parts = [F.regexp_extract(column, pattern, i + 1).try_cast("long") * w
-                 for i, w in enumerate(weights)]
-        total = parts[0]
-        for part in parts[1:]:
-            total = total + part
-        return F.coalesce(total, F.lit(0))
-
-    whole = r"\s*([+-]?\d+)\s*"
-    return [number("date", rf"^{whole}-{whole}-{whole}$", 10000, 100, 1).desc(),
-            number("time", rf"^{whole}:{whole}$", 100, 1).desc(),
+    def number(column: str, mark: str, *weights: int) -> Column:
+        part = r"\s*\+?\d{1,9}\s*"
+        total = F.lit(0)
+        for i, weight in enumerate(weights):
+            total = total + F.trim(F.split_part(
+                F.col(column), F.lit(mark), F.lit(i + 1))).cast("long") * weight
+        return F.when(F.col(column).rlike(f"^{mark.join([part] * len(weights))}$"), total
+                      ).otherwise(0)
+
+    return [number("date", "-", 10000, 100, 1).desc(), number("time", ":", 100, 1).desc(),
             F.col("record_id").asc()]
 
 

@@ -17,51 +17,49 @@ def _filled(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")) != ""
 
 
-def issues(as_of: Column, required: Sequence[str] = tuple(fixed.REQUIRED_COLUMNS)) -> Column:
-    """Array of what is wrong with a record of texts; empty if nothing is.
+# Lowest and highest value allowed; None is no bound.
+RANGES = {"size_cm": (0, 200), "weight_kg": (0, 100), "count": (1, None),
+          "spot_lat": (-90, 90), "spot_lng": (-180, 180), "water_temp": (0, 40)}
+
+
+def with_issues(records: DataFrame, as_of: Column,
+                required: Sequence[str] = tuple(fixed.REQUIRED_COLUMNS)) -> DataFrame:
+    """Records of texts with their issues joined by a bar; empty for good records.
 
     ``as_of`` is the last allowed day. Numbers that cannot be read pass.
     """
     missing = F.array_join(F.array_compact(F.array(
         *[F.when(~_filled(name), name) for name in required])), ",")
+    # Months, days, hours and minutes may have one digit.
+    day = F.when(F.col("date").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.col("date").try_cast("date"))
+    facts = {"_missing": missing, "_day": day,
+             **{f"_n_{name}": to_number(F.col(name)) for name in RANGES}}
 
     def said(problem: str, column: str) -> Column:
         return F.concat(F.lit(f"{problem}:"), F.col(column))
 
-    def outside(column: str, low: float | None, high: float | None) -> Column:
-        number = to_number(F.col(column))
-        bad = F.lit(False)
-        if low is not None:
-            bad = bad | (number < low)
+    def outside(column: str, low: float, high: float | None) -> Column:
+        number = F.col(f"_n_{column}")
+        bad = number < low
         if high is not None:
             # NaN compares as larger than anything here, but is no violation.
             bad = bad | ((number > high) & ~F.isnan(number))
         return F.when(bad, said(f"{column}_range", column))
 
-    # Months, days, hours and minutes may have one digit.
-    day = F.when(F.col("date").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.col("date").try_cast("date"))
     clock = F.col("time").rlike(r"^(2[0-3]|[01]?\d):[0-5]?\d$")
-    return F.array_compact(F.array(
-        F.when(missing != "", F.concat(F.lit("required_missing:"), missing)),
-        F.when(_filled("date") & day.isNull(), said("date_format", "date")).when(
-            (day < F.lit("1900-01-01").cast("date")) | (day > as_of),
+    found = F.array(
+        F.when(F.col("_missing") != "", F.concat(F.lit("required_missing:"), "_missing")),
+        F.when(_filled("date") & F.col("_day").isNull(), said("date_format", "date")).when(
+            ~F.col("_day").between(F.lit("1900-01-01").cast("date"), as_of),
             said("date_out_of_range", "date")),
         F.when(_filled("time") & ~clock, said("time_format", "time")),
-        outside("size_cm", 0, 200), outside("weight_kg", 0, 100), outside("count", 1, None),
-        outside("spot_lat", -90, 90), outside("spot_lng", -180, 180),
-        outside("water_temp", 0, 40),
+        *[outside(name, *bounds) for name, bounds in RANGES.items()],
         F.when(_filled("tide") & ~F.col("tide").isin(*fixed.TIDES), said("tide_out_of_set", "tide")),
         F.when(_filled("weather") & ~F.col("weather").isin(*fixed.WEATHERS),
                said("weather_out_of_set", "weather")),
         F.when(_filled("source") & ~text.known_source(F.col("source")),
-               said("source_unknown", "source")),
-    ))
-
-
-def with_issues(records: DataFrame, as_of: Column,
-                required: Sequence[str] = tuple(fixed.REQUIRED_COLUMNS)) -> DataFrame:
-    """Records with their issues joined by a bar; empty for good records."""
-    return records.withColumn(ISSUES, F.array_join(issues(as_of, required), "|"))
+               said("source_unknown", "source")))
+    return records.withColumns(facts).withColumn(ISSUES, F.concat_ws("|", found)).drop(*facts)
 
 
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

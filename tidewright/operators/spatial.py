@@ -9,20 +9,26 @@ from ..functions import compass, fixed, geo, text
 from ..functions.numbers import round_columns
 
 
-def station_of(lat: Column, lng: Column, stations=tuple(fixed.STATIONS),
-               limit_km: float = fixed.STATION_LIMIT_KM) -> Column:
-    """Struct (name, km) of the nearest station; too far away is named "other"."""
-    near = geo.nearest_place(lat, lng, stations)
-    return F.when(near.isNotNull(), F.struct(
-        F.when(near["km"] > limit_km, fixed.OTHER).otherwise(near["name"]).alias("name"),
-        near["km"].alias("km")))
-
-
-def point_of(lat: Column, lng: Column, area: Column | None = None,
-             points=tuple(fixed.CURRENT_POINTS), limit_km: float = fixed.POINT_LIMIT_KM) -> Column:
-    """Struct (name, km) of the nearest current point; too far away is null."""
-    near = geo.nearest_place(lat, lng, points, area)
-    return F.when(near["km"] <= limit_km, near)
+def with_station(df: DataFrame, lat: str, lng: str, name: str = "nearest_station",
+                 km: str = "distance_km", stations=tuple(fixed.STATIONS),
+                 limit_km: float = fixed.STATION_LIMIT_KM) -> DataFrame:
+    """Adds the nearest station and its distance; one too far away is named "other"."""
+    near = df.withColumn("_near", geo.nearest_place(lat, lng, stations))
+    return near.withColumns({
+        name: F.when(F.col("_near.km") > limit_km, fixed.OTHER)
+        .when(F.col("_near.km").isNotNull(), F.col("_near.name")),
+        km: F.col("_near.km")}).drop("_near")
+
+
+def with_point(df: DataFrame, lat: str, lng: str, area: str | None = None,
+               name: str = "current_point", km: str = "current_distance_km",
+               points=tuple(fixed.CURRENT_POINTS), limit_km: float = fixed.POINT_LIMIT_KM
+               ) -> DataFrame:
+    """Adds the nearest current point and its distance; one too far away is null."""
+    near = df.withColumn("_near", geo.nearest_place(lat, lng, points, area))
+    close = (F.col("_near.km") <= limit_km) & ~F.col("_near.off")
+    return near.withColumns({name: F.when(close, F.col("_near.name")),
+                             km: F.when(close, F.col("_near.km"))}).drop("_near")
 
 
 def station_in_text(name: Column, stations: Sequence[str], negatives: Sequence[str] = ()
@@ -54,24 +60,22 @@ def classify_spots(df: DataFrame, spot: str, lat: str, lng: str,
                         text.canonical_spot(F.col(spot), normalise=normalise))
     area = None
     if spot_areas is not None:
-        out = out.join(spot_areas.select("canonical_spot", F.col("sea_area").alias("_area")),
-                       "canonical_spot", "left").select(*out.columns, "_area")
-        area = F.col("_area")
+        area = "_area"
+        out = out.join(spot_areas.select("canonical_spot", F.col("sea_area").alias(area)),
+                       "canonical_spot", "left").select(*out.columns, area)
+    out = with_station(out, lat, lng, "_station", "_station_km", stations)
+    out = with_point(out, lat, lng, area, "_point", "_point_km", points)
     named = F.col("canonical_spot") != ""
-    located = F.col(lat).isNotNull() & F.col(lng).isNotNull()
-    out = out.withColumns({
-        "_station": station_of(F.col(lat), F.col(lng), stations),
-        "_point": point_of(F.col(lat), F.col(lng), area, points)})
+    located = F.col("_station_km").isNotNull()
     by_name = F.coalesce(
         station_in_text(F.col("canonical_spot"), [s[0] for s in stations], negatives),
         F.lit(fixed.UNKNOWN))
     return out.select(
         *df.columns, "canonical_spot",
-        F.when(named & located, F.col("_station.name")).when(named, by_name)
-        .alias("nearest_station"),
-        F.when(named, F.col("_station.km")).alias("distance_km"),
-        F.when(named, F.col("_point.name")).alias("current_point"),
-        F.when(named, F.col("_point.km")).alias("current_distance_km"))
+        F.when(named & located, F.col("_station")).when(named, by_name).alias("nearest_station"),
+        F.when(named, F.col("_station_km")).alias("distance_km"),
+        F.when(named, F.col("_point")).alias("current_point"),
+        F.when(named, F.col("_point_km")).alias("current_distance_km"))
 
 
 def grid_points(grid: DataFrame, points=tuple(fixed.CURRENT_POINTS), day: str = "day",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed
-from ..functions.numbers import one_decimal, round_columns
+from ..functions.numbers import one_decimal, round_columns, to_int
 
 
 def unpack(payload: DataFrame, keys: Sequence[str], arrays: Sequence[str],
@@ -22,7 +22,7 @@ def hourly_rows(payload: DataFrame, keys: Sequence[str], arrays: Sequence[str],
     """Rows of an hourly payload with ``day`` (text) and ``hour``; bad times left out."""
     rows = unpack(payload, keys, arrays).withColumns({
         "day": F.substring("time", 1, 10),
-        "hour": F.substring("time", 12, 2).try_cast("int")})
+        "hour": to_int(F.substring("time", 12, 2))})
     rows = rows.where((F.length("time") >= 13) & F.col("hour").isNotNull())
     return rows if hours is None else rows.where(F.col("hour").isin(*hours))
 
@@ -42,7 +42,7 @@ def forecast_rows(marine: DataFrame, weather: DataFrame, keys: Sequence[str], ti
     wind_speed_10m, wind_direction_10m, precipitation. ``time`` is text.
     """
     on = [*keys, time]
-    rows = (marine.where(F.substring(time, 12, 2).try_cast("int").isin(*hours))
+    rows = (marine.where(to_int(F.substring(time, 12, 2)).isin(*hours))
             .where(F.col("wave_height").isNotNull())
             .join(weather.where(F.col("wind_speed_10m").isNotNull()), on))
     raw = rows.select(
