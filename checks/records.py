@@ -146,7 +146,7 @@ def nfkc_documents(spark, sf):
 @query(with_views("master") + f"""SELECT record_id, date, time, species,
     {SOURCES_OUT.format('source')} AS source FROM master""")
 def design_sort(spark, sf):
-    rows = view(spark, sf, "master").orderBy(*normalise.design_order())
+    rows = normalise.design_sorted(view(spark, sf, "master"))
     return rows.select("record_id", "date", "time", "species",
                        text.external_source(F.col("source")).alias("source"))
 
@@ -210,9 +210,7 @@ ISSUES = f"""concat_ws('|',
     SELECT record_id, date, time, size_cm, weight_kg, {ISSUES} AS _issues FROM master""")
 def quality_split(spark, sf):
     checked = quality.with_issues(view(spark, sf, "master"), F.lit("2001-06-01").cast("date"))
-    good, bad = quality.split(checked)
-    shown = ["record_id", "date", "time", "size_cm", "weight_kg"]
-    return good.select(*shown, F.lit("").alias("_issues")).unionByName(bad.select(*shown, "_issues"))
+    return checked.select("record_id", "date", "time", "size_cm", "weight_kg", "_issues")
 
 
 STORED = """SELECT CASE WHEN o_orderkey % 1000 = 0

@@ -5,7 +5,8 @@ import unicodedata
 import uuid
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import fixed
@@ -20,18 +21,25 @@ def strip(text: Column) -> Column:
     return F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
 
 
-def _normal(text: str) -> str:
-    return text if text.isascii() else unicodedata.normalize("NFKC", text)
+def _normal(texts: pa.Array) -> pa.Array:
+    """Compatibility normal form of texts, worked out once per distinct text."""
+    coded = texts.dictionary_encode()
+    words = pa.array([unicodedata.normalize("NFKC", word) for word in coded.dictionary.to_pylist()],
+                     pa.string())
+    return words.take(coded.indices)
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(_normal, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _nfkc(texts: pa.Array) -> pa.Array:
+    return _normal(texts)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _nfkc_each(rows: pd.Series) -> pd.Series:
-    return rows.map(lambda row: [_normal(text) for text in row], na_action="ignore")
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _nfkc_each(rows: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(rows), 0)
+    ends = pc.cumulative_sum(sizes).cast(pa.int32())
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+    return pa.ListArray.from_arrays(offsets, _normal(rows.flatten()), mask=rows.is_null())
 
 
 def _ascii(text: Column) -> Column:
@@ -132,22 +140,24 @@ def canonical_spot(text: Column, aliases: Mapping[str, str] = fixed.SPOT_ALIASES
     return F.coalesce(lookup(core, aliases), core) if aliases else core
 
 
-def uuid5(seed: Column, namespace: str) -> Column:
-    """Version-5 UUID of a text in a name space."""
+def with_uuid5(df: DataFrame, name: str, seed: Column, namespace: str) -> DataFrame:
+    """Adds the version-5 UUID of a text in a name space."""
     space = F.unhex(F.lit(uuid.UUID(namespace).hex))
-    digest = F.sha1(F.concat(space, F.encode(seed, "UTF-8")))
+    digest = F.col("_digest")
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
-    return F.concat_ws(
+    rows = df.withColumn("_digest", F.sha1(F.concat(space, F.encode(seed, "UTF-8"))))
+    return rows.withColumn(name, F.concat_ws(
         "-", F.substring(digest, 1, 8), F.substring(digest, 9, 4),
         F.concat(F.lit("5"), F.substring(digest, 14, 3)),
         F.concat(variant, F.substring(digest, 18, 3)), F.substring(digest, 21, 12))
+    ).drop("_digest")
 
 
-def record_id(boat: Column, fields: Sequence[Column],
-              namespace: str = fixed.RECORD_ID_NAMESPACE) -> Column:
-    """Id made from what a record says, so order and replays do not change it."""
-    seed = F.concat_ws("|", boat, *[strip(field) for field in fields])
-    return uuid5(nfkc(seed), namespace)
+def with_record_id(df: DataFrame, name: str, boat: Column, fields: Sequence[Column],
+                   namespace: str = fixed.RECORD_ID_NAMESPACE) -> DataFrame:
+    """Adds an id made from what a record says, so order and replays do not change it."""
+    rows = df.withColumn("_seed", F.concat_ws("|", boat, *[strip(field) for field in fields]))
+    return with_uuid5(rows, name, nfkc(F.col("_seed")), namespace).drop("_seed")
 
 
 def weather_text(code: Column) -> Column:

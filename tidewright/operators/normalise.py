@@ -104,9 +104,9 @@ def to_master(drops: DataFrame, boat: Column, area: Column, normalise_dates: boo
     rows = rows.withColumn("source", text.internal_source(F.col("source")))
     if normalise_dates:
         rows = rows.withColumn("date", text.iso_date(text.clean(F.col("date"))))
-    rows = rows.withColumn("entered_at", entered_at(F.col("date"))).withColumn(
-        "record_id", text.record_id(F.col("boat_id"),
-                                    [F.col(c) for c in fixed.RECORD_ID_COLUMNS], namespace))
+    rows = rows.withColumn("entered_at", entered_at(F.col("date")))
+    rows = text.with_record_id(rows, "record_id", F.col("boat_id"),
+                               [F.col(c) for c in fixed.RECORD_ID_COLUMNS], namespace)
     return rows.select(*[F.col(c) if c in rows.columns else F.lit("").alias(c)
                          for c in fixed.MASTER_COLUMNS])
 
@@ -121,9 +121,9 @@ def initial_master(catch: DataFrame, seq: str, namespace: str | None = None) ->
     padded = F.when(F.length(number) < 4, F.lpad(number, 4, "0")).otherwise(number)
     seed = F.concat(F.lit("fishing_data#"), padded, F.lit(":"), F.concat_ws(
         "|", *[null_as_blank(F.col(c)) for c in ("date", "time", "species", "spot")]))
-    new_id = F.expr("uuid()") if namespace is None else text.uuid5(seed, namespace)
-    rows = catch.withColumns({
-        "record_id": new_id,
+    rows = (catch.withColumn("record_id", F.expr("uuid()")) if namespace is None
+            else text.with_uuid5(catch, "record_id", seed, namespace))
+    rows = rows.withColumns({
         "source": F.coalesce(text.lookup(F.col("source"), named), F.col("source")),
         "entered_at": entered_at(F.col("date"))})
     return rows.select(*[null_as_blank(F.col(c)).alias(c) if c in rows.columns
@@ -141,19 +141,25 @@ def catch_columns(master: DataFrame, force_empty: bool = False) -> DataFrame:
     return master.select(*[column(c).alias(c) for c in fixed.CATCH_COLUMNS])
 
 
-def design_order() -> list[Column]:
-    """Newest day and time first, then the id; malformed days and times last."""
+def design_sorted(df: DataFrame) -> DataFrame:
+    """Newest day and time first, then by id; malformed days and times last.
+
+    The sort numbers are columns of their own, as a sort would work out an
+    expression at every comparison.
+    """
     def number(column: str, mark: str, *weights: int) -> Column:
         part = r"\s*\+?\d{1,9}\s*"
-        total = F.lit(0)
+        total = F.lit(0).cast("long")
         for i, weight in enumerate(weights):
-            total = total + F.trim(F.split_part(
-                F.col(column), F.lit(mark), F.lit(i + 1))).cast("long") * weight
+            text_of = F.substring_index(F.substring_index(F.col(column), mark, i + 1), mark, -1)
+            total = total + F.trim(text_of).cast("long") * weight
         return F.when(F.col(column).rlike(f"^{mark.join([part] * len(weights))}$"), total
                       ).otherwise(0)
 
-    return [number("date", "-", 10000, 100, 1).desc(), number("time", ":", 100, 1).desc(),
-            F.col("record_id").asc()]
+    keyed = df.withColumns({"_day_no": number("date", "-", 10000, 100, 1),
+                            "_time_no": number("time", ":", 100, 1)})
+    return keyed.orderBy(F.desc("_day_no"), F.desc("_time_no"), F.asc("record_id")).drop(
+        "_day_no", "_time_no")
 
 
 def day_order(day: str, seq: str) -> list[Column]:

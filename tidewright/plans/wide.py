@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import fixed
 from ..functions.text import external_source
 from ..operators.enrich import with_conditions, with_point_currents
-from ..operators.normalise import catch_columns, design_order
+from ..operators.normalise import catch_columns, design_sorted
 
 OWNERS = ["boat_id", "area_id"]
 
 
 def catch_table(master: DataFrame, by_design: bool = False, force_empty: bool = False) -> DataFrame:
     """Nineteen columns; newest first if asked for, else in no order."""
-    rows = master.orderBy(*design_order()) if by_design else master
-    return catch_columns(rows, force_empty)
+    return catch_columns(design_sorted(master) if by_design else master, force_empty)
 
 
 def _published(master: DataFrame) -> DataFrame:
