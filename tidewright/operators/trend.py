@@ -28,14 +28,16 @@ def calendar_trend(daily: DataFrame, point: str, day: str, value: str,
     the label follows the rounded change. One point's days go to one task, which
     is a bounded number of rows.
     """
-    by_day = Window.partitionBy(point).orderBy(F.unix_date(day))
+    # Newest first: a mean adds its days up from the newest to the oldest, which
+    # settles the last digit.
+    by_day = Window.partitionBy(point).orderBy(F.unix_date(day).desc())
 
     def days_before(days: int) -> Column:
-        return F.max(value).over(by_day.rangeBetween(-days, -days))
+        return F.max(value).over(by_day.rangeBetween(days, days))
 
     known = daily.where(F.col(value).isNotNull())
     windows = known.withColumns({
-        "ma7": F.avg(value).over(by_day.rangeBetween(-6, 0)),
+        "ma7": F.avg(value).over(by_day.rangeBetween(0, 6)),
         "change1": F.col(value) - days_before(1),
         "change7": F.col(value) - days_before(7),
     })

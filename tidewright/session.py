@@ -25,16 +25,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; on a local master a folder of its own."""
-    folder = (spark.conf.get("spark.checkpoint.dir", None)
-              or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
+    """The cluster's shared folder; on a local master without one, a folder of its own."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tidewright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewright-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
