@@ -23,7 +23,7 @@ def _plain(frame: pd.DataFrame) -> pd.DataFrame:
             frame[column] = ["\0" if v is None or v is pd.NA or v != v else str(v)
                              for v in values]
         else:
-            frame[column] = values.astype("float64").fillna(float("-1e300")).round(9) + 0.0
+            frame[column] = values.astype("float64").fillna(-9.87654321e12).round(9) + 0.0
     return frame.sort_values(list(frame.columns)).reset_index(drop=True)
 
 

@@ -260,6 +260,19 @@ def test_report_limits_details(spark):
     assert not out["stored"].ok and out["other"].ok and out["other"].details == []
 
 
+def test_documents_and_headers(spark):
+    docs = spark.createDataFrame([('{"updated": "x", "rows": [{"t": 1, "wave": 2, "wind": 3}]}',),
+                                  ('{"rows": {}}',), ('{"updated": "x", "rows": []}',)], "body string")
+    found = quality.forecast_findings(docs, "forecast", "body").collect()
+    assert sorted((r.kind, r.detail[:12]) for r in found) == [
+        ("missing_key", "dir"), ("missing_key", "updated"), ("not_an_array", '{"rows": {}}')]
+    broken = spark.createDataFrame([('{"k": 1}',), ('{"k": ',)], "body string")
+    assert quality.bad_json(broken, "c", "body", "k int").count() == 1
+    heads = quality.header_findings(docs, "c", ["body", "more"])
+    assert [tuple(r) for r in heads.collect()] == [("c", "missing_column", "more")]
+    assert not quality.all_ok(quality.report(heads, ["c"])) and quality.all_ok(quality.report(heads, ["d"]))
+
+
 def test_design_order(spark):
     rows = [("b", "2024-01-02", "06:00"), ("a", "2024-01-02", "06:00"), ("c", "bad", ""), ("d", "2024-1-3", "x"),
             ("e", "2024-01-02", "12:30")]

@@ -9,11 +9,22 @@ from ..functions.numbers import round_columns
 from .latest import keep_first
 
 
+def not_stored(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in a (much larger) stored table.
+
+    The stored keys are first cut down to those that come in: a semi-join can
+    broadcast a small batch, so the stored table is only scanned for its key
+    column and not shuffled.
+    """
+    known = stored.select(key).join(rows.select(key), key, "left_semi")
+    return rows.join(known, key, "left_anti").select(*rows.columns)
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame, key: str, order: Sequence[str]
              ) -> DataFrame:
     """Incoming rows not stored yet, the first of each key; replays give nothing."""
-    return keep_first(incoming, [key], order).join(
-        existing.select(key).where(F.col(key) != ""), key, "left_anti").select(*incoming.columns)
+    unknown = not_stored(incoming, existing.where(F.col(key) != ""), key)
+    return keep_first(unknown, [key], order).select(*incoming.columns)
 
 
 def add_rows(incoming: DataFrame, existing: DataFrame, key: str, order: Sequence[str]
@@ -76,8 +87,7 @@ def replace_rows(incoming: DataFrame, existing: DataFrame, key: str, group: str,
     kept = without_groups(existing, group, groups)
     fresh = keep_first(incoming, [key], order)
     replaced = fresh.where(F.col(group).isin(*groups))
-    others = (fresh.where(~F.coalesce(F.col(group).isin(*groups), F.lit(False)))
-              .join(existing.select(key), key, "left_anti"))
+    others = not_stored(without_groups(fresh, group, groups), existing, key)
     return (kept.unionByName(replaced.select(*existing.columns))
             .unionByName(others.select(*existing.columns)))
 

@@ -100,11 +100,12 @@ def outside_domain(table: DataFrame, check: str, column: str, allowed: Sequence[
                     check, f"unknown_{column}", F.col(column))
 
 
-def header_findings(table: DataFrame, check: str, expected: Sequence[str]) -> list[tuple]:
-    """Missing and extra columns, from the schema alone."""
+def header_findings(table: DataFrame, check: str, expected: Sequence[str]) -> DataFrame:
+    """Missing and extra columns; the schema alone tells."""
     names = table.columns
-    return ([(check, "missing_column", c) for c in expected if c not in names]
-            + [(check, "extra_column", c) for c in names if c not in expected])
+    found = ([(check, "missing_column", c) for c in expected if c not in names]
+             + [(check, "extra_column", c) for c in names if c not in expected])
+    return table.sparkSession.createDataFrame(found, "check string, kind string, detail string")
 
 
 def bad_json(lines: DataFrame, check: str, body: str, schema: str) -> DataFrame:
@@ -115,13 +116,32 @@ def bad_json(lines: DataFrame, check: str, body: str, schema: str) -> DataFrame:
                     check, "unreadable_json", F.substring(body, 1, 40))
 
 
-def missing_json_keys(lines: DataFrame, check: str, body: str, keys: Sequence[str]) -> DataFrame:
-    """Top-level keys that a document lacks."""
-    present = F.json_object_keys(F.col(body))
-    absent = F.array_except(F.array(*[F.lit(k) for k in keys]), present)
+def missing_json_keys(lines: DataFrame, check: str, body: str, keys: Sequence[str],
+                      inside: str | None = None) -> DataFrame:
+    """Keys that a document, or the object at a path inside it, lacks.
+
+    A document without anything at the path has no keys to miss.
+    """
+    document = F.col(body) if inside is None else F.get_json_object(body, inside)
+    absent = F.array_except(F.array(*[F.lit(k) for k in keys]), F.json_object_keys(document))
     return _finding(lines.select(F.explode(absent).alias("_key")), check, "missing_key", F.col("_key"))
 
 
+def not_a_list(lines: DataFrame, check: str, body: str, path: str = "$") -> DataFrame:
+    """Documents whose value at a path is not an array."""
+    value = F.get_json_object(body, path)
+    return _finding(lines.where(~F.coalesce(value.startswith("["), F.lit(False))),
+                    check, "not_an_array", F.substring(body, 1, 40))
+
+
+def forecast_findings(lines: DataFrame, check: str, body: str) -> DataFrame:
+    """Findings of stored forecast documents."""
+    return (missing_json_keys(lines, check, body, ["updated", "rows"])
+            .unionByName(not_a_list(lines, check, body, "$.rows"))
+            .unionByName(missing_json_keys(lines, check, body, ["t", "wave", "wind", "dir"],
+                                           "$.rows[0]")))
+
+
 def condition_findings(table: DataFrame, check: str, day: str, station: str,
                        points: Sequence[str] | None = None) -> DataFrame:
     """Day format, key and (optionally) point-domain findings of a daily table."""
@@ -153,6 +173,11 @@ def report(findings: DataFrame, checks: Sequence[str], shown: int = SHOWN_DETAIL
             .select("check", "ok", "total_issues", "details"))
 
 
+def all_ok(reported: DataFrame) -> bool:
+    """Whether every check of a report is clean."""
+    return reported.where(~F.col("ok")).limit(1).isEmpty()
+
+
 def require_none(df: DataFrame, column: str, value: str = fixed.UNKNOWN) -> DataFrame:
     """The table itself; raises if any row still has the unknown mark."""
     if not df.where(F.col(column) == value).limit(1).isEmpty():

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import keep_first
+from ..operators.merge import not_stored
 
 
 def ingest_new(stream: DataFrame, table: str, checkpoint: str, key: str, order: Sequence[str],
@@ -27,7 +28,7 @@ def ingest_new(stream: DataFrame, table: str, checkpoint: str, key: str, order:
         rows = keep_first(prepare(batch) if prepare else batch, [key], order)
         stored = _stored(spark, table, rows.schema, run, number)
         if stored is not None:
-            rows = rows.join(stored.select(key), key, "left_anti").select(*rows.columns)
+            rows = not_stored(rows, stored, key)
         rows.write.mode("overwrite").parquet(f"{table}/run={run}/batch={number}")
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
