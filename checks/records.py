@@ -10,7 +10,7 @@ from tidewright.functions.numbers import round_columns
 from tidewright.operators import merge, normalise, quality, spatial
 from tidewright.operators.latest import keep_first
 from tidewright.plans import wide
-from tidewright.session import fresh_path
+from tidewright.session import fresh_path, spread
 from tidewright.sources import dimensions, files, sinks
 from tidewright.streaming import jobs
 
@@ -263,7 +263,8 @@ MERGE = (f"WITH a AS ({_keyed_sql(EXISTING_KEY)}), b AS ({_keyed_sql(INCOMING_KE
 
 
 def _keyed(spark, sf, key):
-    return table(spark, sf, "lineitem").withColumns({"id": F.expr(key), "boat": F.expr(BOAT)})
+    return spread(table(spark, sf, "lineitem")).withColumns(
+        {"id": F.expr(key), "boat": F.expr(BOAT)})
 
 
 def _existing(spark, sf):

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewright.session import spread
+
 POINTS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -113,7 +115,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns = TABLES[name]
-    return table(spark, sf_dir, source).selectExpr(
+    rows = table(spark, sf_dir, source)
+    if name == "master":  # texts only, for jobs that work on each of them
+        rows = spread(rows)
+    return rows.selectExpr(
         *[f"{expression} AS `{column}`" for column, expression in columns.items()])
 
 
