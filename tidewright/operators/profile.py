@@ -13,9 +13,15 @@ SUMMARY = ["n", "mean", "median", "std", "min", "max", "p25", "p75"]
 
 
 def metrics_long(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """One row per input row and metric: keys, ``metric``, ``value``."""
-    return df.select(*keys, *[F.col(f"`{m}`").cast("double").alias(m) for m in metrics]).unpivot(
-        [*keys], [f"`{m}`" for m in metrics], "metric", "value")
+    """One row per input row and metric: keys, ``metric``, ``value``.
+
+    A generator rather than unpivot(): it passes the keys through unchanged, so
+    a plan that reads the result twice can share one shuffle.
+    """
+    pairs = [F.lit(len(metrics))]
+    for metric in metrics:
+        pairs += [F.lit(metric), F.col(f"`{metric}`").cast("double")]
+    return df.select(*keys, F.stack(*pairs).alias("metric", "value"))
 
 
 def summary(df: DataFrame, keys: Sequence[str], value: str = "value",
