@@ -11,7 +11,7 @@ from tidewright.operators import merge, normalise, quality, spatial
 from tidewright.operators.latest import keep_first
 from tidewright.plans import wide
 from tidewright.session import fresh_path, spread
-from tidewright.sources import dimensions, files, sinks
+from tidewright.sources import dimensions, files, payload, sinks
 from tidewright.streaming import jobs
 
 from .joins import _nearest_sql
@@ -479,3 +479,71 @@ def stream_issues(spark, sf):
     jobs.archive_issues(stream, path, fresh_path(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(path).groupBy(F.col("issue").cast("string").alias("issue")).agg(
         F.count(F.lit(1)).alias("n"))
+
+
+# ---- further sources and sinks ---------------------------------------------------------------------------
+
+
+@query("SELECT 'Supplier#000000007' AS s_name, '0' AS kind UNION ALL SELECT s_name, '1' FROM "
+       "(SELECT s_name FROM supplier WHERE s_nationkey % 3 <> 1 ORDER BY s_suppkey LIMIT 1)")
+def default_entry(spark, sf):
+    """The entry asked for (made active here), and the first active one where there is none."""
+    dims = table(spark, sf, "supplier").withColumn("active", F.expr(ACTIVE))
+    named = dims.withColumn("active", F.col("active") | (F.col("s_name") == "Supplier#000000007"))
+    return (dimensions.default_entry(named, "s_name", "s_suppkey", "Supplier#000000007")
+            .withColumn("kind", F.lit("0")).unionByName(
+                dimensions.default_entry(dims, "s_name", "s_suppkey", "none")
+                .withColumn("kind", F.lit("1"))))
+
+
+@query(with_views("master", t=f"""SELECT CASE WHEN date LIKE '%-%' THEN substr(date, 1, 7) END AS month,
+        TRY_CAST(weight_kg AS DOUBLE) AS w, CAST(size_cm AS DOUBLE) AS s FROM master""") + """
+    SELECT coalesce(month, '') AS month, count(*) AS n, count(w) AS weights,
+           coalesce(sum(w), 0) AS weight, coalesce(sum(s), 0) AS size FROM t GROUP BY ALL""")
+def typed_master(spark, sf):
+    rows = normalise.typed(view(spark, sf, "master"))
+    return rows.groupBy(F.coalesce(F.date_format("day", "yyyy-MM"), F.lit("")).alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("weight_kg").alias("weights"),
+        F.coalesce(F.sum("weight_kg"), F.lit(0.0)).alias("weight"),
+        F.coalesce(F.sum("size_cm"), F.lit(0.0)).alias("size"))
+
+
+@query(with_views("cond") + """
+    SELECT point, CAST(day AS STRING) AS day, round_even(v * 10::DOUBLE, 0) / 10::DOUBLE AS "水温"
+    FROM cond WHERE degrees >= 36""")
+def daily_unpack(spark, sf):
+    """Daily payloads, one document per point and year, nulls in their arrays."""
+    rows = aggregated(spark, sf, "cond").withColumn(
+        "v", F.when(F.col("degrees") >= 36, F.col("v")))
+    packed = rows.groupBy("point", F.year("day").alias("year")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("day").cast("string").alias("day"), "v"))).alias("r"))
+    documents = packed.select("point", F.struct(
+        F.col("r.day").alias("time"), F.col("r.v").alias("mean")).alias("daily"))
+    return payload.daily_rows(documents, ["point"], "mean", "水温")
+
+
+FILE_NAME = ("CASE c_custkey % 5 WHEN 0 THEN 'fishing_data_' || replace(c_name, '#', '') || '.csv' "
+             "WHEN 1 THEN '_fishing_data_x.csv' WHEN 2 THEN 'fishing_data_' || c_name || '.csv' "
+             "WHEN 3 THEN 'fishing_data_' || c_mktsegment || '.txt' "
+             "ELSE 'fishing_data_' || c_mktsegment || '.csv' END")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN replace(c_name, '#', '')
+          WHEN 4 THEN c_mktsegment END AS boat_id FROM customer""")
+def inbox_names(spark, sf):
+    return table(spark, sf, "customer").withColumn("name", F.expr(FILE_NAME)).select(
+        "c_custkey", files.boat_of_file(F.col("name")).alias("boat_id"))
+
+
+@query(with_views("cond") + f"""
+    SELECT CAST(day AS STRING) AS day, point,
+        CASE WHEN point >= '2-HIGH' AND month(day) > 3 THEN degrees + 1000 ELSE degrees END AS degrees
+    FROM cond WHERE point <= '3-MEDIUM' OR month(day) > 3""")
+def upsert_table(spark, sf):
+    rows = aggregated(spark, sf, "cond").select("day", "point", "degrees")
+    stored = rows.where(F.col("point") <= "3-MEDIUM")
+    incoming = rows.where((F.col("point") >= "2-HIGH") & (F.month("day") > 3)).withColumn(
+        "degrees", F.col("degrees") + 1000)
+    late = rows.where((F.col("point") < "2-HIGH") & (F.month("day") > 3))
+    out = sinks.upsert(stored, incoming.unionByName(late), ["day", "point"])
+    return out.withColumn("day", F.col("day").cast("string"))

@@ -64,3 +64,10 @@ def cached_coordinates(spots: DataFrame, cache: DataFrame, name: str) -> DataFra
 def cache_statistics(looked_up: DataFrame) -> DataFrame:
     """How many look-ups hit, missed or were empty."""
     return looked_up.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def default_entry(dimension: DataFrame, key: str, order: str, preferred: str | None = None
+                  ) -> DataFrame:
+    """The preferred key if it is in use, else the first one; a single row."""
+    return active_only(dimension).agg(F.coalesce(
+        F.max(F.when(F.col(key) == preferred, F.col(key))), F.min_by(key, order)).alias(key))

@@ -33,8 +33,7 @@ def read_strict(spark: SparkSession, path: str | list[str], columns: Sequence[st
     raw = (spark.read.schema(_texts([*columns, CORRUPT])).option("header", False)
            .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line)
            .option("quote", '"').option("escape", '"').csv(path)
-           .withColumn("_file", F.col("_metadata.file_name"))
-           .withColumn("_start", F.col("_metadata.file_block_start")))
+           .withColumn("_file", F.col("_metadata.file_name")))
     first = F.regexp_replace(F.col(columns[0]), "^﻿", "")
     is_header = F.lit(True)
     for name, value in zip(columns, [first, *[F.col(c) for c in columns[1:]]]):
