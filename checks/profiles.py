@@ -180,7 +180,7 @@ def big_threshold(spark, sf):
 
 @query(with_views("catch", t=THRESHOLDS, big="SELECT c.day, c.species FROM catch c JOIN t "
                   "ON c.species = t.species WHERE c.weight >= t.threshold") + """
-    SELECT CAST(a.day AS STRING) AS day, a.names AS caught, b.names AS big
+    SELECT CAST(a.day AS STRING) AS day, a.names AS caught, coalesce(b.names, '') AS big
     FROM (SELECT day, string_agg(DISTINCT species, ',' ORDER BY species) AS names
           FROM catch GROUP BY day) a
     LEFT JOIN (SELECT day, string_agg(DISTINCT species, ',' ORDER BY species) AS names
@@ -188,9 +188,7 @@ def big_threshold(spark, sf):
 def day_sets(spark, sf):
     catch = view(spark, sf, "catch")
     limits = profile.big_thresholds(catch, "species", "weight", digits=None)
-    big = profile.big_catches(catch, limits, "species", "weight")
-    sets = profile.day_sets(catch, "day", "species", "caught").join(
-        profile.day_sets(big, "day", "species", "big"), "day", "left")
+    sets = profile.catch_sets(catch, limits, "day", "species", "weight")
     return sets.select(F.col("day").cast("string").alias("day"),
                        F.array_join("caught", ",").alias("caught"),
                        F.array_join("big", ",").alias("big"))
@@ -263,7 +261,8 @@ def _conditions(spark, sf):
         CASE WHEN s.day IS NULL THEN NULL WHEN s.c7 IS NULL THEN '不明'
              WHEN s.c7 >= 0.2 THEN '流速増加' WHEN s.c7 <= -0.2 THEN '流速減少'
              ELSE '流速安定' END AS speed_trend,
-        f.degrees AS direction, caught.names AS species_caught, big.names AS species_big
+        f.degrees AS direction, coalesce(caught.names, '') AS species_caught,
+        coalesce(big.names, '') AS species_big
     FROM days d LEFT JOIN (SELECT * FROM trend WHERE point = '{POINTS[0]}') w ON w.day = d.day
     LEFT JOIN flow f ON f.day = d.day LEFT JOIN sround s ON s.day = d.day
     LEFT JOIN caught ON caught.day = d.day LEFT JOIN big ON big.day = d.day""")

@@ -201,15 +201,19 @@ def big_thresholds(df: DataFrame, group: str, weight: str, share: float = 0.8,
     return found if digits is None else round_columns(found, digits, "threshold")
 
 
-def day_sets(df: DataFrame, day: str, group: str, name: str) -> DataFrame:
-    """Sorted set of the groups caught on each day."""
-    return (df.where(F.col(day).isNotNull()).select(day, group).distinct()
-            .groupBy(day).agg(F.sort_array(F.collect_list(group)).alias(name)))
+def catch_sets(df: DataFrame, thresholds: DataFrame, day: str, group: str, weight: str
+               ) -> DataFrame:
+    """Per day the sorted groups caught (``caught``), and those with a big catch (``big``).
 
-
-def big_catches(df: DataFrame, thresholds: DataFrame, group: str, weight: str) -> DataFrame:
-    """Rows at or over the threshold of their group."""
-    return df.join(thresholds, group).where(F.col(weight) >= F.col("threshold"))
+    A group has a big catch on a day if its heaviest catch reaches the threshold,
+    so the rows are reduced to one per day and group before anything is joined.
+    """
+    heaviest = df.where(F.col(day).isNotNull()).groupBy(day, group).agg(
+        F.max(weight).alias("_heaviest"))
+    marked = heaviest.join(thresholds.select(group, "threshold"), group, "left")
+    big = F.when(F.col("_heaviest") >= F.col("threshold"), F.col(group))
+    return marked.groupBy(day).agg(F.sort_array(F.collect_list(group)).alias("caught"),
+                                   F.sort_array(F.collect_list(big)).alias("big"))
 
 
 def table_counts(df: DataFrame, key: str, day: str) -> DataFrame:

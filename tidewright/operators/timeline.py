@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed
 from ..functions.numbers import round_columns
-from .profile import big_catches, big_thresholds, day_sets
+from .profile import big_thresholds, catch_sets
 from .trend import calendar_trend
 
 
@@ -24,12 +24,12 @@ def timeline(conditions: DataFrame, current: DataFrame, catch: DataFrame, statio
         F.col("change1").alias("water_change1"))
     speed = calendar_trend(flow, point, day, "speed", fixed.SPEED_TREND, 3).select(
         day, "speed", F.col("ma7").alias("speed_ma7"), F.col("label").alias("speed_trend"))
-    caught = day_sets(catch, day, species, "species_caught")
-    big = day_sets(big_catches(catch.where(F.col(day).isNotNull()),
-                               big_thresholds(catch, species, weight, digits=None),
-                               species, weight), day, species, "species_big")
+    sets = catch_sets(catch, big_thresholds(catch, species, weight, digits=None), day, species,
+                      weight)
     joined = (days.select(day, "water", "moon", "phase")
               .join(water, day, "left").join(speed, day, "left")
               .join(flow.select(day, "direction"), day, "left")
-              .join(caught, day, "left").join(big, day, "left"))
+              .join(sets, day, "left")
+              .withColumns({f"species_{kind}": F.coalesce(kind, F.array().cast("array<string>"))
+                            for kind in ("caught", "big")}).drop("caught", "big"))
     return round_columns(joined, 2, "water", "moon", "speed", "speed_ma7", "direction")
