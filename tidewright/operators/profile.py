@@ -195,7 +195,7 @@ def month_means(df: DataFrame, day: str, point: str, means: Mapping[str, str],
 def big_thresholds(df: DataFrame, group: str, weight: str, share: float = 0.8,
                    digits: int | None = 2) -> DataFrame:
     """Weight at which the upper part of each group's catch begins."""
-    named = df.where(F.col(weight).isNotNull() & blank_as_null(F.col(group)).isNotNull())
+    named = df.where(F.col(weight).isNotNull() & F.col(group).isNotNull() & (F.col(group) != ""))
     found = values_at_ranks(value_counts(named, [group], weight), [group],
                             {"threshold": lambda n: F.floor(n * share)}).drop("n")
     return found if digits is None else round_columns(found, digits, "threshold")
