@@ -1,10 +1,13 @@
 import datetime as dt
 import math
 import random
+import subprocess
+import sys
 import unicodedata
 import uuid
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidewright.functions import compass, fixed, geo, numbers, sky, text
@@ -64,6 +67,15 @@ def test_several_texts_at_once(spark):
     assert out.columns == ["a", "b", "p", "q"]
 
 
+def test_worker_functions_travel_by_value(tmp_path):
+    """A process elsewhere, without the package on its path, can run them."""
+    code = ("import pickle, sys, pyarrow as pa; f = pickle.loads(sys.stdin.buffer.read()); "
+            "assert f(pa.array(['\uff21', None])).to_pylist() == ['A', None]")
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(text._nfkc.func),
+                          cwd=tmp_path, capture_output=True)
+    assert done.returncode == 0, done.stderr.decode()
+
+
 def test_dates_and_times(spark):
     dates = {"2024-1-5": "2024-01-05", "2024/01/05": "2024-01-05", "2024.1.5": "2024-01-05",
              "2024-13-5": "2024-13-5", "2024/2/30": "2024/2/30", "2024-1/5": "2024-1/5", "": ""}

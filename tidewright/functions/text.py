@@ -21,25 +21,28 @@ def strip(text: Column) -> Column:
     return F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
 
 
-def _normal(texts: pa.Array) -> pa.Array:
-    """Compatibility normal form of texts, worked out once per distinct text."""
-    coded = texts.dictionary_encode()
-    words = pa.array([unicodedata.normalize("NFKC", word) for word in coded.dictionary.to_pylist()],
-                     pa.string())
-    return words.take(coded.indices)
+def _normal_form_functions():
+    """Arrow functions for the compatibility normal form of a text, and of a list of texts.
 
+    Defined inside a function, they travel to the workers by value, so the
+    package need not be installed there.
+    """
+    def normal(texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()  # each distinct text once
+        words = [unicodedata.normalize("NFKC", word) for word in coded.dictionary.to_pylist()]
+        return pa.array(words, pa.string()).take(coded.indices)
+
+    def normal_lists(rows: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(rows), 0)
+        ends = pc.cumulative_sum(sizes).cast(pa.int32())
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        return pa.ListArray.from_arrays(offsets, normal(rows.flatten()), mask=rows.is_null())
 
-@F.arrow_udf(T.StringType())
-def _nfkc(texts: pa.Array) -> pa.Array:
-    return _normal(texts)
+    return (F.arrow_udf(normal, T.StringType()),
+            F.arrow_udf(normal_lists, T.ArrayType(T.StringType())))
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _nfkc_each(rows: pa.Array) -> pa.Array:
-    sizes = pc.fill_null(pc.list_value_length(rows), 0)
-    ends = pc.cumulative_sum(sizes).cast(pa.int32())
-    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-    return pa.ListArray.from_arrays(offsets, _normal(rows.flatten()), mask=rows.is_null())
+_nfkc, _nfkc_each = _normal_form_functions()
 
 
 def _ascii(text: Column) -> Column:
