@@ -1,9 +1,9 @@
 """The registered queries of this package and, where SQL can say it, the SQL they equal."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo
+from . import cuckoo, sharding
 from .common import table
 
 
@@ -22,3 +22,14 @@ SELECT doc_id, keep_id, group_size, kept, h AS text_sha256 FROM w"""
 
 QUERIES = {"op3_exact_dedup": op3_exact_dedup}
 SQL = {"op3_exact_dedup": OP3_SQL}
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shuffle(table(spark, sf_dir, "documents"), 40)
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    return rows.select("doc_id", (F.octet_length(data) + 16).cast("long").alias("size"),
+                       F.crc32(data).alias("text_crc32"), F.lit("rows").alias("law"), "shard",
+                       "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES["op10_sharding"] = op10_sharding
