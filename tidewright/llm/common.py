@@ -44,6 +44,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def pieces(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20):
+    """Slices of a batch with about ``most`` bytes of text each, one row at least."""
+    _, offsets = utf8(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1
+        end = min(max(end, at + 1), batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The whole numbers of many ranges, end to end."""
     lengths = np.asarray(lengths, np.int64)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo, sharding
+from . import cuckoo, quality, sharding
 from .common import table
 
 
@@ -20,8 +20,13 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
            FROM d WINDOW o AS (PARTITION BY h ORDER BY n DESC, doc_id))
 SELECT doc_id, keep_id, group_size, kept, h AS text_sha256 FROM w"""
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup}
-SQL = {"op3_exact_dedup": OP3_SQL}
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", (quality.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,4 +37,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES["op10_sharding"] = op10_sharding
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_quality_classifier, op10_sharding)}
+SQL = {"op3_exact_dedup": OP3_SQL}
