@@ -1,12 +1,19 @@
 """The registered queries of this package and, where SQL can say it, the SQL they equal."""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo, quality, sharding
+from . import cuckoo, packing, quality, repair, sharding
 from .common import table
 
 
+def op2_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = repair.round_trip(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("word_bpe_49k.json"))
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.dedup(table(spark, sf_dir, "documents"))
 
@@ -29,6 +36,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"),
+                         public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                        "sequence_id", "offset")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shuffle(table(spark, sf_dir, "documents"), 40)
     data = F.coalesce("text", F.lit("")).cast("binary")
@@ -37,5 +51,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_quality_classifier, op10_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op2_repair_files, op3_exact_dedup, op4_quality_classifier, op9_best_fit_packing,
+    op10_sharding)}
 SQL = {"op3_exact_dedup": OP3_SQL}
