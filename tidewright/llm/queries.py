@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo, packing, quality, repair, sharding
+from . import bytebpe, cuckoo, packing, quality, repair, sharding
 from .common import table
 
 
@@ -36,6 +36,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = bytebpe.decode(bytebpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(table(spark, sf_dir, "documents"),
                          public_tokenizers.path("word_bpe_49k.json"))
@@ -52,6 +59,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_repair_files, op3_exact_dedup, op4_quality_classifier, op9_best_fit_packing,
-    op10_sharding)}
+    op2_repair_files, op3_exact_dedup, op4_quality_classifier, op7_byte_bpe,
+    op9_best_fit_packing, op10_sharding)}
 SQL = {"op3_exact_dedup": OP3_SQL}
