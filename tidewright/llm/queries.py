@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, cuckoo, packing, quality, repair, sharding
+from . import bytebpe, cuckoo, fingerprint, packing, quality, repair, sharding
 from .common import table
 
 
@@ -36,6 +36,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.with_next(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256)
+                        .alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                        "near_edited", "near_next")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     rows = bytebpe.decode(bytebpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
@@ -59,6 +66,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_repair_files, op3_exact_dedup, op4_quality_classifier, op7_byte_bpe,
-    op9_best_fit_packing, op10_sharding)}
+    op2_repair_files, op3_exact_dedup, op4_quality_classifier, op6_fingerprints,
+    op7_byte_bpe, op9_best_fit_packing, op10_sharding)}
 SQL = {"op3_exact_dedup": OP3_SQL}

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from ..session import fresh_path
-from . import wordbpe
+from . import ordered, wordbpe
 from .common import file_bytes, pieces
 
 SHARD = 1 << 20
@@ -154,21 +154,12 @@ def decode(entry: bytes, start: int = 0, end: int | None = None) -> np.ndarray:
     return _expand(symbols[a:b], first, pairs)[start - before:end - before]
 
 
-def _bounds(docs: DataFrame, runs: int) -> list[int]:
-    """Ascending doc_ids that cut the table into about ``runs`` runs of like size."""
-    shares = [i / runs for i in range(1, runs)]
-    found = docs.select(F.percentile_approx("doc_id", shares, 100 * runs)).first()[0] if shares else []
-    return sorted(set(found or []))
-
-
 def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 2,
           runs: int | None = None) -> None:
     """Encodes and writes the table of shards: run, shard, n_tokens, doc_ids, starts, entry."""
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    runs = runs or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds, data = np.array(_bounds(rows, runs), np.int64), file_bytes(vocabulary)
+    bounds, data = np.array(ordered.bounds(rows, runs), np.int64), file_bytes(vocabulary)
 
     def encoded(batches):
         encoder = wordbpe.encoder(data)
