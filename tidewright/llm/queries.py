@@ -4,10 +4,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, cuckoo, fingerprint, packing, quality, repair, sharding
+from . import bytebpe, cuckoo, extract, fingerprint, licences, packing, quality, repair, sharding
 from .common import table
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is a file of a tree source/language/thousand; one that is mostly notice is
+    a licence file of one of these three levels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    level = F.array("source", "lang", F.expr("cast(doc_id div 1000 as string)"))
+    notice = F.coalesce(F.char_length(licences.notice(F.col("text"))), F.lit(0))
+    is_licence = notice * 8 >= F.char_length(F.coalesce("text", F.lit("")))
+    is_licence = is_licence & (notice > 0)
+    path = F.when(is_licence, F.concat(
+        F.array_join(F.slice(level, 1, (F.col("doc_id") % 3 + 1).cast("int")), "/"),
+        F.lit("/LICENSE-"), F.col("doc_id").cast("string"))).otherwise(
+        F.concat(F.array_join(level, "/"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licences.scan(docs.select("doc_id", "text", path.alias("path")))
+
+
 def op2_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = repair.round_trip(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("word_bpe_49k.json"))
@@ -36,6 +51,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprint.with_next(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256)
@@ -65,7 +85,55 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+OP1_SQL = rf"""
+WITH t AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{name}', '{text}')" for i, (name, text)
+                                            in enumerate(licences.TEMPLATES))}) AS x(k, licence, body)),
+     tw AS (SELECT k, licence, unnest(string_split_regex(lower(body), '[^a-z0-9]+')) AS term FROM t),
+     tf AS (SELECT k, licence, term, count(*) AS n FROM tw WHERE term <> '' GROUP BY ALL),
+     idf AS (SELECT term, CAST(round(1000 * (ln((1 + (SELECT count(*) FROM t)) / (1.0 + count(*))) + 1))
+                               AS BIGINT) AS w FROM tf GROUP BY term),
+     tv AS (SELECT k, licence, term, n * w AS v FROM tf JOIN idf USING (term)),
+     tn AS (SELECT k, sum(v * v) AS norm FROM tv GROUP BY k),
+     d AS (SELECT doc_id, source, lang, coalesce(text, '') AS text, array_to_string(list_filter(
+               string_split(coalesce(text, ''), chr(10)),
+               lambda x: regexp_matches(x, '{licences.CUE}')), chr(10)) AS notice FROM documents),
+     f AS (SELECT doc_id, nullif(notice, '') AS notice, CASE
+               WHEN notice <> '' AND length(notice) * 8 >= length(text)
+               THEN concat_ws('/', source, CASE WHEN doc_id % 3 >= 1 THEN lang END,
+                              CASE WHEN doc_id % 3 = 2 THEN CAST(doc_id // 1000 AS VARCHAR) END,
+                              'LICENSE-' || doc_id)
+               ELSE concat_ws('/', source, lang, doc_id // 1000, doc_id || '.txt') END AS path FROM d),
+     n AS (SELECT DISTINCT notice FROM f WHERE notice IS NOT NULL),
+     nw AS (SELECT notice, unnest(string_split_regex(lower(notice), '[^a-z0-9]+')) AS term FROM n),
+     nv AS (SELECT notice, term, count(*) * coalesce(any_value(w), (SELECT CAST(round(1000 * (ln(
+                1.0 + (SELECT count(*) FROM t)) + 1)) AS BIGINT))) AS v
+            FROM nw LEFT JOIN idf USING (term) WHERE term <> '' GROUP BY ALL),
+     nn AS (SELECT notice, sum(v * v) AS norm FROM nv GROUP BY notice),
+     c AS (SELECT nv.notice, k, licence, sum(nv.v * tv.v) AS dot
+           FROM nv JOIN tv USING (term) GROUP BY ALL),
+     s AS (SELECT c.notice, licence, round(CAST(dot AS DOUBLE) / (sqrt(CAST(nn.norm AS DOUBLE))
+                  * sqrt(CAST(tn.norm AS DOUBLE))), 6) AS score
+           FROM c JOIN nn USING (notice) JOIN tn USING (k)),
+     m AS (SELECT notice, arg_max(licence, (score, licence)) AS licence, max(score) AS score
+           FROM s GROUP BY notice HAVING max(score) >= {licences.LEAST}),
+     own AS (SELECT f.doc_id, f.path, m.licence, m.score,
+                    regexp_extract(f.path, '^(.*)/[^/]*$', 1) AS dir,
+                    f.path LIKE '%/LICENSE-%' AS is_file FROM f LEFT JOIN m USING (notice)),
+     dl AS (SELECT dir, arg_max(licence, (score, path)) AS licence, max(score) AS score,
+                   arg_max(path, (score, path)) AS path
+            FROM own WHERE is_file AND licence IS NOT NULL GROUP BY dir),
+     up AS (SELECT own.doc_id, dl.licence, dl.path, row_number() OVER (
+                PARTITION BY own.doc_id ORDER BY length(dl.dir) DESC) AS r
+            FROM own JOIN dl ON own.dir = dl.dir OR starts_with(own.dir, dl.dir || '/')
+            WHERE own.licence IS NULL)
+SELECT own.doc_id, own.path, coalesce(own.licence, up.licence) AS licence, own.score,
+       CASE WHEN own.licence IS NULL AND up.licence IS NULL THEN 'none'
+            WHEN own.licence IS NULL THEN 'inherited'
+            WHEN is_file THEN 'file' ELSE 'header' END AS found_in,
+       CASE WHEN own.licence IS NULL THEN up.path ELSE own.path END AS from_path
+FROM own LEFT JOIN up ON own.doc_id = up.doc_id AND up.r = 1"""
+
 QUERIES = {f.__name__: f for f in (
-    op2_repair_files, op3_exact_dedup, op4_quality_classifier, op6_fingerprints,
-    op7_byte_bpe, op9_best_fit_packing, op10_sharding)}
-SQL = {"op3_exact_dedup": OP3_SQL}
+    op1_license_scans, op2_repair_files, op3_exact_dedup, op4_quality_classifier, op5_main_text,
+    op6_fingerprints, op7_byte_bpe, op9_best_fit_packing, op10_sharding)}
+SQL = {"op1_license_scans": OP1_SQL, "op3_exact_dedup": OP3_SQL}
