@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, cuckoo, extract, fingerprint, licences, packing, quality, repair, sharding
+from . import bytebpe, cuckoo, extract, fingerprint, jaccard, licences, packing, quality, repair, sharding
 from .common import table
 
 
@@ -70,6 +70,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(table(spark, sf_dir, "documents"),
                          public_tokenizers.path("word_bpe_49k.json"))
@@ -133,7 +137,27 @@ SELECT own.doc_id, own.path, coalesce(own.licence, up.licence) AS licence, own.s
        CASE WHEN own.licence IS NULL THEN up.path ELSE own.path END AS from_path
 FROM own LEFT JOIN up ON own.doc_id = up.doc_id AND up.r = 1"""
 
+OP8_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[ \t\n\v\f\r]+'), lambda x: x <> '') AS ws FROM documents),
+     s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5
+                  THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3),
+                  lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+     n AS (SELECT doc_id, len(sh) AS n FROM s),
+     e AS (SELECT doc_id, unnest(sh) AS g FROM s),
+     r AS (SELECT g FROM e GROUP BY g HAVING count(*) > 1),
+     x AS (SELECT e.* FROM e JOIN r USING (g)),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM x a JOIN x b
+           ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
+           WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+     c AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT l.a, c.r FROM c JOIN l ON c.doc_id = l.b)
+SELECT n.doc_id, n.n AS n_shingles, min(c.r) AS component_id
+FROM n JOIN c USING (doc_id) GROUP BY ALL"""
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scans, op2_repair_files, op3_exact_dedup, op4_quality_classifier, op5_main_text,
-    op6_fingerprints, op7_byte_bpe, op9_best_fit_packing, op10_sharding)}
-SQL = {"op1_license_scans": OP1_SQL, "op3_exact_dedup": OP3_SQL}
+    op6_fingerprints, op7_byte_bpe, op8_jaccard_join, op9_best_fit_packing, op10_sharding)}
+SQL = {"op1_license_scans": OP1_SQL, "op3_exact_dedup": OP3_SQL,
+       "op8_jaccard_join": OP8_SQL}
