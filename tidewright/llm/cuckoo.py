@@ -26,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import written
-from .common import BLANKS, utf8
+from .common import BLANKS, one_row_each, utf8
 
 PER_BUCKET = 1 << 16
-KEYS = "row_id long, doc_id long, digest binary, chars long"
+KEYS = "row_id long, doc_id long, digest binary, chars long, raw binary"
 REDUCED = "digest binary, chars long, doc_id long, row_id long, copies long"
 INDEX = ("bucket long, cells int, marks binary, digests array<binary>, chars array<long>, "
          "doc_ids array<long>, row_ids array<long>, copies array<long>")
@@ -149,18 +149,19 @@ class LiveIndex:
 
 
 def _keys(batches):
-    """row_id, doc_id, digest and code points of each row."""
+    """row_id, doc_id, digest, code points and the digest of the text as it is (raw)."""
     for batch in batches:
         data, ends = utf8(batch.column("text"))
         ends = ends.tolist()
         held = data.tobytes()
         drop = BLANKS.encode()
-        digests = [hashlib.sha256(held[a:b].translate(None, drop)).digest()
-                   for a, b in zip(ends, ends[1:])]
+        texts = [held[a:b] for a, b in zip(ends, ends[1:])]
+        raw = [hashlib.sha256(x).digest() for x in texts]
+        digests = [hashlib.sha256(x.translate(None, drop)).digest() for x in texts]
         chars = pc.utf8_length(batch.column("text").fill_null("")).cast(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row_id"), batch.column("doc_id"), pa.array(digests, pa.binary()), chars],
-            names=["row_id", "doc_id", "digest", "chars"])
+            [batch.column("row_id"), batch.column("doc_id"), pa.array(digests, pa.binary()), chars,
+             pa.array(raw, pa.binary())], names=["row_id", "doc_id", "digest", "chars", "raw"])
 
 
 def keys(docs: DataFrame) -> DataFrame:
@@ -275,6 +276,14 @@ def entries(index: DataFrame) -> DataFrame:
         F.col("e.copies").alias("copies"))
 
 
+def survivors(docs: DataFrame) -> DataFrame:
+    """The row of each key that stays, with all columns of ``docs``."""
+    rows = keys(docs)
+    index = insert(empty_index(docs.sparkSession), rows, buckets_for(rows.count()))
+    chosen = rows.join(entries(index).select("row_id"), "row_id", "left_semi")
+    return one_row_each(docs, chosen.select("doc_id", F.lower(F.hex("raw")).alias("digest")))
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 

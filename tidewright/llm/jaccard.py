@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import written
 from . import words
-from .common import pieces, ranges, utf8
+from .common import one_row_each, pieces, ranges, utf8
 from .components import components
 
 WORDS = 5
@@ -96,7 +96,8 @@ def _ids(data: bytes) -> int:
 
 
 def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """doc_id, n, node (the class), grp, and where a task first meets a group its prefix tokens."""
+    """doc_id, digest (of the text), n, node (the class), grp, and where a task first meets a
+    group its prefix tokens."""
     rank = np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
 
     def classified(batches):
@@ -110,6 +111,9 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 size = np.diff(ends)
                 length = np.where(size > 0, size - -(-3 * size // 4) + 1, 0)
                 held, first = value.tobytes(), token.tobytes()
+                text, at = utf8(part.column("text"))
+                text, at = text.tobytes(), at.tolist()
+                digest = [hashlib.sha256(text[a:b]).digest() for a, b in zip(at, at[1:])]
                 node, group, fresh = [], [], np.zeros(len(size), bool)
                 for i, (a, n, p) in enumerate(zip(ends.tolist(), size.tolist(), length.tolist())):
                     if not n:
@@ -126,12 +130,12 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 tokens = pa.array(token[ranges(ends[:-1], sent)].astype(np.int64))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sent)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size.astype(np.int32)),
-                     pa.array(node, pa.int64()), pa.array(group, pa.int64()),
+                    [part.column("doc_id"), pa.array(digest, pa.binary()),
+                     pa.array(size.astype(np.int32)), pa.array(node, pa.int64()), pa.array(group, pa.int64()),
                      pa.ListArray.from_arrays(offsets, tokens)],
-                    names=["doc_id", "n", "node", "grp", "prefix"])
+                    names=["doc_id", "digest", "n", "node", "grp", "prefix"])
 
-    return docs.mapInArrow(classified, "doc_id long, n int, node long, grp long, "
+    return docs.mapInArrow(classified, "doc_id long, digest binary, n int, node long, grp long, "
                                        "prefix array<long>")
 
 
@@ -270,7 +274,8 @@ def across(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
+    """doc_id, n_shingles and component_id of every row of ``docs``, the digest of its text, and
+    part, a number of its component (null for an empty set)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     rows = written(classify(docs, shingle_counts(docs)), "join-classes")
@@ -288,8 +293,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("smallest"))
     reached = labelled.join(smallest, F.col("label") == F.col("s_label"), "left").select(
         F.col("node").alias("r_node"), F.col("n").alias("r_n"),
-        F.coalesce("smallest", "doc_id").alias("component"))
-    return rows.select("doc_id", "n", "node").join(
+        F.coalesce("smallest", "doc_id").alias("component"), F.coalesce("label", "node").alias("part"))
+    return rows.select("doc_id", "digest", "n", "node").join(
         reached, (F.col("node") == F.col("r_node")) & (F.col("n") == F.col("r_n")), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"))
+        F.coalesce("component", "doc_id").alias("component_id"), "digest", "part")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The row with a component's smallest doc_id, with all columns of ``docs``."""
+    found = near_duplicates(docs).where("doc_id <=> component_id")
+    alone = found.where("part IS NULL").select("doc_id", "digest")
+    chosen = found.where("part IS NOT NULL").groupBy("part", "doc_id").agg(
+        F.min("digest").alias("digest")).select("doc_id", "digest").unionByName(alone)
+    return one_row_each(docs, chosen.select("doc_id", F.lower(F.hex("digest")).alias("digest")))

@@ -71,7 +71,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
