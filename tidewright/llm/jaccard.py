@@ -141,7 +141,7 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 #: An entry's reach: a partner of size m is possible only if 3 m is not above it (the overlap of
 #: two sets with their first common token at places p and q is at most min(n - p, m - q)).
-_REACH = F.expr("7L * (n - pos) - 3L * n")
+_REACH = "7L * (n - pos) - 3L * n"
 
 
 def lists(rows: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def lists(rows: DataFrame) -> DataFrame:
         "grp", "n", F.posexplode("prefix").alias("pos", "s"))
     common = entries.groupBy("s").count().where("count > 1").select(F.col("s").alias("c_s"))
     shared = written(entries.join(common, F.col("s") == F.col("c_s"), "left_semi"), "join-shared")
-    shared = shared.distinct().withColumn("reach", _REACH)
+    shared = shared.distinct().withColumn("reach", F.expr(_REACH))
     bounds = shared.groupBy(F.col("s").alias("b_s")).agg(
         F.min("grp").alias("first"), F.max("grp").alias("last"), F.min("n").alias("least"),
         F.max("reach").alias("most")).where("first <> last")
