@@ -38,6 +38,8 @@ HASH_BITS = 20
 GAIN = 0.01  # a round that saves less is the last
 _HEAD = "<4sIIIQ"  # mark, first rule, rules, bytes of a symbol, symbols
 _MARK = b"RPG1"
+SHARDS = ("run int, shard int, n_tokens long, doc_ids array<long>, starts array<long>, "
+          "entry binary")
 
 
 def grammar(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,14 +207,13 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 2,
     ids = rows.mapInArrow(encoded, "run int, doc_id long, ids binary")
     ids = ids.repartitionById(len(bounds) + 1, F.col("run"))
     ids = ids.sortWithinPartitions("run", F.asc_nulls_first("doc_id"), "ids")
-    ids.mapInArrow(shards, "run int, shard int, n_tokens long, doc_ids array<long>, "
-                           "starts array<long>, entry binary").write.parquet(path)
+    ids.mapInArrow(shards, SHARDS).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Documents of a written table in no set order: doc_id, start (ids of all before it),
     n_tokens, ids (little-endian unsigned 32-bit)."""
-    file = spark.read.parquet(path)
+    file = spark.read.schema(SHARDS).parquet(path)
     totals = file.groupBy("run").agg(F.sum("n_tokens").alias("run_tokens"))
     before = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)  # one row per run
     totals = totals.select(F.col("run").alias("t_run"), F.coalesce(
