@@ -10,7 +10,7 @@ from tidewright.functions.numbers import round_columns
 from tidewright.operators import merge, normalise, quality, spatial
 from tidewright.operators.latest import keep_first
 from tidewright.plans import wide
-from tidewright.session import fresh_path, spread
+from tidewright.session import fresh_path
 from tidewright.sources import dimensions, files, payload, sinks
 from tidewright.streaming import jobs
 
@@ -238,7 +238,7 @@ def quality_report(spark, sf):
     events = table(spark, sf, "events")
     findings = (quality.condition_findings(stored, "stored", "day", "point", POINTS[:4])
                 .unionByName(quality.missing_json_keys(events, "payload", "props", ["k", "z"]))
-                .unionByName(quality.bad_json(events, "payload", "props", "k int")))
+                .unionByName(quality.bad_json(events, "payload", "props", "k int", ["event_id"])))
     return quality.report(findings, CHECKS).withColumn("details", F.array_join("details", ";"))
 
 
@@ -263,7 +263,7 @@ MERGE = (f"WITH a AS ({_keyed_sql(EXISTING_KEY)}), b AS ({_keyed_sql(INCOMING_KE
 
 
 def _keyed(spark, sf, key):
-    return spread(table(spark, sf, "lineitem")).withColumns(
+    return table(spark, sf, "lineitem").withColumns(
         {"id": F.expr(key), "boat": F.expr(BOAT)})
 
 

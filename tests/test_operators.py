@@ -261,15 +261,19 @@ def test_report_limits_details(spark):
 
 
 def test_documents_and_headers(spark):
-    docs = spark.createDataFrame([('{"updated": "x", "rows": [{"t": 1, "wave": 2, "wind": 3}]}',),
-                                  ('{"rows": {}}',), ('{"updated": "x", "rows": []}',)], "body string")
-    found = quality.forecast_findings(docs, "forecast", "body").collect()
-    assert sorted((r.kind, r.detail[:12]) for r in found) == [
-        ("missing_key", "dir"), ("missing_key", "updated"), ("not_an_array", '{"rows": {}}')]
-    broken = spark.createDataFrame([('{"k": 1}',), ('{"k": ',)], "body string")
-    assert quality.bad_json(broken, "c", "body", "k int").count() == 1
-    heads = quality.header_findings(docs, "c", ["body", "more"])
-    assert [tuple(r) for r in heads.collect()] == [("c", "missing_column", "more")]
+    docs = spark.createDataFrame([("a", '{"updated": "x", "rows": [{"t": 1, "wave": 2, "wind": 3}]}'),
+                                  ("b", '{"rows": {}}'), ("c", '{"updated": "x", "rows": []}'),
+                                  ("d", '{"updated": '), ("e", None)], "file string, body string")
+    found = quality.forecast_findings(docs, "forecast", "body", ["file"]).collect()
+    assert sorted((r.kind, r.detail) for r in found) == [
+        ("missing_key", "dir"), ("missing_key", "updated"), ("not_an_array", "b"),
+        ("unreadable_json", "d"), ("unreadable_json", "e")]
+    broken = spark.createDataFrame([("x" * 50 + "1", '{"k": 1}'), ("x" * 50 + "2", '{"k": ')],
+                                   "file string, body string")
+    assert [r.detail for r in quality.bad_json(broken, "c", "body", "k int", ["file"]).collect()
+            ] == ["x" * 50 + "2"]
+    heads = quality.header_findings(docs, "c", ["file", "body", "more"])
+    assert [tuple(r) for r in heads.collect()] == [("c", "missing_column", "more", 1)]
     assert not quality.all_ok(quality.report(heads, ["c"])) and quality.all_ok(quality.report(heads, ["d"]))
 
 

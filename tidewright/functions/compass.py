@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from . import fixed
+from .numbers import finite
 
 
 def _pick(names: Sequence[str], index: Column) -> Column:
@@ -14,17 +15,17 @@ def _pick(names: Sequence[str], index: Column) -> Column:
 
 
 def sector8(degrees: Column, names: Sequence[str] = fixed.COMPASS_8) -> Column:
-    return _pick(names, ((degrees + 22.5) / 45.0).cast("int"))
+    return _pick(names, ((finite(degrees) + 22.5) / 45.0).cast("int"))
 
 
 def sector16(degrees: Column, names: Sequence[str] = fixed.COMPASS_16) -> Column:
     """Sixteen sectors; an angle on a border goes to the even sector."""
-    return _pick(names, F.bround(degrees / 22.5).cast("int"))
+    return _pick(names, F.bround(finite(degrees) / 22.5).cast("int"))
 
 
 def sector16_up(degrees: Column, names: Sequence[str] = fixed.COMPASS_16_JA) -> Column:
     """Sixteen sectors; an angle on a border goes to the next sector."""
-    return _pick(names, F.floor(degrees / 22.5 + 0.5).cast("int"))
+    return _pick(names, F.floor(finite(degrees) / 22.5 + 0.5).cast("int"))
 
 
 def angle_between(a: Column, b: Column) -> Column:

@@ -71,5 +71,11 @@ def to_number(text: Column) -> Column:
 
 
 def to_int(text: Column) -> Column:
-    """Text of up to nine digits to int; null for other texts."""
-    return F.when(text.rlike(r"^\s*\+?\d{1,9}\s*$"), text.cast("int"))
+    """Text of digits to a whole number of up to 38 digits; null for other texts."""
+    return F.when(text.rlike(r"^\s*\+?\d+\s*$"), F.trim(text).try_cast("decimal(38,0)"))
+
+
+def finite(value: Column) -> Column:
+    """The number itself; null for NaN and infinities."""
+    number = value.cast("double")
+    return F.when(F.abs(number) < float("inf"), number)

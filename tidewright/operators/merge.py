@@ -121,14 +121,19 @@ def alias_statuses(stored: DataFrame, added: DataFrame, source: str = "from",
             .select(source, target, "status"))
 
 
+def alias_conflicts(stored: DataFrame, added: DataFrame, source: str = "from",
+                    target: str = "to") -> DataFrame:
+    """All new aliases that stand in conflict."""
+    statuses = alias_statuses(stored, added, source, target)
+    return statuses.where(F.col("status") == "conflict").select(source, target)
+
+
 def merge_aliases(stored: DataFrame, added: DataFrame, source: str = "from", target: str = "to"
                   ) -> DataFrame:
     """Stored aliases with the new ones; any conflict stops it before anything is written."""
     statuses = alias_statuses(stored, added, source, target)
-    conflicts = statuses.where(F.col("status") == "conflict").limit(5).collect()
-    if conflicts:
-        raise ValueError("aliases with another target: "
-                         + ", ".join(f"{row[0]} -> {row[1]}" for row in conflicts))
+    if not statuses.where(F.col("status") == "conflict").isEmpty():
+        raise ValueError("some aliases have another target; alias_conflicts() gives them")
     return stored.select(source, target).unionByName(
         statuses.where(F.col("status") == "added").select(source, target))
 

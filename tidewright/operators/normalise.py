@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed, text
-from ..functions.numbers import null_as_blank, to_number
+from ..functions.numbers import finite, null_as_blank, to_number
 
 CLEANED = ["species", "bait", "method", "spot", "date", "time", "tide", "weather",
            "nearest_station", "memo", "source_detail"]
@@ -148,11 +148,11 @@ def design_sorted(df: DataFrame) -> DataFrame:
     expression at every comparison.
     """
     def number(column: str, mark: str, *weights: int) -> Column:
-        part = r"\s*\+?\d{1,9}\s*"
-        total = F.lit(0).cast("long")
+        part = r"\s*\+?\d+\s*"
+        total = F.lit(0.0)
         for i, weight in enumerate(weights):
             text_of = F.substring_index(F.substring_index(F.col(column), mark, i + 1), mark, -1)
-            total = total + F.trim(text_of).cast("long") * weight
+            total = total + F.trim(text_of).cast("double") * weight
         return F.when(F.col(column).rlike(f"^{mark.join([part] * len(weights))}$"), total
                       ).otherwise(0)
 
@@ -162,9 +162,9 @@ def design_sorted(df: DataFrame) -> DataFrame:
         "_day_no", "_time_no")
 
 
-def day_order(day: str, seq: str) -> list[Column]:
+def day_sorted(df: DataFrame, day: str, seq: str) -> DataFrame:
     """By day, rows without a valid day first, else as they came."""
-    return [F.col(day).asc_nulls_first(), F.col(seq).asc()]
+    return df.orderBy(F.col(day).asc_nulls_first(), F.col(seq).asc())
 
 
 def recode(df: DataFrame, column: str, table: Mapping[str, str] = fixed.STATION_RECODE
@@ -174,9 +174,9 @@ def recode(df: DataFrame, column: str, table: Mapping[str, str] = fixed.STATION_
 
 
 def typed(master: DataFrame) -> DataFrame:
-    """Texts of a master to days and numbers; unreadable ones become null."""
+    """Texts of a master to days and numbers; unreadable and non-finite ones become null."""
     numbers = ["size_cm", "weight_kg", "count", "spot_lat", "spot_lng", "water_temp"]
     day = F.when(F.col("date").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"),
                  F.trim("date").try_cast("date"))
     return master.withColumn("day", day).withColumns(
-        {name: to_number(F.col(name)) for name in numbers if name in master.columns})
+        {name: finite(to_number(F.col(name))) for name in numbers if name in master.columns})

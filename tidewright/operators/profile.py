@@ -2,11 +2,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import compass, fixed
-from ..functions.numbers import blank_as_null, round_columns, zero_as_null
+from ..functions.numbers import blank_as_null, finite, round_columns, zero_as_null
 from .ranks import cell_anchor, value_counts, values_at_ranks
 
 SUMMARY = ["n", "mean", "median", "std", "min", "max", "p25", "p75"]
@@ -85,13 +86,19 @@ def frequency(df: DataFrame, keys: Sequence[str], value: str, digits: int = 1) -
 
 
 def _share(counted: DataFrame, keys: Sequence[str], digits: int) -> DataFrame:
-    total = F.sum("n").over(Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)]))
-    return round_columns(counted.withColumn("pct", F.col("n") / total * 100), digits, "pct")
+    """The total of a key is a second aggregate, reduced in each task, and joined by the key."""
+    names = {k: f"_total_{i}" for i, k in enumerate(keys)} or {"_all": "_total_0"}
+    rows = counted if keys else counted.withColumn("_all", F.lit(0))
+    totals = rows.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(
+        F.sum("n").alias("_total"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    shared = rows.join(totals, on).withColumn("pct", F.col("n") / F.col("_total") * 100)
+    return round_columns(shared.select(*counted.columns, "pct"), digits, "pct")
 
 
 def amount(count: Column) -> Column:
-    """Catch count as a whole number; missing and zero mean one."""
-    return F.coalesce(zero_as_null(count), F.lit(1.0)).cast("long")
+    """Catch count as a whole number; missing, zero and non-finite mean one."""
+    return F.coalesce(zero_as_null(finite(count)), F.lit(1.0)).cast("long")
 
 
 def month_totals(df: DataFrame, keys: Sequence[str], day: str, count: str) -> DataFrame:
@@ -107,9 +114,9 @@ def month_totals(df: DataFrame, keys: Sequence[str], day: str, count: str) -> Da
 def width_bins(df: DataFrame, keys: Sequence[str], value: str, fallback: str | None = None,
                width: int = 2, unit: str = "℃") -> DataFrame:
     """Rows per bin of equal width. A missing or zero value uses the fallback."""
-    picked = F.col(value)
+    picked = finite(F.col(value))
     if fallback is not None:
-        picked = F.coalesce(zero_as_null(picked), F.col(fallback))
+        picked = F.coalesce(zero_as_null(picked), finite(F.col(fallback)))
     low = (F.floor(picked / width) * width).cast("long")
     label = F.concat(low.cast("string"), F.lit("〜"), (low + width).cast("string"), F.lit(unit))
     return (df.select(*keys, label.alias("bin")).where(F.col("bin").isNotNull())

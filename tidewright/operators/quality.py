@@ -68,12 +68,14 @@ def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # ---- checks of stored tables --------------------------------------------------
-# A finding has three columns: check, kind, detail.
+# A finding has four columns: check, kind, detail, and times, how often it was made.
 
 
-def _finding(rows: DataFrame, check: str, kind: str, detail: Column) -> DataFrame:
+def _finding(rows: DataFrame, check: str, kind: str, detail: Column,
+             times: Column | None = None) -> DataFrame:
+    times = F.lit(1) if times is None else times
     return rows.select(F.lit(check).alias("check"), F.lit(kind).alias("kind"),
-                       detail.cast("string").alias("detail"))
+                       detail.cast("string").alias("detail"), times.cast("long").alias("times"))
 
 
 def bad_days(table: DataFrame, check: str, day: str) -> DataFrame:
@@ -83,10 +85,9 @@ def bad_days(table: DataFrame, check: str, day: str) -> DataFrame:
 
 
 def repeated_keys(table: DataFrame, check: str, keys: Sequence[str]) -> DataFrame:
-    """One finding per row beyond the first of its key."""
+    """A finding per key, made as often as there are rows beyond its first."""
     found = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    extra = found.withColumn("_again", F.explode(F.sequence(F.lit(2), F.col("_n"))))
-    return _finding(extra, check, "duplicate_key", F.concat_ws("|", *keys))
+    return _finding(found, check, "duplicate_key", F.concat_ws("|", *keys), F.col("_n") - 1)
 
 
 def wrong_width(table: DataFrame, check: str, corrupt: str) -> DataFrame:
@@ -105,15 +106,17 @@ def header_findings(table: DataFrame, check: str, expected: Sequence[str]) -> Da
     names = table.columns
     found = ([(check, "missing_column", c) for c in expected if c not in names]
              + [(check, "extra_column", c) for c in names if c not in expected])
-    return table.sparkSession.createDataFrame(found, "check string, kind string, detail string")
+    rows = table.sparkSession.createDataFrame(found, "check string, kind string, detail string")
+    return rows.withColumn("times", F.lit(1).cast("long"))
 
 
-def bad_json(lines: DataFrame, check: str, body: str, schema: str) -> DataFrame:
-    """Documents that cannot be parsed with a schema."""
+def bad_json(lines: DataFrame, check: str, body: str, schema: str, keys: Sequence[str]
+             ) -> DataFrame:
+    """Documents that cannot be parsed with a schema, named by their key columns."""
     mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     parsed = F.from_json(F.col(body), f"{schema}, _bad string", mode)
     return _finding(lines.where(parsed["_bad"].isNotNull() | parsed.isNull()),
-                    check, "unreadable_json", F.substring(body, 1, 40))
+                    check, "unreadable_json", F.concat_ws("|", *keys))
 
 
 def missing_json_keys(lines: DataFrame, check: str, body: str, keys: Sequence[str],
@@ -127,18 +130,22 @@ def missing_json_keys(lines: DataFrame, check: str, body: str, keys: Sequence[st
     return _finding(lines.select(F.explode(absent).alias("_key")), check, "missing_key", F.col("_key"))
 
 
-def not_a_list(lines: DataFrame, check: str, body: str, path: str = "$") -> DataFrame:
-    """Documents whose value at a path is not an array."""
+def not_a_list(lines: DataFrame, check: str, body: str, keys: Sequence[str], path: str = "$"
+               ) -> DataFrame:
+    """Documents whose value at a path is not an array, named by their key columns."""
     value = F.get_json_object(body, path)
     return _finding(lines.where(~F.coalesce(value.startswith("["), F.lit(False))),
-                    check, "not_an_array", F.substring(body, 1, 40))
+                    check, "not_an_array", F.concat_ws("|", *keys))
 
 
-def forecast_findings(lines: DataFrame, check: str, body: str) -> DataFrame:
-    """Findings of stored forecast documents."""
-    return (missing_json_keys(lines, check, body, ["updated", "rows"])
-            .unionByName(not_a_list(lines, check, body, "$.rows"))
-            .unionByName(missing_json_keys(lines, check, body, ["t", "wave", "wind", "dir"],
+def forecast_findings(lines: DataFrame, check: str, body: str, keys: Sequence[str]) -> DataFrame:
+    """Findings of stored forecast documents; one that cannot be parsed is only that."""
+    readable = F.json_object_keys(body).isNotNull()
+    parsed = lines.where(readable)
+    return (_finding(lines.where(~readable), check, "unreadable_json", F.concat_ws("|", *keys))
+            .unionByName(missing_json_keys(parsed, check, body, ["updated", "rows"]))
+            .unionByName(not_a_list(parsed, check, body, keys, "$.rows"))
+            .unionByName(missing_json_keys(parsed, check, body, ["t", "wave", "wind", "dir"],
                                            "$.rows[0]")))
 
 
@@ -155,13 +162,16 @@ def report(findings: DataFrame, checks: Sequence[str], shown: int = SHOWN_DETAIL
     """One row per check: ok, number of issues, the first details in order.
 
     The row-number limit is applied before the shuffle as well, so a check with
-    very many findings sends only what is shown.
+    very many findings sends only what is shown; a finding made very often counts
+    as often and is listed ``shown`` times at most.
     """
     spark = findings.sparkSession
     names = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in checks])).alias("check"))
-    totals = findings.groupBy("check").agg(F.count(F.lit(1)).alias("total_issues"))
+    totals = findings.groupBy("check").agg(F.sum("times").alias("total_issues"))
+    listed = findings.withColumn("_again", F.explode(F.sequence(
+        F.lit(1), F.least(F.col("times"), F.lit(shown)).cast("int"))))
     order = Window.partitionBy("check").orderBy("kind", "detail")
-    details = (findings.withColumn("_rank", F.row_number().over(order))
+    details = (listed.withColumn("_rank", F.row_number().over(order))
                .where(F.col("_rank") <= shown).groupBy("check")
                .agg(F.array_sort(F.collect_list(F.struct("_rank", "kind", "detail"))).alias("_rows"))
                .select("check", F.transform(

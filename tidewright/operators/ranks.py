@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.numbers import finite
+
 CELLS_PER_E_FOLD = 512
 # ln of the smallest double is above -745, so shifted cells stay positive.
 _SHIFT = 746 * CELLS_PER_E_FOLD
@@ -33,9 +35,10 @@ def cell_anchor(cell_no: Column) -> Column:
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Number of rows (``n``) per key and value, with the value's cell.
 
-    Empty values of a key give one row with n = 0, so the key itself is kept.
+    Empty values of a key give one row with n = 0, so the key itself is kept;
+    values that are not finite count as empty.
     """
-    number = F.col(value).cast("double")
+    number = finite(F.col(value))
     return (df.groupBy(*keys, number.alias("value")).agg(F.count(number).alias("n"))
             .withColumn("cell", cell(F.col("value"))))
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import compass, fixed
-from ..functions.numbers import js_round, round_columns
+from ..functions.numbers import finite, js_round, round_columns
 from .trend import last_days
 
 
@@ -83,8 +83,9 @@ def go_nogo(forecast: DataFrame, place: str, time: str, criteria: Mapping | None
     """Score of forecast hours: ``raw`` (lower is better), class ``score``, ``tags``.
 
     forecast: place, time, wave, wind, dir, wave_dir, wind_wave. The wind of the
-    hour before is the previous row of the same place. A forecast has a bounded
-    number of hours per place, which go to one task.
+    hour before is the previous row of the same place. Without a known wave ``raw``
+    is null and the class the worst. A forecast has a bounded number of hours per
+    place, which go to one task.
     """
     c = {**fixed.GO_CRITERIA, **(criteria or {})}
     tag = fixed.GO_TAGS
@@ -93,12 +94,12 @@ def go_nogo(forecast: DataFrame, place: str, time: str, criteria: Mapping | None
         return F.coalesce(condition, F.lit(False))
 
     def known(column: str) -> Column:
-        return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+        return finite(F.col(column))
 
     rows = forecast.withColumn("_wind", known("wind")).withColumn(
         "_before", F.lag("_wind").over(Window.partitionBy(place).orderBy(time)))
-    wave, wind, before = F.col("wave"), F.col("_wind"), F.col("_before")
-    heading, wave_dir, wind_wave = F.col("dir"), known("wave_dir"), known("wind_wave")
+    wave, wind, before = known("wave"), F.col("_wind"), F.col("_before")
+    heading, wave_dir, wind_wave = known("dir"), known("wave_dir"), known("wind_wave")
 
     strong = sure(wind > c["wind_speed_threshold"])
     south = sure((heading >= c["south_range_min"]) & (heading <= c["south_range_max"]))
@@ -132,7 +133,7 @@ def go_nogo(forecast: DataFrame, place: str, time: str, criteria: Mapping | None
         total = total + F.coalesce(
             *[F.when(condition, penalty) for condition, penalty, _ in step], F.lit(0.0))
         tags.append(F.coalesce(*[F.when(condition, name) for condition, _, name in step]))
-    raw = F.greatest(F.lit(0.0), js_round(total, 1))
+    raw = F.when(wave.isNotNull(), F.greatest(F.lit(0.0), js_round(total, 1)))
     return (rows.withColumn("raw", raw).withColumn("score", go_class(F.col("raw"), c))
             .withColumn("tags", F.array_compact(F.array(*tags))).drop("_wind", "_before"))
 
@@ -148,7 +149,8 @@ def day_scores(scored: DataFrame, place: str, time: str, criteria: Mapping | Non
     days = scored.groupBy(place, F.substring(time, 1, 10).alias("day")).agg(
         F.avg(F.when(hour.isin(*hours), F.col("raw"))).alias("_main"),
         F.min_by("raw", time).alias("_first"))
-    raw = F.greatest(F.lit(0.0), js_round(F.coalesce("_main", "_first"), 1))
+    known = F.coalesce("_main", "_first")
+    raw = F.when(known.isNotNull(), F.greatest(F.lit(0.0), js_round(known, 1)))
     return days.select(place, "day", raw.alias("raw")).withColumn(
         "score", go_class(F.col("raw"), c))
 

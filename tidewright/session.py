@@ -24,16 +24,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than there are cores, dealt out to all of them.
-
-    For row-by-row work that costs much more than moving the rows. A table of
-    many files has more splits than cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; on a local master without one, a folder of its own."""
     context = spark.sparkContext

@@ -22,7 +22,7 @@ def hourly_rows(payload: DataFrame, keys: Sequence[str], arrays: Sequence[str],
     """Rows of an hourly payload with ``day`` (text) and ``hour``; bad times left out."""
     rows = unpack(payload, keys, arrays).withColumns({
         "day": F.substring("time", 1, 10),
-        "hour": to_int(F.substring("time", 12, 2))})
+        "hour": to_int(F.substring("time", 12, 2)).cast("int")})
     rows = rows.where((F.length("time") >= 13) & F.col("hour").isNotNull())
     return rows if hours is None else rows.where(F.col("hour").isin(*hours))
 

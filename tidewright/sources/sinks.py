@@ -49,10 +49,14 @@ def snapshot(df: DataFrame, root: str, stamp: str) -> str:
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], batch: str = "_batch"
            ) -> DataFrame:
-    """Stored and incoming rows, the later one of every key, in key order."""
+    """Stored and incoming rows, the later one of every key, in key order.
+
+    Of several rows with one key in a batch the largest in the other columns counts.
+    """
     both = (stored.withColumn(batch, F.lit(0)).unionByName(
         incoming.withColumn(batch, F.lit(1)), allowMissingColumns=True))
-    return keep_last(both, keys, [batch]).drop(batch).orderBy(*keys)
+    rest = [c for c in both.columns if c not in keys and c != batch]
+    return keep_last(both, keys, [batch, *rest]).drop(batch).orderBy(*keys)
 
 
 def write_table(df: DataFrame, name: str) -> str:
