@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.functions import fixed
+from tidewright.functions import fixed, geo
 from tidewright.functions.numbers import round_columns
 from tidewright.operators import (coverage, enrich, latest, profile, rollup, score, spatial, trend)
 from tidewright.sources import dimensions, payload, precedence
@@ -384,6 +384,13 @@ def _km(lat: str, lng: str, p_lat: float, p_lng: float) -> str:
     return f"(6371::DOUBLE * 2 * atan2(sqrt({a}), sqrt(1 - {a})))"
 
 
+def _km_of(lat: str, lng: str, p_lat: str, p_lng: str) -> str:
+    """Distance of two positions, all four given as expressions."""
+    a = (f"(pow(sin(radians({p_lat} - {lat}) / 2), 2) + cos(radians({lat})) * cos(radians({p_lat})) "
+         f"* pow(sin(radians({p_lng} - {lng}) / 2), 2))")
+    return f"(6371::DOUBLE * 2 * atan2(sqrt({a}), sqrt(1 - {a})))"
+
+
 def _nearest_sql(places, limit: float, far: str, area: str | None = None) -> str:
     rows = " UNION ALL ".join(
         f"SELECT c_custkey, '{name}' AS name, {_km('lat', 'lng', la, lo)} AS km FROM geo"
@@ -415,6 +422,31 @@ def nearest_in_area(spark, sf):
     return out.select("c_custkey", "name", F.round("km", 3).alias("km"))
 
 
+# Two places for each supplier, over twice the area of the positions; positions far off besides.
+MANY = """SELECT 'P' || CAST(s_suppkey * 2 + CAST(k AS BIGINT) AS STRING) AS name,
+    32.0E0 + CAST((s_suppkey * 37 + 11 * k) % 301 AS DOUBLE) / 100.0E0 AS lat,
+    132.0E0 + CAST((s_suppkey * 53 + 29 * k) % 401 AS DOUBLE) / 100.0E0 AS lng, '' AS area
+    FROM supplier, (SELECT 0 AS k UNION ALL SELECT 1 AS k) ks"""
+FAR = """CASE c_custkey % 50 WHEN 0 THEN -lat WHEN 1 THEN 89.0E0 ELSE lat END AS lat,
+    CASE c_custkey % 50 WHEN 2 THEN lng - 180.0E0 ELSE lng END AS lng"""
+
+
+@query(with_views("geo", many=MANY, spots=f"SELECT c_custkey, {FAR} FROM geo", near=f"""
+        SELECT c_custkey, name, {_km_of('spots.lat', 'spots.lng', 'many.lat', 'many.lng')} AS km FROM spots, many""")
+       + """SELECT c_custkey, name, round(km, 3) AS km FROM (SELECT *, row_number() OVER
+        (PARTITION BY c_custkey ORDER BY round(km, 6), encode(name)) AS rn FROM near) WHERE rn = 1""")
+def nearest_many(spark, sf):
+    places = table(spark, sf, "supplier").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
+    places = places.selectExpr(
+        "'P' || CAST(s_suppkey * 2 + CAST(k AS BIGINT) AS STRING) AS name",
+        "32.0E0 + CAST((s_suppkey * 37 + 11 * k) % 301 AS DOUBLE) / 100.0E0 AS lat",
+        "132.0E0 + CAST((s_suppkey * 53 + 29 * k) % 401 AS DOUBLE) / 100.0E0 AS lng", "'' AS area")
+    lat, lng = FAR.split(",\n")
+    at = view(spark, sf, "geo").selectExpr("c_custkey", lat, lng.strip())
+    out = geo.with_nearest(at, "lat", "lng", places, out="near")
+    return out.select("c_custkey", "near.name", F.round("near.km", 3).alias("km"))
+
+
 # Words of the documents in the part of station names, one inside another.
 WORDS = ["teau", "tea", "eri", "ould", "ing", "eaux"]
 BLOCKED = ["zz", "schen"]
@@ -431,16 +463,18 @@ def substring_station(spark, sf):
 
 
 LINES = " UNION ALL ".join(
-    f"SELECT '{name}' AS point, {la}::DOUBLE AS point_lat, {lo}::DOUBLE AS point_lon, "
+    f"SELECT day, '{name}' AS point, {la}::DOUBLE AS point_lat, {lo}::DOUBLE AS point_lon, "
     f"arg_min(lat, row(abs(lat - {la}::DOUBLE), lat)) AS g_lat, "
-    f"arg_min(lon, row(abs(lon - {lo}::DOUBLE), lon)) AS g_lon, min(depth) AS g_depth FROM grid"
+    f"arg_min(lon, row(abs(lon - {lo}::DOUBLE), lon)) AS g_lon, min(depth) AS g_depth FROM grid "
+    f"GROUP BY day"
     for name, la, lo, _ in fixed.CURRENT_POINTS)
 
 
-@query(with_views("grid", lines=LINES, c="""SELECT g.o_orderkey, g.day, l.point, g.u, g.v, g.temp,
+@query(with_views("grid", lines=LINES, c="""SELECT g.o_orderkey, l.day, l.point, g.u, g.v, g.temp,
         g.salt, sqrt(g.u * g.u + g.v * g.v) AS s, degrees(atan2(g.u, g.v)) + 360::DOUBLE AS d0,
         sqrt(pow(l.g_lat - l.point_lat, 2) + pow(l.g_lon - l.point_lon, 2)) AS off
-        FROM grid g JOIN lines l ON g.lat = l.g_lat AND g.lon = l.g_lon AND g.depth = l.g_depth""",
+        FROM lines l LEFT JOIN grid g ON g.day = l.day AND g.lat = l.g_lat AND g.lon = l.g_lon
+        AND g.depth = l.g_depth""",
     e="SELECT *, s * 1.944::DOUBLE AS kn, CASE WHEN d0 >= 360 THEN d0 - 360 ELSE d0 END AS d FROM c")
     + f"""SELECT CAST(day AS STRING) AS day, point, {rounded('u', 4)} AS u_ms, {rounded('v', 4)} AS v_ms,
         {rounded('s', 4)} AS speed_ms, {rounded('kn', 4)} AS speed_kn, {rounded('d', 1)} AS direction,

@@ -114,8 +114,8 @@ def test_record_id_is_uuid5(spark):
 def test_nearest_places(spark):
     places = [("室戸沖", 33.29, 134.18, ""), ("安満地", 33.47, 133.88, ""), ("小笠原", 27.0, 142.2, "")]
     df = spark.createDataFrame(places, "name string, lat double, lng double, area string")
-    rows = df.select("name", geo.nearest_place("lat", "lng", fixed.STATIONS).alias("s"),
-                     geo.nearest_place("lat", "lng", fixed.CURRENT_POINTS).alias("p")).collect()
+    rows = geo.with_nearest(geo.with_nearest(df, "lat", "lng", fixed.STATIONS, out="s"), "lat",
+                            "lng", fixed.CURRENT_POINTS, out="p").collect()
     found = {r["name"]: r for r in rows}
     assert found["室戸沖"].s.name == "室戸" and found["室戸沖"].s.km == 0
     assert found["室戸沖"].p.name == "北東" and round(found["室戸沖"].p.km, 6) == 10.479817
@@ -125,8 +125,32 @@ def test_nearest_places(spark):
 
 def test_tie_of_distances_goes_to_smaller_name(spark):
     df = spark.createDataFrame([(0.0, 0.0)], "lat double, lng double")
-    near = geo.nearest_place("lat", "lng", [("b", 0.0, 1.0, ""), ("a", 0.0, -1.0, "")])
-    assert df.select(near.alias("n")).collect()[0].n.name == "a"
+    near = geo.with_nearest(df, "lat", "lng", [("b", 0.0, 1.0, ""), ("a", 0.0, -1.0, "")], out="n")
+    assert near.collect()[0].n.name == "a"
+
+
+def test_nearest_of_many_places_everywhere(spark):
+    """Over poles and the date line, with areas, against all distances."""
+    draw = random.Random(8)
+    places = [(f"p{i}", draw.uniform(-90, 90), draw.uniform(-180, 180), draw.choice("xyz"))
+              for i in range(1500)]
+    spots = [(i, draw.choice([draw.uniform(-90, 90), 89.9, -89.9]), draw.choice(
+        [draw.uniform(-180, 180), 179.99, -179.99]), draw.choice(["", "x", "none"])) for i in range(150)]
+    spots += [(200, None, 1.0, ""), (201, float("nan"), 1.0, ""), spots[0]]
+
+    def km(a, b, c, d):
+        h = (math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a))
+             * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2)
+        return 6371 * 2 * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+
+    df = spark.createDataFrame(spots, "i long, lat double, lng double, a string")
+    found = geo.with_nearest(df, "lat", "lng", places, "a", "n").collect()
+    assert len(found) == len(spots)
+    for row in found:
+        known = row.lat is not None and not math.isnan(row.lat)
+        near = [(round(km(row.lat, row.lng, la, lo), 6), name) for name, la, lo, ar in places
+                if known and row.a in ("", ar)]
+        assert (row.n.name if row.n else None) == (min(near)[1] if near else None)
 
 
 def test_moon_age_by_julian_days(spark):

@@ -1,13 +1,16 @@
 """Great-circle distances and nearest places."""
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import fixed
+from .numbers import finite
 
-MAX_PLACES = 1000
+# Degrees of the cells in which places are looked for, one size after the other.
+CELLS = (0.5, 8.0, 180.0)
 
 
 def _haversine(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
@@ -23,25 +26,71 @@ def haversine_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:
     return F.expr(_haversine(*[f"`{name}`" for name in (lat1, lng1, lat2, lng2)]))
 
 
-def nearest_place(lat: str, lng: str, places: Sequence[tuple], area: str | None = None) -> Column:
-    """Struct (off, rounded, name, km) of the nearest of a few fixed places.
+def places_table(spark: SparkSession, places: DataFrame | Sequence[tuple]) -> DataFrame:
+    """Places as a table: name, lat, lng, area."""
+    if isinstance(places, DataFrame):
+        return places.select("name", "lat", "lng", "area")
+    return spark.createDataFrame(list(places), "name string, lat double, lng double, area string")
 
-    ``places`` holds (name, lat, lng, area); ``lat``, ``lng`` and ``area`` are
-    column names. Distances that agree to six decimals are a tie, won by the
-    smaller name in bytes. Where the area column has a value, only places of that
-    area count; ``off`` says that there is none. Without a position km is null.
-    The places are literals of the plan, so no row leaves its task for this.
-    """
-    if not 0 < len(places) <= MAX_PLACES:
-        raise ValueError(f"between 1 and {MAX_PLACES} places expected, got {len(places)}")
 
-    def text(value: str) -> str:
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _sure_within(cell: float) -> Column:
+    """Kilometres within which no place is outside a position's cell and its neighbours."""
+    if cell >= 180:
+        return F.lit(float("inf"))
+    north = fixed.EARTH_RADIUS_KM * math.radians(cell)
+    east = F.asin(F.cos(F.radians("_y")) * math.sin(math.radians(cell))) * fixed.EARTH_RADIUS_KM
+    return F.least(F.lit(north), east) * 0.999
+
 
-    def candidate(name: str, place_lat: float, place_lng: float, place_area: str) -> str:
-        km = _haversine(f"`{lat}`", f"`{lng}`", f"{place_lat!r}D", f"{place_lng!r}D")
-        off = (f"coalesce(`{area}`, '') NOT IN ('', {text(place_area)})" if area else "false")
-        return (f"named_struct('off', {off}, 'rounded', round({km}, 6), 'name', {text(name)}, "
-                f"'km', {km})")
+def with_nearest(df: DataFrame, lat: str, lng: str, places: DataFrame | Sequence[tuple],
+                 area: str | None = None, out: str = "_near") -> DataFrame:
+    """Adds ``out``, a struct (rounded, name, km) of the nearest place of any number.
 
-    return F.expr("array_min(array(" + ", ".join(candidate(*p) for p in places) + "))")
+    Distances that agree to six decimals are a tie, won by the smaller name in
+    bytes. Where the area column has a value, only places of that area count.
+    Without a position, or without any place, the struct is null.
+
+    Distinct positions meet places through equal cells, a place standing in its
+    own cell and the eight around it. A nearest place closer than the rim of
+    those nine cells is the nearest of all; positions without one go on to
+    larger cells. No position meets all places unless none is near.
+    """
+    table = places_table(df.sparkSession, places)
+    given = {"_y": finite(F.col(lat)), "_x": finite(F.col(lng))}
+    if area is not None:
+        given["_a"] = F.coalesce(F.col(area), F.lit(""))
+    keys = list(given)
+    near = df.select(*[column.alias(name) for name, column in given.items()]).where(
+        "_y IS NOT NULL AND _x IS NOT NULL").distinct()
+    near = near.withColumns({"_best": F.lit(None).cast(
+        "struct<rounded: double, name: string, km: double>"), "_done": F.lit(False)})
+    for cell in CELLS:
+        around = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
+                           for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
+        row = F.floor((F.col("lat") + 90.0) / cell)
+        column = F.floor(F.pmod(F.col("lng") + 180.0, F.lit(360.0)) / cell)
+        spread = table.withColumn("_d", F.explode(around)).select(
+            F.col("name").alias("_name"), F.col("lat").alias("_lat"), F.col("lng").alias("_lng"),
+            F.col("area").alias("_area"), (row + F.col("_d.dy")).alias("_row"),
+            F.pmod(column + F.col("_d.dx"), F.lit(int(360 / cell))).alias("_column"))
+        here = near.withColumns({
+            "_cy": F.when(~F.col("_done"), F.floor((F.col("_y") + 90.0) / cell)),
+            "_cx": F.when(~F.col("_done"),
+                          F.floor(F.pmod(F.col("_x") + 180.0, F.lit(360.0)) / cell))})
+        on = (F.col("_cy") == F.col("_row")) & (F.col("_cx") == F.col("_column"))
+        if area is not None:
+            on = on & ((F.col("_a") == "") | (F.col("_a") == F.col("_area")))
+        km = haversine_km("_y", "_x", "_lat", "_lng")
+        met = here.join(spread, on, "left").withColumn("_km", km)
+        found = F.min(F.when(F.col("_name").isNotNull(), F.struct(
+            F.round("_km", 6).alias("rounded"), F.col("_name").alias("name"),
+            F.col("_km").alias("km"))))
+        near = met.groupBy(*keys).agg(
+            F.coalesce(found, F.first("_best")).alias("_best"), F.first("_done").alias("_done"))
+        near = near.withColumn("_done", F.col("_done") | F.coalesce(
+            F.col("_best.km") <= _sure_within(cell), F.lit(False)))
+    found = near.select(*[F.col(k).alias(f"_n{k}") for k in keys], F.col("_best").alias(out))
+    on = F.lit(True)
+    for name, column in given.items():
+        on = on & (column == F.col(f"_n{name}"))
+    return df.join(found, on, "left").select(*df.columns, out)

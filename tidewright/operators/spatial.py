@@ -13,7 +13,7 @@ def with_station(df: DataFrame, lat: str, lng: str, name: str = "nearest_station
                  km: str = "distance_km", stations=tuple(fixed.STATIONS),
                  limit_km: float = fixed.STATION_LIMIT_KM) -> DataFrame:
     """Adds the nearest station and its distance; one too far away is named "other"."""
-    near = df.withColumn("_near", geo.nearest_place(lat, lng, stations))
+    near = geo.with_nearest(df, lat, lng, stations)
     return near.withColumns({
         name: F.when(F.col("_near.km") > limit_km, fixed.OTHER)
         .when(F.col("_near.km").isNotNull(), F.col("_near.name")),
@@ -25,8 +25,8 @@ def with_point(df: DataFrame, lat: str, lng: str, area: str | None = None,
                points=tuple(fixed.CURRENT_POINTS), limit_km: float = fixed.POINT_LIMIT_KM
                ) -> DataFrame:
     """Adds the nearest current point and its distance; one too far away is null."""
-    near = df.withColumn("_near", geo.nearest_place(lat, lng, points, area))
-    close = (F.col("_near.km") <= limit_km) & ~F.col("_near.off")
+    near = geo.with_nearest(df, lat, lng, points, area)
+    close = F.col("_near.km") <= limit_km
     return near.withColumns({name: F.when(close, F.col("_near.name")),
                              km: F.when(close, F.col("_near.km"))}).drop("_near")
 
@@ -80,38 +80,47 @@ def classify_spots(df: DataFrame, spot: str, lat: str, lng: str,
 
 def grid_points(grid: DataFrame, points=tuple(fixed.CURRENT_POINTS), day: str = "day",
                 lat: str = "lat", lon: str = "lon", depth: str | None = "depth",
-                tolerance: float = fixed.GRID_TOLERANCE_DEG) -> DataFrame:
+                tolerance: float = fixed.GRID_TOLERANCE_DEG, source: str | None = None
+                ) -> DataFrame:
     """Current rows of named points from a gridded field in long form.
 
-    Latitude and longitude are each taken from their nearest grid line, depth
-    from the uppermost level. One aggregate finds the lines of all points; the
-    field itself is only joined with those few lines. A point more than the
+    Each day (of each source) has its own grid lines: latitude and longitude are
+    each taken from the day's nearest line, depth from its uppermost level. A
+    point whose cell the day lacks gives a row of nulls. A point more than the
     tolerance away is kept and flagged.
     """
-    if len(points) > geo.MAX_PLACES:
-        raise ValueError(f"at most {geo.MAX_PLACES} points expected")
-
-    def line(axis: str, at: float) -> Column:
-        return F.min_by(axis, F.struct(F.abs(F.col(axis) - at), F.col(axis)))
-
-    lines = grid.agg(
-        F.array(*[F.struct(F.lit(name).alias("point"), F.lit(p_lat).alias("point_lat"),
-                           F.lit(p_lon).alias("point_lon"), line(lat, p_lat).alias("_lat"),
-                           line(lon, p_lon).alias("_lon"))
-                  for name, p_lat, p_lon, _ in points]).alias("_points"),
-        *([F.min(depth).alias("_depth")] if depth else []))
-    lines = lines.select(F.inline("_points"), *(["_depth"] if depth else []))
-    condition = (grid[lat] == lines["_lat"]) & (grid[lon] == lines["_lon"])
+    keys = [day] if source is None else [source, day]
+    named = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("point"), F.lit(p_lat).alias("point_lat"),
+                 F.lit(p_lon).alias("point_lon")) for name, p_lat, p_lon, _ in points])).alias("_p")
+
+    def lines(axis: str, at: str, name: str) -> DataFrame:
+        """The nearest line of an axis, by key and point."""
+        near = grid.select(*keys, F.col(axis).alias("_line")).distinct().select(
+            *keys, "_line", named).select(*keys, "_line", "_p.*")
+        return near.groupBy(*keys, "point", "point_lat", "point_lon").agg(F.min_by(
+            "_line", F.struct(F.abs(F.col("_line") - F.col(at)), F.col("_line"))).alias(name))
+
+    wanted = lines(lat, "point_lat", "_lat").join(
+        lines(lon, "point_lon", "_lon").drop("point_lat", "point_lon"), [*keys, "point"])
     if depth:
-        condition = condition & (grid[depth] == lines["_depth"])
-    # As many rows as points were passed in, checked above.
-    rows = grid.join(F.broadcast(lines), condition)
+        wanted = wanted.join(grid.groupBy(*keys).agg(F.min(depth).alias("_depth")), keys)
+    field = grid.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(lat).alias("_g_lat"),
+                        F.col(lon).alias("_g_lon"),
+                        *([F.col(depth).alias("_g_depth")] if depth else []),
+                        "u", "v", "temp", "salt")
+    condition = (F.col("_lat") == F.col("_g_lat")) & (F.col("_lon") == F.col("_g_lon"))
+    for key in keys:
+        condition = condition & (F.col(key) == F.col(f"_k_{key}"))
+    if depth:
+        condition = condition & (F.col("_depth") == F.col("_g_depth"))
+    rows = wanted.join(field, condition, "left")
     u, v = F.col("u"), F.col("v")
     speed = compass.flow_speed(u, v)
     off = F.sqrt(F.pow(F.col("_lat") - F.col("point_lat"), F.lit(2.0))
                  + F.pow(F.col("_lon") - F.col("point_lon"), F.lit(2.0)))
     raw = rows.select(
-        F.col(day), "point", F.col("point_lat").alias("lat"), F.col("point_lon").alias("lon"),
+        *keys, "point", F.col("point_lat").alias("lat"), F.col("point_lon").alias("lon"),
         u.alias("u_ms"), v.alias("v_ms"), speed.alias("speed_ms"),
         compass.knots(speed).alias("speed_kn"), compass.flow_direction(u, v).alias("direction"),
         F.col("temp").alias("temp_c"), F.col("salt").alias("salinity"),
