@@ -82,17 +82,17 @@ def dup_first_anchor(spark, sf):
     return latest.after_first(view(spark, sf, "hourly"), ["user_id", "station", "day"], "event_id")
 
 
-NEAR = """SELECT event_id AS again, first, n - 1 - CASE WHEN same = 1 THEN 0
-              WHEN event_id = same_first THEN same - 1 ELSE 1 END AS partners
-          FROM (SELECT event_id,
-              count(*) OVER w AS n, min(event_id) OVER w AS first,
-              count(*) OVER s AS same, min(event_id) OVER s AS same_first
-              FROM hourly WINDOW w AS (PARTITION BY day, station ORDER BY CAST(value AS DECIMAL(20,6))
-                  RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING),
-              s AS (PARTITION BY day, station, value, code))"""
+# All pairs of one day and station within 2, but not the first and a repeat of the same columns.
+NEAR = """SELECT a.event_id AS again, min(b.event_id) AS first, count(*) AS partners
+          FROM anchored a JOIN anchored b ON a.day = b.day AND a.station = b.station
+              AND a.event_id <> b.event_id AND b.value BETWEEN a.value - 2 AND a.value + 2
+          WHERE NOT (a.anchor = b.anchor AND (a.event_id = a.anchor OR b.event_id = b.anchor))
+          GROUP BY a.event_id"""
+ANCHORED = """SELECT *, min(event_id) OVER (PARTITION BY day, station, value, code) AS anchor
+              FROM hourly"""
 
 
-@query(with_views("hourly", near=NEAR) + "SELECT * FROM near WHERE partners > 0")
+@query(with_views("hourly", anchored=ANCHORED, near=NEAR) + "SELECT * FROM near")
 def dup_near(spark, sf):
     return latest.near_duplicates(view(spark, sf, "hourly"), ["day", "station"], "value",
                                   "event_id", ["day", "station", "value", "code"])
@@ -104,10 +104,10 @@ def _level(name: str, keys: str) -> str:
             f"WHERE event_id > first")
 
 
-@query(with_views("hourly", near=NEAR) + " UNION ALL ".join([
+@query(with_views("hourly", anchored=ANCHORED, near=NEAR) + " UNION ALL ".join([
     _level("complete", "value, k"), _level("source", "user_id, station, day"),
     _level("pseudo", "day, station, value, code"),
-    "SELECT 'near', first, again, partners FROM near WHERE partners > 0"]))
+    "SELECT 'near', first, again, partners FROM near"]))
 def dup_levels(spark, sf):
     rows = view(spark, sf, "hourly").withColumns({
         "id": F.concat_ws("|", F.col("value").cast("string"), F.col("k").cast("string")),

@@ -150,15 +150,22 @@ def test_near_duplicates_against_all_pairs(spark):
                 pseudo.add((first_of[key], row[0]))
             else:
                 first_of[key] = row[0]
-    partners, band = {}, {}
+    partners, first = {}, {}
     for a, b in itertools.combinations(rows, 2):
         x, y = number(a[3]), number(b[3])
         if all(a[1:3]) and a[1:3] == b[1:3] and x is not None and y is not None and abs(x - y) <= 2:
             for one, other in ((a, b), (b, a)):
-                band[one[0]] = min(band.get(one[0], one[0]), other[0])
                 if (a[0], b[0]) not in pseudo:
+                    first[one[0]] = min(first.get(one[0], other[0]), other[0])
                     partners[one[0]] = partners.get(one[0], 0) + 1
-    assert got == {i: (min(band[i], i), n) for i, n in partners.items()}
+    assert got == {i: (first[i], n) for i, n in partners.items()}
+
+
+def test_near_duplicates_of_odd_sizes(spark):
+    df = spark.createDataFrame([(1, "d", "1e20"), (2, "d", "1e20"), (3, "d", "inf"), (4, "d", "nan"),
+                                (5, "d", "0.0000001"), (6, "d", "2")], "i long, day string, size string")
+    got = latest.near_duplicates(df, ["day"], "size", "i", ["day", "size"])
+    assert {tuple(r) for r in got.collect()} == {(5, 6, 1), (6, 5, 1)}
 
 
 def test_repeats_are_counted_against_first(spark):

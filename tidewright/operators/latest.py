@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numbers import to_number
+from ..functions.numbers import finite, to_number
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -58,37 +58,75 @@ def near_duplicates(df: DataFrame, keys: Sequence[str], size: str, seq: str,
                     same: Sequence[str], within: int = 2) -> DataFrame:
     """Rows that share the keys with another row of nearly the same size.
 
-    Gives per row its number of such partners and the first row of its size
-    band, instead of every pair: the output stays as long as the input however
-    many rows share a key. Pairs already known as the first and a repeat of the
-    ``same`` columns are not counted. Sizes are compared as decimals. Rows are
-    first counted by size, and a band only looks into its own and the two
-    neighbouring size steps.
+    Gives per row (``again``) its number of such partners and the smallest of
+    them (``first``), instead of every pair: the output stays as long as the
+    input however many rows share a key. A pair of the first and a repeat of the
+    ``same`` columns is known already and none of these pairs. Sizes are doubles,
+    and a partner's is not below the own less and not above the own plus
+    ``within``; those that are not finite numbers are left out.
+
+    Rows are first counted by key and size, and a band only looks into its own
+    and the two neighbouring size steps. The smallest row of a band is the partner
+    wanted, but for that row itself and for the repeats it is the first of; the
+    bands of those few sizes are looked at once more, a few rows of each size.
     """
     rows = (df.where(_filled(keys))
-            .withColumn("_size", to_number(F.col(size).cast("string")).cast("decimal(20,6)"))
+            .withColumn("_size", finite(to_number(F.col(size).cast("string"))))
             .where(F.col("_size").isNotNull())
             .select(seq, "_size", *dict.fromkeys([*keys, *same])))
+    repeats = (rows.where(_filled(same)).groupBy(*same)
+               .agg(F.count(seq).alias("_same"), F.min(seq).alias("_same_first"))
+               .where(F.col("_same") > 1))
+    # The first row of each set of repeats, or the row itself, stands for its set.
+    rows = rows.join(repeats, [*same], "left").select(
+        *keys, F.col(seq).alias("again"), "_size", "_same", "_same_first",
+        F.coalesce("_same_first", F.col(seq)).alias("_set"))
+    def step_of(name: str) -> Column:
+        """Whole number of steps below, as a double: a long has no room for large sizes."""
+        return F.col(name) / within - F.pmod(F.col(name) / within, F.lit(1.0))
+
+    step = step_of("_size")
+    steps = F.explode(F.array_distinct(F.array(step - 1, step, step + 1)))
     sizes = rows.groupBy(*keys, "_size").agg(
-        F.count(seq).alias("_rows"), F.min(seq).alias("_first"))
-    step = F.floor(F.col("_size") / within)
-    spread = sizes.withColumn("_step", F.explode(F.array(step - 1, step, step + 1)))
+        F.count("again").alias("_rows"), F.min("again").alias("_first"))
     over = (f"over (partition by {', '.join(f'`{k}`' for k in keys)}, _step order by _size "
-            f"range between {within}BD preceding and {within}BD following)")
-    bands = (spread.withColumn("_in_band", F.expr(f"sum(_rows) {over}"))
+            f"range between {within}D preceding and {within}D following)")
+    bands = (sizes.withColumn("_step", steps).withColumn("_in_band", F.expr(f"sum(_rows) {over}"))
              .withColumn("_band_first", F.expr(f"min(_first) {over}"))
-             .where(F.col("_step") == step)
-             .where(F.col("_in_band") > 1)
+             .where((F.col("_step") == step) & (F.col("_in_band") > 1))
              .select(*keys, "_size", "_in_band", "_band_first"))
-    repeats = (rows.where(_filled(same)).groupBy(*same)
-               .agg(F.count(seq).alias("_same"), F.min(seq).alias("_same_first"))
-               .where(F.col("_same") > 1))
-    known = F.when(F.col(seq) == F.col("_same_first"), F.col("_same") - 1).when(
+    known = F.when(F.col("again") == F.col("_same_first"), F.col("_same") - 1).when(
         F.col("_same").isNotNull(), F.lit(1)).otherwise(F.lit(0))
-    return (rows.join(bands, [*keys, "_size"]).join(repeats, [*same], "left")
-            .withColumn("partners", F.col("_in_band") - 1 - known)
-            .where(F.col("partners") > 0)
-            .select(F.col(seq).alias("again"), F.col("_band_first").alias("first"), "partners"))
+    found = rows.join(bands, [*keys, "_size"]).withColumn(
+        "partners", F.col("_in_band") - 1 - known).where(F.col("partners") > 0)
+    passed_over = F.col("_band_first") == F.col("_set")  # the row itself, or the first of its set
+
+    def smallest(table: DataFrame, per: Sequence[str], count: int) -> DataFrame:
+        order = Window.partitionBy(*per).orderBy("again")
+        return table.withColumn("_nth", F.row_number().over(order)).where(
+            F.col("_nth") <= count).drop("_nth")
+
+    def few(table: DataFrame, per: Sequence[str]) -> DataFrame:
+        """The three smallest rows and the smallest rows of two sets."""
+        by_set = table.groupBy(*per, "_set").agg(F.min("again").alias("again"))
+        columns = [*per, "again", "_set"]
+        return smallest(table.select(columns), per, 3).unionByName(
+            smallest(by_set, per, 2).select(columns)).distinct()
+
+    again = found.where(passed_over).select(*keys, F.col("_size").alias("_at")).distinct()
+    again = again.withColumn("_step", F.explode(F.array_distinct(F.array(*[
+        step_of("_at") + i for i in (-1, 0, 1)]))))
+    near = few(rows, [*keys, "_size"]).withColumn("_step", step).join(again, [*keys, "_step"]).where(
+        F.col("_size").between(F.col("_at") - within, F.col("_at") + within))
+    lists = few(near, [*keys, "_at"]).groupBy(*keys, F.col("_at").alias("_size")).agg(
+        F.collect_list(F.struct("again", "_set")).alias("_near"))  # five at most
+
+    leads = F.coalesce(F.col("again") == F.col("_same_first"), F.lit(False))
+    other = F.filter("_near", lambda n: F.when(leads, n["_set"] != F.col("_set")).otherwise(
+        (n["again"] != F.col("again")) & (n["again"] != F.col("_set"))))
+    return found.join(lists, [*keys, "_size"], "left").select(
+        "again", F.when(passed_over, F.array_min(other)["again"]).otherwise(
+            F.col("_band_first")).alias("first"), "partners")
 
 
 def duplicates(df: DataFrame, seq: str, id_column: str, detail: str,
