@@ -521,6 +521,30 @@ def go_nogo(spark, sf):
                       F.array_join("tags", "/").alias("tags"))
 
 
+# Every seventh wave is not a number, every eleventh infinite, every thirteenth missing.
+ODD_WAVE = """CASE WHEN CAST(wave_direction AS INT) % 13 = 0 THEN NULL
+    WHEN CAST(wave_direction AS INT) % 7 = 0 THEN CAST('NaN' AS DOUBLE)
+    WHEN CAST(wave_direction AS INT) % 11 = 0 THEN CAST('Infinity' AS DOUBLE)
+    ELSE wave_height END AS wave_height"""
+KNOWN_WAVE = """CAST(wave_direction AS INT) % 13 <> 0 AND CAST(wave_direction AS INT) % 7 <> 0
+    AND CAST(wave_direction AS INT) % 11 <> 0"""
+
+
+@query(with_views("fc", **GO_PARTS, odd=f"SELECT place, time AS t, {KNOWN_WAVE} AS known FROM fc") + f"""
+    SELECT s.place, s.t, CASE WHEN known THEN raw END AS raw,
+           CAST(CASE WHEN known THEN {CLASS.format('raw')} ELSE 0 END AS BIGINT) AS score
+    FROM scored s JOIN odd ON odd.place = s.place AND odd.t = s.t""")
+def go_nogo_unknown(spark, sf):
+    """Hours without a known wave are of the worst class."""
+    rows = _forecast(spark, sf).withColumnRenamed("wave", "wave_height")
+    odd = rows.join(aggregated(spark, sf, "fc").select(
+        "place", F.col("time").alias("t"), "wave_direction"), ["place", "t"])
+    odd = odd.selectExpr("place", "t", "wind", "dir", "wave_dir", "wind_wave", "rain",
+                         ODD_WAVE.replace("AS wave_height", "AS wave"))
+    out = score.go_nogo(odd, "place", "t")
+    return out.select("place", "t", "raw", F.col("score").cast("long").alias("score"))
+
+
 @query(with_views("fc", **GO_PARTS, d=f"""SELECT place, substr(t, 1, 10) AS day, coalesce(
         avg(CASE WHEN substr(t, 12, 2) IN ('06', '12') THEN raw END), arg_min(raw, t)) AS m
         FROM scored GROUP BY ALL""", e=f"SELECT place, day, {JS_TENTH.format('m')} AS raw FROM d")

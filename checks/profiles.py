@@ -28,6 +28,17 @@ def profile_stats(spark, sf):
     return profile.summary(rows, ["species", "metric"])
 
 
+@query(with_views("catch", long="""SELECT species, 'weight' AS metric, CASE WHEN l_partkey % 7 < 3
+        THEN NULL ELSE weight END AS value FROM catch""", **summary_parts("long", ["species", "metric"]))
+       + "SELECT * FROM s_out")
+def profile_nonfinite(spark, sf):
+    """Values that are not finite count as missing."""
+    rows = view(spark, sf, "catch").withColumn("weight", F.expr("""CASE l_partkey % 7
+        WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN CAST('Infinity' AS DOUBLE)
+        WHEN 2 THEN CAST('-Infinity' AS DOUBLE) ELSE weight END"""))
+    return profile.summary(profile.metrics_long(rows, ["species"], ["weight"]), ["species", "metric"])
+
+
 @query(with_views("catch", long=LONG, **summary_parts("long", ["metric"])) + "SELECT * FROM s_out")
 def baseline(spark, sf):
     return profile.summary(profile.metrics_long(view(spark, sf, "catch"), [], METRICS), ["metric"])

@@ -5,11 +5,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tidewright import session
 from tidewright.functions import fixed, text
 from tidewright.functions.numbers import round_columns
 from tidewright.operators import merge, normalise, quality, spatial
 from tidewright.operators.latest import keep_first
-from tidewright.plans import wide
+from tidewright.plans import ingest, wide
 from tidewright.session import fresh_path
 from tidewright.sources import dimensions, files, payload, sinks
 from tidewright.streaming import jobs
@@ -294,6 +295,81 @@ def merge_replace(spark, sf):
     return out.select("id", "boat", "l_partkey")
 
 
+# ---- the ingest job ------------------------------------------------------------------------------
+
+# Catch rows of line items; many agree in all but the tide, which is no part of an id.
+DROPPED = {"date": SHIP_DAY, "species": "l_returnflag || l_linestatus",
+           "size_cm": "CAST(CAST(l_quantity AS BIGINT) AS STRING)",
+           "spot": "CASE l_suppkey % 3 WHEN 0 THEN '室戸沖' WHEN 1 THEN '宇和島' ELSE '甲浦' END",
+           "tide": "CASE l_partkey % 4 WHEN 0 THEN '大潮' WHEN 1 THEN '中潮' WHEN 2 THEN '小潮' ELSE '若潮' END",
+           "source": "'Manual'"}
+DROP_ORDER = ["l_orderkey", "l_linenumber", *ROW_ORDER]
+DROP_BOAT = "'boat' || CAST(l_orderkey % 4 AS STRING)"  # boat2 sends a bad file, boat3 is of elsewhere
+DROP_OUT = ["boat_id", "date", "species", "size_cm", "spot", "tide", "source"]
+_ID = "boat_id, date, species, size_cm, spot"
+INGEST = f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY {_ID} ORDER BY {', '.join(DROP_ORDER)}) AS rn
+        FROM (SELECT {DROP_BOAT} AS boat_id, {', '.join(f'{e} AS {c}' for c, e in DROPPED.items() if c != 'source')},
+              'manual' AS source, {', '.join(DROP_ORDER)} FROM lineitem)),
+    kept AS (SELECT * FROM r WHERE l_orderkey % 3 = 0),
+    old AS (SELECT * REPLACE (row_number() OVER (PARTITION BY {_ID} ORDER BY {', '.join(DROP_ORDER)}) AS rn)
+            FROM kept),
+    stored AS (SELECT * FROM old WHERE rn = 1),
+    fresh AS (SELECT * FROM r WHERE rn = 1 AND boat_id IN ('boat0', 'boat1')),
+    added AS (SELECT * FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.boat_id = f.boat_id
+        AND s.date = f.date AND s.species = f.species AND s.size_cm = f.size_cm AND s.spot = f.spot)) """
+_OUT = ", ".join(DROP_OUT)
+
+
+def _drops(spark, sf):
+    rows = table(spark, sf, "lineitem")
+    return rows.select(*[F.expr(DROPPED.get(c, "''")).alias(c) for c in fixed.CATCH_COLUMNS],
+                       F.expr(DROP_BOAT).alias("boat_id"), *DROP_ORDER)
+
+
+def _ingest(spark, sf, sent, **options):
+    """Drop files of some boats written, read strictly and merged into a stored master."""
+    rows, inbox = _drops(spark, sf), fresh_path(spark, "inbox")
+    for boat in sent:
+        own = rows.where(F.col("boat_id") == boat).orderBy(*DROP_ORDER)
+        names = [c for c in fixed.CATCH_COLUMNS if (boat, c) != ("boat2", "memo")]
+        sinks.write_columns(own, names, f"{inbox}/fishing_data_{boat}.csv")
+    boats = spark.createDataFrame([(b, "there" if b == "boat3" else "here") for b in
+                                   ("boat0", "boat1", "boat2", "boat3")], "boat_id string, area_id string")
+    drops, rejected = ingest.read_drops(spark, f"{inbox}/*.csv", boats, "here")
+    old = rows.where("l_orderkey % 3 = 0")
+    stored = normalise.to_master(old, F.col("boat_id"), F.lit("here"), passed=DROP_ORDER)
+    master = keep_first(stored, ["record_id"], DROP_ORDER).select(*fixed.MASTER_COLUMNS)
+    return ingest.ingest(session.written(master, "master"), session.written(drops, "drops"),
+                         session.written(rejected, "rejected"), "here", **options)
+
+
+@query(INGEST + f"SELECT {_OUT} FROM stored UNION ALL SELECT {_OUT} FROM added")
+def ingest_job(spark, sf):
+    return _ingest(spark, sf, ["boat0", "boat1", "boat2", "boat3"]).rows.select(*DROP_OUT)
+
+
+@query(INGEST + """SELECT s.boat_id, s.n AS scanned, coalesce(a.n, 0) AS added,
+        s.n - coalesce(a.n, 0) AS skipped
+    FROM (SELECT boat_id, count(*) AS n FROM r WHERE boat_id IN ('boat0', 'boat1') GROUP BY boat_id) s
+    LEFT JOIN (SELECT boat_id, count(*) AS n FROM added GROUP BY boat_id) a ON a.boat_id = s.boat_id""")
+def ingest_report(spark, sf):
+    return _ingest(spark, sf, ["boat0", "boat1", "boat2", "boat3"]).report
+
+
+@query("SELECT 'fishing_data_boat2.csv' AS \"_file\", 'header' AS reason UNION ALL "
+       "SELECT 'fishing_data_boat3.csv', 'other_area'")
+def ingest_rejected(spark, sf):
+    return _ingest(spark, sf, ["boat0", "boat2", "boat3"]).rejected
+
+
+@query(INGEST + f"""SELECT {_OUT} FROM stored WHERE boat_id <> 'boat1'
+    UNION ALL SELECT {_OUT} FROM fresh WHERE boat_id = 'boat1'
+    UNION ALL SELECT {_OUT} FROM added WHERE boat_id <> 'boat1'""")
+def ingest_replace(spark, sf):
+    return _ingest(spark, sf, ["boat0", "boat1"], mode="replace",
+                   replace_boats=["boat1"]).rows.select(*DROP_OUT)
+
+
 GUARDED = ["boat0", "boat1", "boat2", "boat9"]
 
 

@@ -11,6 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidewright.functions import compass, fixed, geo, numbers, sky, text
+from tidewright.operators import profile
 
 
 def one(spark, column, **values):
@@ -186,3 +187,14 @@ def test_sectors(spark):
 def test_weather_text(spark):
     out = many(spark, [(61,), (62,), (None,)], "c int", text.weather_text(F.col("c")))
     assert out == [("弱い雨",), ("code62",), ("",)]
+
+
+def test_numbers_that_are_not_finite(spark):
+    rows = [(1, float("nan")), (2, float("inf")), (3, float("-inf")), (4, None), (5, 90.0)]
+    df = spark.createDataFrame(rows, "i int, v double")
+    out = df.select("i", compass.sector8(F.col("v")).alias("s8"), compass.sector16(F.col("v")).alias("s16"),
+                    compass.sector16_up(F.col("v")).alias("up"), profile.amount(F.col("v")).alias("n")).collect()
+    assert [(r.s8, r.s16, r.up, r.n) for r in sorted(out)][:4] == [(None, None, None, 1)] * 4
+    assert sorted(out)[4].n == 90 and sorted(out)[4].s8 == fixed.COMPASS_8[2]
+    whole = spark.createDataFrame([("1" * 30,), ("+7 ",), ("x",)], "t string")
+    assert [r[0] for r in whole.select(numbers.to_int(F.col("t"))).collect()] == [int("1" * 30), 7, None]

@@ -54,6 +54,20 @@ def test_ingest_adds_once(spark, boats, tmp_path):
     assert {r.source for r in master.collect()} == {"manual"}
     again = ingest.ingest(master, rows, rejected, "here")
     assert again.rows.count() == 2 and again.report.collect()[0].added == 0
+    assert ingest.commit(again, master, str(tmp_path / "store"), "t1") is None
+    assert not (tmp_path / "store").exists()
+
+
+def test_first_row_in_file_order_stays(spark, boats, tmp_path):
+    tides = ["長潮", "小潮", "中潮", "大潮"]
+    for n in range(3):
+        lines = [catch_line(size=str(i)) for i in range(40)]
+        drop(tmp_path, "fishing_data_b1.csv", *[line.replace("室戸沖,,,,", f"室戸沖,,,,{tide}")
+                                                for tide in tides[n:] + tides[:n] for line in lines])
+        rows, rejected = ingest.read_drops(spark, f"{tmp_path}/*.csv", boats, "here")
+        spread = rows.repartition(7)
+        kept = ingest.ingest(no_master(spark), spread, rejected, "here").rows.collect()
+        assert len(kept) == 40 and {r.tide for r in kept} == {tides[n]}
 
 
 def test_row_order_does_not_change_ids(spark, boats, tmp_path):
@@ -82,6 +96,7 @@ def test_replace_guards_the_master(spark, boats, tmp_path):
     done = ingest.ingest(master, rows, rejected, "here", "replace", ["b1"])
     assert {r.boat_id: r["count"] for r in done.rows.groupBy("boat_id").count().collect()} == {"b1": 7, "b2": 4}
     assert done.removed.count() == 10
+    assert {(r.boat_id, r.scanned, r.added, r.skipped) for r in done.report.collect()} == {("b1", 7, 7, 0)}
     with pytest.raises(ValueError):  # b2 has no incoming rows at all
         ingest.ingest(master, rows, rejected, "here", "replace", ["b1", "b2"], force=True)
     with pytest.raises(ValueError):
@@ -93,15 +108,16 @@ def test_replace_guards_the_master(spark, boats, tmp_path):
 
 def test_header_must_match(spark, boats, tmp_path):
     drop(tmp_path, "fishing_data_b1.csv", catch_line(), header=HEADER.replace("memo", "note"))
+    drop(tmp_path, "fishing_data_b2.csv", HEADER, catch_line(), header=catch_line(), bom=False)
     rows, rejected = ingest.read_drops(spark, f"{tmp_path}/*.csv", boats, "here")
-    assert rows.count() == 0 and [r.reason for r in rejected.collect()] == ["header"]
+    assert rows.count() == 0 and [r.reason for r in rejected.collect()] == ["header", "header"]
 
 
 def test_dates_are_brought_to_one_form(spark, boats, tmp_path):
     drop(tmp_path, "fishing_data_b1.csv", catch_line(date="2024/1/5"), catch_line(date="2024-01-05"))
     rows, rejected = ingest.read_drops(spark, f"{tmp_path}/*.csv", boats, "here")
-    assert ingest.ingest(no_master(spark), rows, rejected, "here").rows.count() == 2
-    one = ingest.ingest(no_master(spark), rows, rejected, "here", normalise_dates=True).rows.collect()
+    assert ingest.ingest(no_master(spark), rows, rejected, "here", normalise_dates=False).rows.count() == 2
+    one = ingest.ingest(no_master(spark), rows, rejected, "here").rows.collect()
     assert [(r.date, r.entered_at) for r in one] == [("2024-01-05", "2024-01-05T00:00:00+09:00")]
 
 

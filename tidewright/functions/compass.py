@@ -10,8 +10,8 @@ from .numbers import finite
 
 
 def _pick(names: Sequence[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(name) for name in names]),
-                        F.pmod(index, F.lit(len(names))).cast("int") + 1)
+    picked = F.get(F.array(*[F.lit(name) for name in names]), F.pmod(index, F.lit(len(names))))
+    return F.when(index.isNotNull(), picked)
 
 
 def sector8(degrees: Column, names: Sequence[str] = fixed.COMPASS_8) -> Column:

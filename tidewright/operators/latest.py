@@ -10,15 +10,12 @@ from ..functions.numbers import finite, to_number
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               keep_null_keys: bool = False) -> DataFrame:
-    """The last row of every key in the order of the given columns.
+    """The last row of every key in the order of the given columns, then of all others.
 
     An aggregate, not a window: each task reduces its rows to one per key before
     the shuffle, so a key with very many rows is no burden.
     """
-    rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    out = last.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    out = _one_row(df, keys, order, F.max)
     if not keep_null_keys:
         return out
     no_key = F.lit(True)
@@ -28,11 +25,17 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of every key in the order of the given columns."""
-    rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return first.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    """The first row of every key in the order of the given columns, then of all others."""
+    return _one_row(df, keys, order, F.min)
+
+
+def _one_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
+    ordered = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in ordered]
+    if not ordered and not rest:
+        return df.distinct()
+    row = df.groupBy(*keys).agg(pick(F.struct(*ordered, *rest)).alias("_row"))
+    return row.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def _filled(columns: Sequence[str]) -> Column:

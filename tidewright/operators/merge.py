@@ -92,6 +92,22 @@ def replace_rows(incoming: DataFrame, existing: DataFrame, key: str, group: str,
             .unionByName(others.select(*existing.columns)))
 
 
+def replace_report(incoming: DataFrame, existing: DataFrame, key: str, group: str,
+                   groups: Sequence[str]) -> DataFrame:
+    """Rows scanned, added and skipped by group when some groups are replaced.
+
+    Every id of a replaced group counts as added, as all its stored rows go.
+    """
+    scanned = incoming.groupBy(group).agg(F.count(F.lit(1)).alias("scanned"))
+    ids = incoming.select(group, key).distinct()
+    others = not_stored(without_groups(ids, group, groups), existing, key)
+    added = ids.where(F.col(group).isin(*groups)).unionByName(others).groupBy(group).agg(
+        F.count(F.lit(1)).alias("added"))
+    return (scanned.join(added, group, "left")
+            .withColumn("added", F.coalesce("added", F.lit(0)))
+            .withColumn("skipped", F.col("scanned") - F.col("added")))
+
+
 def check_references(files: DataFrame, dimension: DataFrame, key: str, area: str,
                      at_area: str) -> DataFrame:
     """Status of each dropped file's key: ok, unknown, or of another area."""

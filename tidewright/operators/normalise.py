@@ -93,14 +93,14 @@ def entered_at(date: Column) -> Column:
 
 
 def to_master(drops: DataFrame, boat: Column, area: Column, normalise_dates: bool = False,
-              namespace: str = fixed.RECORD_ID_NAMESPACE) -> DataFrame:
+              namespace: str = fixed.RECORD_ID_NAMESPACE, passed: Sequence[str] = ()) -> DataFrame:
     """Dropped catch rows to master rows: source form, entry time, content id.
 
     With ``normalise_dates`` other date formats are brought to one first, so ids
     and day joins do not depend on them; rows in the usual format keep their id.
     """
     rows = drops.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in fixed.CATCH_COLUMNS],
-                        boat.alias("boat_id"), area.alias("area_id"))
+                        boat.alias("boat_id"), area.alias("area_id"), *passed)
     rows = rows.withColumn("source", text.internal_source(F.col("source")))
     if normalise_dates:
         rows = rows.withColumn("date", text.iso_date(text.clean(F.col("date"))))
@@ -108,7 +108,7 @@ def to_master(drops: DataFrame, boat: Column, area: Column, normalise_dates: boo
     rows = text.with_record_id(rows, "record_id", F.col("boat_id"),
                                [F.col(c) for c in fixed.RECORD_ID_COLUMNS], namespace)
     return rows.select(*[F.col(c) if c in rows.columns else F.lit("").alias(c)
-                         for c in fixed.MASTER_COLUMNS])
+                         for c in fixed.MASTER_COLUMNS], *passed)
 
 
 def initial_master(catch: DataFrame, seq: str, namespace: str | None = None) -> DataFrame:

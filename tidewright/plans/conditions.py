@@ -46,8 +46,9 @@ def daily_conditions(gaps: DataFrame, archive: DataFrame, forecast: DataFrame, m
         chunk_of, ["station", "day"]).select("station", "chunk", "day", "水温")
     by_day = payload.daily_rows(water_daily, ["station", "chunk"], "sea_surface_temperature_mean",
                                 "水温").select("station", "chunk", "day", "水温")
-    water = _dated(precedence.hourly_else_daily(by_hour, by_day, ["station", "chunk"])
-                   ).drop("chunk").dropDuplicates(["station", "day"])
+    # Of a day in several chunks the last chunk counts.
+    water = keep_last(_dated(precedence.hourly_else_daily(by_hour, by_day, ["station", "chunk"])),
+                      ["station", "day"], ["chunk"]).drop("chunk")
     return enrich.condition_rows(gaps, daily, water, waves, "station", "day")
 
 

@@ -10,9 +10,6 @@ from ..functions import fixed
 from ..operators import merge, normalise
 from ..sources import files, sinks
 
-ORDER = ["date", "time", "species", "size_cm", "weight_kg", "count", "spot", "_file"]
-
-
 @dataclass
 class Ingest:
     """What an ingest would do: nothing is written before commit()."""
@@ -43,19 +40,20 @@ def read_drops(spark: SparkSession, inbox: str, boats: DataFrame, area: str
 
 def ingest(master: DataFrame, drops: DataFrame, rejected: DataFrame, area: str,
            mode: str = "add", replace_boats: Sequence[str] = (), force: bool = False,
-           normalise_dates: bool = False) -> Ingest:
+           normalise_dates: bool = True) -> Ingest:
     """Merge accepted rows into a master.
 
     "add" takes rows whose content id is new. "replace" exchanges all rows of the
     named boats, and refuses to if any file was rejected or any of those boats
-    fails the row-count guard.
+    fails the row-count guard. Of rows with one id the first in file order counts.
     """
     if mode not in ("add", "replace") or (mode == "replace") != bool(replace_boats):
         raise ValueError("replace needs boats to replace, add must not name any")
-    incoming = normalise.to_master(drops, F.col("boat_id"), F.lit(area), normalise_dates)
-    order = [c for c in ORDER if c in incoming.columns]
-    report = merge.add_report(incoming, master, "record_id", "boat_id", order)
+    order = [c for c in ("_file", "_place") if c in drops.columns]
+    incoming = normalise.to_master(drops, F.col("boat_id"), F.lit(area), normalise_dates,
+                                   passed=order)
     if mode == "add":
+        report = merge.add_report(incoming, master, "record_id", "boat_id", order)
         return Ingest(merge.add_rows(incoming, master, "record_id", order), report, rejected,
                       master.select("record_id").limit(0))
     if not rejected.isEmpty():
@@ -64,13 +62,19 @@ def ingest(master: DataFrame, drops: DataFrame, rejected: DataFrame, area: str,
         ~F.col("passed")).select("boat_id").collect()  # at most the boats asked for
     if failed:
         raise ValueError(f"too few rows for {sorted(r.boat_id for r in failed)}")
+    report = merge.replace_report(incoming, master, "record_id", "boat_id", replace_boats)
     return Ingest(
         merge.replace_rows(incoming, master, "record_id", "boat_id", replace_boats, order),
         report, rejected, merge.removed_keys(master, "boat_id", replace_boats, "record_id"))
 
 
-def commit(result: Ingest, master: DataFrame, root: str, stamp: str) -> str:
-    """Keep a copy of the master as it was, then write the new one to its own path."""
+def commit(result: Ingest, master: DataFrame, root: str, stamp: str) -> str | None:
+    """Keep a copy of the master as it was, then write the new one to its own path.
+
+    Nothing is written, and no path returned, if nothing comes in and nothing goes.
+    """
+    if result.report.where("added > 0").isEmpty() and result.removed.isEmpty():
+        return None
     sinks.snapshot(master, root, stamp)
     path = f"{root}/master/{stamp}"
     result.rows.write.mode("errorifexists").parquet(path)

@@ -27,26 +27,37 @@ def read_strict(spark: SparkSession, path: str | list[str], columns: Sequence[st
                 multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """CSV files whose every row has the header's width: (rows, rejected files).
 
-    One bad row, or a header that differs, rejects its whole file; the rows of
-    all other files go on. Rows carry their file name in ``_file``.
+    One bad row, or a first line that is not the header, rejects its whole file;
+    the rows of all other files go on. Rows carry their file's name in ``_file``
+    and sort by ``_place`` as they stand in it. A file may be a folder of parts
+    written by a job, which then is one file by the folder's name.
     """
     raw = (spark.read.schema(_texts([*columns, CORRUPT])).option("header", False)
            .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line)
            .option("quote", '"').option("escape", '"').csv(path)
-           .withColumn("_file", F.col("_metadata.file_name")))
+           .withColumns({
+               "_file": F.when(F.col("_metadata.file_name").startswith("part-"), F.element_at(
+                   F.split("_metadata.file_path", "/"), -2)).otherwise(F.col("_metadata.file_name")),
+               "_place": F.struct(F.col("_metadata.file_path").alias("path"),
+                                  F.col("_metadata.file_block_start").alias("block"),
+                                  F.monotonically_increasing_id().alias("row"))}))
     first = F.regexp_replace(F.col(columns[0]), "^﻿", "")
     is_header = F.lit(True)
     for name, value in zip(columns, [first, *[F.col(c) for c in columns[1:]]]):
         is_header = is_header & value.eqNullSafe(F.lit(name))
     marked = raw.withColumn("_header", is_header)
-    verdicts = marked.groupBy("_file").agg(
-        F.count(F.when(F.col(CORRUPT).isNotNull(), 1)).alias("bad_rows"),
-        F.count(F.when(F.col("_header"), 1)).alias("_headers"))
-    rejected = verdicts.where((F.col("bad_rows") > 0) | (F.col("_headers") != 1)).select(
-        "_file", "bad_rows", F.when(F.col("_headers") != 1, "header").otherwise("width")
+    parts = marked.groupBy("_file", "_place.path").agg(
+        F.count(F.when(F.col(CORRUPT).isNotNull(), 1)).alias("_bad"),
+        F.count(F.when(F.col("_header"), 1)).alias("_headers"), F.min("_place").alias("_first"),
+        F.min(F.when(F.col("_header"), F.col("_place"))).alias("_at"))
+    headed = (F.col("_headers") == 1) & F.col("_at").eqNullSafe(F.col("_first"))
+    verdicts = parts.groupBy("_file").agg(F.sum("_bad").alias("bad_rows"),
+                                          F.min(headed).alias("_headed"))
+    rejected = verdicts.where((F.col("bad_rows") > 0) | ~F.col("_headed")).select(
+        "_file", "bad_rows", F.when(~F.col("_headed"), "header").otherwise("width")
         .alias("reason"))
     rows = (marked.where(~F.col("_header")).join(rejected, "_file", "left_anti")
-            .select(*columns, "_file").fillna(""))
+            .select(*columns, "_file", "_place").fillna(""))
     return rows, rejected
 
 
