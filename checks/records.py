@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from tidewright import session
 from tidewright.functions import fixed, text
 from tidewright.functions.numbers import round_columns
-from tidewright.operators import merge, normalise, quality, spatial
+from tidewright.operators import merge, normalise, quality, rollup, spatial
 from tidewright.operators.latest import keep_first
 from tidewright.plans import ingest, wide
 from tidewright.session import fresh_path
 from tidewright.sources import dimensions, files, payload, sinks
 from tidewright.streaming import jobs
 
-from .joins import _nearest_sql
+from .joins import DAILY, S16, WEATHER_CODES, _nearest_sql
 from .registry import in_list, query, rounded, with_views
-from .views import POINTS, SHIP_DAY, aggregated, table, view
+from .views import POINTS, SHIP_DAY, TABLES, aggregated, table, view
 
 NAMESPACE = uuid.UUID(fixed.RECORD_ID_NAMESPACE).hex
 PREFIXES = "|".join(sorted(fixed.SPOT_PREFIXES, key=len, reverse=True))
@@ -515,25 +515,29 @@ def stream_ingest(spark, sf):
     path = fresh_path(spark, "ingested")
     key = F.concat_ws("|", F.col("user_id").cast("string"), "event_type", F.to_date("ts").cast("string"))
     for _ in range(2):
-        stream = _event_stream(spark, sf).withColumn("key", key)
-        jobs.ingest_new(stream, path, fresh_path(spark, "checkpoint"), "key",
-                        ["event_id"]).awaitTermination()
+        stream = _event_stream(spark, sf).withColumns({"key": key, "day": F.to_date("ts")})
+        jobs.ingest_new(stream, path, fresh_path(spark, "checkpoint"), "key", ["event_id"],
+                        partition="day").awaitTermination()
     return spark.read.parquet(path).select("event_id", "user_id", "event_type",
-                                           F.to_date("ts").cast("string").alias("day"))
+                                           F.col("day").cast("string").alias("day"))
 
 
-@query(f"""WITH d AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, avg(value) AS mean,
-        max(value) AS max FROM events GROUP BY 1, 2)
-    SELECT CAST(day AS STRING) AS day, event_type, n, {rounded('mean', 2)} AS mean, max FROM d
-    WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+@query(with_views("hourly", daily=DAILY) + f"""
+    SELECT station, CAST(day AS STRING) AS day, "気温_平均", "気温_最高", "気温_最低", "風速_最大",
+           {S16} AS "風向", "降水量", "天気コード", coalesce({WEATHER_CODES}["天気コード"],
+           'code' || CAST("天気コード" AS STRING)) AS "天気" FROM daily
+    WHERE CAST(day AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def stream_daily(spark, sf):
-    """Days that the watermark has closed."""
+    """Days that the watermark has closed, with all values of the daily roll-up."""
     path = fresh_path(spark, "daily")
-    stream = _event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    jobs.to_table(jobs.daily_means(stream, "ts", "event_type", "value"), path,
-                  fresh_path(spark, "checkpoint")).awaitTermination()
-    out = spark.read.parquet(path).withColumn("day", F.to_date("day").cast("string"))
-    return round_columns(out, 2, "mean")
+    stream = _event_stream(spark, sf).selectExpr(
+        *[f"{expression} AS `{column}`" for column, expression in TABLES["hourly"][1].items()])
+    stream = stream.withColumns({"wind": F.col("value") / 5.0, "rain": F.col("k").cast("double") / 10.0})
+    values = rollup.weather_values("hour", "value", "wind", "direction", "rain", "code", ["event_id"])
+    days = jobs.daily(stream, "ts", "station", values, rows=F.col("hour").isin(0, 6, 12, 18))
+    jobs.to_table(rollup.weather_texts(days), path, fresh_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(path).withColumns({
+        "day": F.col("day").cast("string"), "天気コード": F.col("天気コード").cast("long")})
 
 
 @query("""SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER

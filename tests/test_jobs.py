@@ -303,7 +303,7 @@ def test_stream_drops_late_rows(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema("ts timestamp, s string, v double").json(str(inbox))
-        jobs.to_table(jobs.daily_means(stream, "ts", "s", "v"), str(tmp_path / "out"),
+        jobs.to_table(jobs.daily(stream, "ts", "s", [F.count("v").alias("n")]), str(tmp_path / "out"),
                       str(tmp_path / "cp")).awaitTermination()
         return {str(r.day)[:10]: r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
 
@@ -313,6 +313,34 @@ def test_stream_drops_late_rows(spark, tmp_path):
     assert run() == {"2024-01-01": 2, "2024-01-02": 2}
 
 
+def test_stream_days_are_of_the_session_zone(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    times = ["2024-01-01T14:59:00Z", "2024-01-01T15:01:00Z", "2024-01-02T14:00:00Z", "2024-01-05T00:00:00Z"]
+    (tmp_path / "in/a.json").write_text("\n".join(json.dumps({"ts": t, "s": "a"}) for t in times))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        stream = spark.readStream.schema("ts timestamp, s string").json(str(tmp_path / "in"))
+        jobs.to_table(jobs.daily(stream, "ts", "s", [F.count("s").alias("n")]), str(tmp_path / "out"),
+                      str(tmp_path / "cp")).awaitTermination()
+        assert {str(r.day): r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {
+            "2024-01-01": 1, "2024-01-02": 2}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_stream_reads_the_partitions_of_a_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for day in ("d1", "d2"):
+        (tmp_path / f"in/{day}.json").write_text("\n".join(
+            json.dumps({"k": f"{day}{i}", "day": day}) for i in (1, 2, 1)))
+    for checkpoint in ("a", "b"):
+        stream = spark.readStream.schema("k string, day string").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+        jobs.ingest_new(stream, str(tmp_path / "t"), str(tmp_path / checkpoint), "k", [],
+                        partition="day").awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["d11", "d12", "d21", "d22"]
+
+
 def test_shared_folder_follows_the_session(spark):
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert folder is None or session.fresh_path(spark, "t").startswith(folder)

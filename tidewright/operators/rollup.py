@@ -28,14 +28,24 @@ def daily_weather(hourly: DataFrame, station: str, day: str, hour: str, temp: st
     tells rows of one hour apart where there are several.
     """
     daily = at_hours(hourly, hour).groupBy(station, day).agg(
-        one_decimal(F.avg(temp)).alias("気温_平均"),
-        one_decimal(F.max(temp)).alias("気温_最高"),
-        one_decimal(F.min(temp)).alias("気温_最低"),
-        one_decimal(F.max(wind)).alias("風速_最大"),
+        *weather_values(hour, temp, wind, direction, rain, code, order))
+    return weather_texts(daily)
+
+
+def weather_values(hour: str, temp: str, wind: str, direction: str, rain: str, code: str,
+                   order: Sequence[str] = ()) -> list[Column]:
+    """The aggregates of a day's weather; weather_texts() ends them."""
+    return [
+        one_decimal(F.avg(temp)).alias("気温_平均"), one_decimal(F.max(temp)).alias("気温_最高"),
+        one_decimal(F.min(temp)).alias("気温_最低"), one_decimal(F.max(wind)).alias("風速_最大"),
         at_first_maximum(F.col(direction), F.col(wind), F.col(hour),
                          *[F.col(c) for c in order]).alias("_direction"),
         one_decimal(F.sum(rain)).alias("降水量"),
-        F.max(F.col(code).cast("int")).alias("天気コード"))
+        F.max(F.col(code).cast("int")).alias("天気コード")]
+
+
+def weather_texts(daily: DataFrame) -> DataFrame:
+    """Direction and weather of aggregated days as words."""
     return (daily.withColumn("風向", F.coalesce(compass.sector16(F.col("_direction")), F.lit("")))
             .withColumn("天気", text.weather_text(F.col("天気コード"))).drop("_direction"))
 

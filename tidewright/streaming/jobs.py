@@ -4,7 +4,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import keep_first
@@ -12,14 +13,17 @@ from ..operators.merge import not_stored
 
 
 def ingest_new(stream: DataFrame, table: str, checkpoint: str, key: str, order: Sequence[str],
-               prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+               prepare: Callable[[DataFrame], DataFrame] | None = None,
+               partition: str | None = None) -> StreamingQuery:
     """Append rows with new keys to a Parquet table, batch by batch.
 
     A batch overwrites its own folder only and compares itself with all other
     folders, so one that runs again after a lost executor or driver gives the
     same table, and files dropped twice add nothing. The folder is named by the
     checkpoint as well, so a new checkpoint never touches older rows. The key
-    should be made of the content of a row.
+    should be made of the content of a row. With ``partition``, a column that
+    follows from the key, rows are stored by it and a batch is compared with the
+    stored rows of its own partitions only.
     """
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
@@ -28,8 +32,13 @@ def ingest_new(stream: DataFrame, table: str, checkpoint: str, key: str, order:
         rows = keep_first(prepare(batch) if prepare else batch, [key], order)
         stored = _stored(spark, table, rows.schema, run, number)
         if stored is not None:
+            if partition:
+                here = [r[0] for r in rows.select(partition).distinct().collect()]  # of one batch
+                stored = stored.where(F.col(partition).isin(here))
             rows = not_stored(rows, stored, key)
-        rows.write.mode("overwrite").parquet(f"{table}/run={run}/batch={number}")
+        writer = rows.write.mode("overwrite")
+        writer = writer.partitionBy(partition) if partition else writer
+        writer.parquet(f"{table}/run={run}/batch={number}")
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -37,26 +46,34 @@ def ingest_new(stream: DataFrame, table: str, checkpoint: str, key: str, order:
 
 def _stored(spark: SparkSession, table: str, schema, run: str, number: int) -> DataFrame | None:
     """Rows of all other batches; None before the first one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
     fields = T.StructType([*schema.fields, T.StructField("run", T.StringType()),
                            T.StructField("batch", T.LongType())])
-    stored = spark.read.schema(fields).parquet(table)
+    try:
+        stored = spark.read.schema(fields).parquet(table)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
     return stored.where((F.col("run") != run) | (F.col("batch") != number))
 
 
-def daily_means(stream: DataFrame, time: str, station: str, value: str, late: str = "1 hour"
-                ) -> DataFrame:
-    """Daily count, mean and maximum per station; days close behind the watermark.
+def daily(stream: DataFrame, time: str, station: str, values: Sequence[Column],
+          late: str = "1 hour", rows: Column | None = None) -> DataFrame:
+    """Aggregates per day and station; days close behind the watermark.
 
-    State is one row per open day and station. Rows later than the allowed delay
-    are dropped.
+    Days are those of the session's time zone. ``rows`` chooses the rows that
+    count; all of them move the watermark. State is one row per open day and
+    station. Rows later than the allowed delay are dropped.
     """
-    return (stream.withWatermark(time, late)
-            .groupBy(F.window(time, "1 day"), station)
-            .agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("max"))
-            .select(F.col("window.start").alias("day"), station, "n", "mean", "max"))
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    # The wall clock as if it were universal time, on which windows of a day are cut.
+    clock = F.from_utc_timestamp(F.col(time).cast("timestamp"), zone)
+    marked = stream.withColumn("_clock", clock).withWatermark("_clock", late)
+    if rows is not None:
+        marked = marked.where(rows)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("window.start") / 86400).cast("int"))
+    found = marked.groupBy(F.window("_clock", "1 day"), station).agg(*values)
+    return found.withColumn("day", day).drop("window")
 
 
 def first_per_key(stream: DataFrame, time: str, keys: Sequence[str], late: str = "1 hour"
