@@ -594,12 +594,13 @@ SUIT = dict(
     span="SELECT station, max(day) AS latest FROM env GROUP BY station",
     days="SELECT station, CAST(unnest(generate_series(latest - 29, latest, INTERVAL 1 DAY)) AS DATE) "
          "AS day FROM span",
-    pieces="""SELECT d.station, d.day, p.species, e.water, e.wave, e.tide, e.moon,
-        coalesce(t.label, '不明') AS label, p.*EXCLUDE (species), coalesce(l.pct, 0::DOUBLE) / 100 * 20 AS lp,
+    pieces=f"""SELECT d.station, d.day, p.species, e.water, e.wave, e.tide, e.moon,
+        coalesce(t.label, '不明') AS label, t.change1, t.change7, sp.v AS speed, p.*EXCLUDE (species), coalesce(l.pct, 0::DOUBLE) / 100 * 20 AS lp,
         coalesce(ts.pct, 0::DOUBLE) / 100 * 20 AS tp
         FROM days d CROSS JOIN prof p
         LEFT JOIN env2 e ON e.station = d.station AND e.day = d.day
         LEFT JOIN trend t ON t.point = d.station AND t.day = d.day
+        LEFT JOIN (SELECT day, v FROM cond WHERE point = '{POINTS[1]}') sp ON sp.day = d.day
         LEFT JOIN lshare l ON l.species = p.species AND l.label = coalesce(t.label, '不明')
         LEFT JOIN tshare ts ON ts.species = p.species AND ts.tide = e.tide""",
     total=f"""SELECT *, CASE WHEN water IS NOT NULL THEN greatest(0::DOUBLE, 40 - abs(water - wm)
@@ -611,7 +612,8 @@ SUIT = dict(
 
 @query(with_views("catch", "cond", **SUIT) + f"""
     SELECT station, CAST(day AS STRING) AS day, species, {rounded('s', 1)} AS score,
-           {rounded('water', 2)} AS water, tide, label, {rounded('wave', 2)} AS wave FROM total""")
+           {rounded('water', 2)} AS water, tide, label, {rounded('speed', 2)} AS speed,
+           {rounded('wave', 2)} AS wave, change1, change7 FROM total""")
 def suitability_30d(spark, sf):
     env = _conditions(spark, sf)
     catch = view(spark, sf, "catch")
@@ -623,11 +625,13 @@ def suitability_30d(spark, sf):
     profiles = numbers.groupBy("species").agg(*[
         F.max(F.when(F.col("metric") == m, F.col(s))).alias(f"{m}_{s}")
         for m, stats in wanted.items() for s in stats])
-    labels = trend.calendar_trend(env, "station", "day", "water").select("station", "day", "label")
+    labels = trend.calendar_trend(env, "station", "day", "water")
     shares = profile.label_shares(catch, labels.where(F.col("station") == POINTS[0]), "species",
                                   "day", "label")
     tides = profile.frequency(joined, ["species"], "tide")
-    out = score.suitability(env, labels, profiles, shares, tides, "station", "day", "species", POINTS)
+    speeds = env.where(F.col("station") == POINTS[1]).select("day", F.col("water").alias("speed"))
+    out = score.suitability(env, labels, profiles, shares, tides, "station", "day", "species", POINTS,
+                            speeds=speeds)
     return out.withColumn("day", F.col("day").cast("string"))
 
 

@@ -12,22 +12,27 @@ from .trend import last_days
 
 def suitability(conditions: DataFrame, labels: DataFrame, profiles: DataFrame,
                 label_shares: DataFrame, tide_shares: DataFrame, station: str, day: str,
-                species: str, stations: Sequence[str], days: int = 30) -> DataFrame:
+                species: str, stations: Sequence[str], days: int = 30,
+                speeds: DataFrame | None = None) -> DataFrame:
     """Score of every species on each of the last days of some stations.
 
-    conditions: station, day, water, wave, tide, moon; labels: station, day, label;
-    profiles: one row per species with water_mean, water_std, water_p25, water_p75,
+    conditions: station, day, water, wave, tide, moon; labels: station, day, label,
+    change1, change7 (of the water since the day and the week before); speeds: day,
+    speed of the current, one row per day; profiles: one row per species with water_mean, water_std, water_p25, water_p75,
     moon_mean, moon_std and wave_p75; the shares are percentages by species and
     label or tide. A mean, deviation or quartile of zero counts as missing.
     """
     keys = [station, day]
     recent = (last_days(conditions.where(F.col(station).isin(*stations)), station, day, days)
               .join(conditions.select(*keys, "water", "wave", "tide", "moon"), keys, "left")
-              .join(labels.select(*keys, "label"), keys, "left")
+              .join(labels.select(*keys, "label", "change1", "change7"), keys, "left")
               .withColumn("label", F.coalesce("label", F.lit(fixed.UNKNOWN))))
-    # Species meet days through the listed stations, an ordinary equi-join.
-    each = profiles.withColumn(station, F.explode(F.array(*[F.lit(s) for s in stations])))
-    rows = (each.join(recent, station)
+    recent = (recent.withColumn("speed", F.lit(None).cast("double")) if speeds is None
+              else recent.join(speeds.select(day, "speed"), day, "left"))
+    # Species meet days through station and number of the day, an ordinary equi-join.
+    each = (profiles.withColumn(station, F.explode(F.array(*[F.lit(s) for s in stations])))
+            .withColumn("_nth", F.explode(F.sequence(F.lit(0), F.lit(days - 1)))))
+    rows = (each.join(recent, [station, "_nth"])
             .join(label_shares.select(species, "label", F.col("pct").alias("_label_pct")),
                   [species, "label"], "left")
             .join(tide_shares.select(species, "tide", F.col("pct").alias("_tide_pct")),
@@ -58,8 +63,9 @@ def suitability(conditions: DataFrame, labels: DataFrame, profiles: DataFrame,
                   & (F.col("wave") <= F.col("wave_p75")), 10.0).otherwise(0.0)
     score = water + F.col("_label_pts") + F.col("_tide_pts") + moon + wave
     raw = rows.select(station, day, species, score.alias("score"), "water", "tide", "label",
-                      "wave")
-    return round_columns(round_columns(raw, 1, "score"), 2, "water", "wave")
+                      "speed", "wave", "change1", "change7")
+    return round_columns(round_columns(raw, 1, "score"), 2, "water", "speed", "wave", "change1",
+                         "change7")
 
 
 def go_criteria(document: Mapping | None = None) -> dict:

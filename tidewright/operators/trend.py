@@ -45,11 +45,12 @@ def calendar_trend(daily: DataFrame, point: str, day: str, value: str,
         "label", trend_label(F.col("change7"), words))
 
 
-def last_days(daily: DataFrame, point: str, day: str, days: int = 30) -> DataFrame:
-    """The calendar days up to the latest day of each point, present or not."""
+def last_days(daily: DataFrame, point: str, day: str, days: int = 30,
+              number: str = "_nth") -> DataFrame:
+    """The calendar days up to the latest day of each point, present or not, numbered from 0."""
     return daily.groupBy(point).agg(F.max(day).alias("_latest")).select(
-        point, F.explode(F.sequence(F.date_sub("_latest", days - 1), F.col("_latest"),
-                                    F.expr("interval 1 day"))).alias(day))
+        point, F.posexplode(F.sequence(F.date_sub("_latest", days - 1), F.col("_latest"),
+                                       F.expr("interval 1 day"))).alias(number, day))
 
 
 def trailing_period(df: DataFrame, day: str, last: Column, months: int) -> DataFrame:

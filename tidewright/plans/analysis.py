@@ -86,7 +86,9 @@ def analyse(catch: DataFrame, conditions: DataFrame, current: DataFrame, station
         "baseline_weather": profile.frequency(catch, [], c.weather),
         "station_water": profile.summary(conditions, ["station"], "water"),
         "predictions": score.suitability(conditions, labels, profiles, label_shares, shares,
-                                         "station", "day", c.species, [station]),
+                                         "station", "day", c.species, [station],
+                                         speeds=current.where(F.col("point") == point).select(
+                                             "day", "speed")),
         "timeline": timeline.timeline(
             conditions, current, catch.withColumnRenamed(c.day, "day"), "station", "day", "point",
             station, point, c.species, c.weight),
