@@ -8,8 +8,9 @@ components are what links reach. Nothing is sampled or cut off; the steps:
 2. Documents with equal sets are one class. Classes with equal prefixes (the first quarter of the
    tokens, one of which two linked sets must share) and equal sizes are one group; only groups
    enter the join, each prefix token as one entry of that token's list.
-3. Tokens of one group only go. Of the rest, a group stays in a list only if some size in that
-   list can still reach the similarity, given the places of the token in the prefixes.
+3. Tokens of one group only go; a filter of ``FILTER_BITS`` bits spares most of them the
+   shuffle. Of the rest, a group stays in a list only if some size in that list can still reach
+   the similarity, given the places of the token in the prefixes.
 4. Groups are expanded to their classes. Instead of all pairs of a list, every class is first
    verified against the one whose token comes earliest, which in a family of near copies is the
    one nearest to all; components of these links are made.
@@ -43,7 +44,7 @@ from .components import components
 WORDS = 5
 CELLS = 1 << 20
 SLICES = 64  # parts in which the counts are added up
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 25  # 4 MB; a corpus that fills the filter passes it whole
 
 
 def _sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -144,18 +145,50 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 _REACH = "7L * (n - pos) - 3L * n"
 
 
+def _bits(rows: DataFrame, key: str) -> np.ndarray:
+    """Which of ``FILTER_BITS`` bits the values of a column set; words of 64 bits."""
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    found = rows.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return held
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Prefix tokens (s) that more than one entry has, and a few more that pass the filter."""
+    tokens = rows.where("size(prefix) > 0").select("grp", "n", "prefix")
+    common = tokens.select(F.explode("prefix").alias("s")).groupBy("s").count().where("count > 1")
+    held = _bits(common, "s")
+
+    def passed(batches):
+        for batch in batches:
+            token, slot = (batch.column(c).flatten().to_numpy(zero_copy_only=False)
+                           for c in ("prefix", "slot"))
+            size = batch.column("prefix").value_lengths().to_numpy()
+            owner = np.repeat(np.arange(len(size)), size)
+            pos = ranges(np.zeros(len(size), np.int64), size)
+            at = np.flatnonzero(held[slot >> 6] >> (slot & 63) & 1)
+            for part in range(0, len(at), 1 << 16):
+                here = at[part:part + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token[here]), *(batch.column(c).take(pa.array(owner[here]))
+                                              for c in ("grp", "n")), pa.array(pos[here].astype(np.int32))],
+                    names=["s", "grp", "n", "pos"])
+
+    slots = F.transform("prefix", lambda t: F.pmod(F.xxhash64(t), F.lit(FILTER_BITS)))
+    return written(tokens.withColumn("slot", slots).mapInArrow(
+        passed, "s long, grp long, n int, pos int"), "join-shared")
+
+
 def lists(rows: DataFrame) -> DataFrame:
     """Entries (s, node, n, pos, reach) of all lists in which two classes may still link."""
-    entries = rows.where("size(prefix) > 0").select(
-        "grp", "n", F.posexplode("prefix").alias("pos", "s"))
-    common = entries.groupBy("s").count().where("count > 1").select(F.col("s").alias("c_s"))
-    shared = written(entries.join(common, F.col("s") == F.col("c_s"), "left_semi"), "join-shared")
-    shared = shared.distinct().withColumn("reach", F.expr(_REACH))
+    shared = _shared(rows).withColumn("reach", F.expr(_REACH))
     bounds = shared.groupBy(F.col("s").alias("b_s")).agg(
         F.min("grp").alias("first"), F.max("grp").alias("last"), F.min("n").alias("least"),
         F.max("reach").alias("most")).where("first <> last")
     open_ = shared.join(bounds, F.col("s") == F.col("b_s")).where(
-        "reach >= 3 * least AND most >= 3 * n").select("s", "grp", "n", "pos", "reach")
+        "reach >= 3 * least AND most >= 3 * n").select("s", "grp", "n", "pos", "reach").distinct()
 
     members = rows.where("node IS NOT NULL").select(
         F.col("grp").alias("m_grp"), "node", F.col("n").alias("m_n")).distinct()
@@ -169,42 +202,33 @@ def lists(rows: DataFrame) -> DataFrame:
     return written(expanded.unionByName(inside), "join-lists")
 
 
-def shingle_sets(docs: DataFrame, classes: DataFrame, entries: DataFrame) -> DataFrame:
-    """node, n and the shingles of one document of each class in ``entries``.
+def shingle_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node and the shingles of one document of each class in ``pairs`` (a, b).
 
     Documents are picked by a filter of ``FILTER_BITS`` bits over doc_id, so texts are not
-    shuffled; the classes that pass it by chance match no pair.
+    shuffled; classes that pass it by chance are in no pair.
     """
-    wanted = classes.join(entries.select(F.col("node").alias("e_node")).distinct(),
-                          F.col("node") == F.col("e_node"), "left_semi")
-    slot = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(FILTER_BITS))
-    picked = wanted.select(slot.alias("slot")).groupBy(
-        F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr(
-            "shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).collect()
-    held = np.zeros(FILTER_BITS // 64, np.int64)
-    for word, bits in picked:
-        held[word] = bits
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("p_node")).distinct()
+    wanted = classes.join(nodes, F.col("node") == F.col("p_node"), "left_semi")
+    held = _bits(wanted, "doc_id")
 
     def sets(batches):
         for batch in batches:
             slots = batch.column("slot").to_numpy()
-            passed = held[slots >> 6] >> (slots & 63) & 1 == 1
-            batch = batch.filter(pa.array(passed))
+            batch = batch.filter(pa.array(held[slots >> 6] >> (slots & 63) & 1 == 1))
             for part in pieces(batch):
                 value, ends = _sets(part)
                 data, at = value.tobytes(), ends.tolist()
                 parts = [data[8 * a:8 * b] for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([_ids(x) for x in parts], pa.int64()),
-                     pa.array(np.diff(ends).astype(np.int32)), pa.array(parts, pa.binary())],
-                    names=["doc_id", "node", "n", "shingles"])
+                    [pa.array([_ids(x) for x in parts], pa.int64()), pa.array(parts, pa.binary())],
+                    names=["f_node", "shingles"])
 
-    found = docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(
-        sets, "doc_id long, node long, n int, shingles binary")
-    found = found.withColumnsRenamed({"doc_id": "f_id", "node": "f_node", "n": "f_n"})
-    one = found.join(wanted, (F.col("f_node") == F.col("node")) & (F.col("f_n") == F.col("n"))
-                     & F.col("f_id").eqNullSafe(F.col("doc_id")))
-    return written(one.select("node", "n", "shingles").dropDuplicates(["node", "n"]), "join-sets")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    found = docs.select("text", slot.alias("slot")).mapInArrow(sets, "f_node long, shingles binary")
+    one = found.join(nodes, F.col("f_node") == F.col("p_node")).select(
+        F.col("f_node").alias("node"), "shingles").dropDuplicates(["node"])
+    return written(one, "join-sets")
 
 
 def _linked(batches):
@@ -219,8 +243,10 @@ def _linked(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The links among pairs of classes (a, b)."""
+    pairs = written(pairs, "join-pairs")
+    sets = shingle_sets(docs, classes, pairs)
     left = sets.select(F.col("node").alias("x_node"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("y_node"), F.col("shingles").alias("y"))
     both = pairs.join(left, F.col("a") == F.col("x_node")).join(right, F.col("b") == F.col("y_node"))
@@ -282,9 +308,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = rows.where("node IS NOT NULL").groupBy("node", "n").agg(
         F.min("doc_id").alias("doc_id"))
     entries = lists(rows)
-    sets = shingle_sets(docs, classes, entries)
-    near = verified(to_earliest(entries), sets)
-    links = near.union(verified(across(entries, components(near)), sets))
+    near = verified(to_earliest(entries), docs, classes)
+    links = near.union(verified(across(entries, components(near)), docs, classes))
     labels = written(components(links), "join-labels")
 
     labelled = classes.join(labels.withColumnRenamed("node", "l_node"),
