@@ -1,9 +1,10 @@
-"""Ids of whole texts by a public tokenizer, each distinct word of a worker encoded once.
+"""Ids of whole texts by a public tokenizer, each distinct piece of a worker encoded once.
 
-A vocabulary whose rules drop white space and never join what it separates gives a text the ids
-of its words, end to end. Words of printable ASCII and Latin-1 letters are cut into pieces here
-and the pieces go through the library's model; any other word goes through the whole library
-tokenizer, as does every text where the vocabulary has other rules.
+A vocabulary whose rules drop white space and encode each piece of the rest by itself gives a text
+the ids of its pieces, end to end. Texts of printable ASCII, blanks, line feeds and Latin-1 letters
+are cut into pieces here and the distinct pieces go through the library's model; of any other text
+so do the words of that kind, and its other words go through the whole library tokenizer, as does
+every text where the vocabulary has other rules.
 """
 from __future__ import annotations
 
@@ -15,18 +16,18 @@ import numpy as np
 
 from .common import per_process
 
-# The splitting rule this shortcut is for, its pieces, and the words it is taken for.
+# The splitting rule this shortcut is for, its pieces, and the texts it is taken for.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
-_PLAIN = r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+"
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \n]+"
+_PLAIN = r"[\x20-\x7e\nÀ-ÖØ-öø-ÿ]*"
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
            {"type": "Lowercase"}]
 
 
 class WordEncoder:
-    """Holds at most ``most`` words and twice as many pieces; both start afresh when full."""
+    """Holds the ids of at most ``most`` pieces and starts afresh when full."""
 
-    def __init__(self, vocabulary: bytes, most: int = 400_000):
+    def __init__(self, vocabulary: bytes, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -46,48 +47,43 @@ class WordEncoder:
         self.last = np.zeros(self.size, bool)
         self.last[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>")]] = True
         self.pieces, self.plain = re.compile(_PIECES).findall, re.compile(_PLAIN).fullmatch
-        self.word_ids, self.piece_ids, self.most = {"": b""}, {}, most
+        self.known, self.most = {}, most
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes()
                 for e in self.whole.encode_batch(texts, add_special_tokens=False)]
 
-    def _add_pieces(self, new: list[str]) -> None:
+    def _add(self, new: list[str]) -> None:
         ids = np.array(self.model.encode(" ".join(new), add_special_tokens=False).ids, np.int64)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) == len(new):
             held, width = ids.astype(self.kind).tobytes(), self.kind.itemsize
             ends = (ends * width).tolist()
-            self.piece_ids.update(zip(new, (held[a:b] for a, b in zip([0, *ends], ends))))
+            self.known.update(zip(new, (held[a:b] for a, b in zip([0, *ends], ends))))
         else:
-            self.piece_ids.update(zip(new, self._whole(new)))
+            self.known.update(zip(new, self._whole(new)))
 
-    def _add(self, new: list[str]) -> None:
-        plain = [w for w in new if self.plain(w)]
-        rest = [w for w in new if not self.plain(w)]
-        self.word_ids.update(zip(rest, self._whole(rest)))
-        cut = [self.pieces(w.lower()) for w in plain]
-        known = self.piece_ids
-        missing = list({p for pieces in cut for p in pieces if p not in known})
-        if missing:
-            self._add_pieces(missing)
-        self.word_ids.update((w, b"".join([known[p] for p in pieces]))
-                             for w, pieces in zip(plain, cut))
+    def _mixed(self, text: str) -> list[str]:
+        """Pieces of a text that is not plain; words that are not are pieces as they stand."""
+        out: list[str] = []
+        for word in text.replace("\n", " ").split(" "):
+            out.extend(self.pieces(word.lower()) if self.plain(word) else [word])
+        odd = {p for p in out if not self.plain(p)}.difference(self.known)
+        self.known.update(zip(odd, self._whole(list(odd))))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian numbers of type ``kind``."""
         if not self.by_word:
             return self._whole(texts)
-        if len(self.word_ids) > self.most:
-            self.word_ids = {"": b""}
-        if len(self.piece_ids) > 2 * self.most:
-            self.piece_ids.clear()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.word_ids
-        new = {w for words in cut for w in words if w not in known}
+        if len(self.known) > self.most:
+            self.known = {}
+        cut = [self.pieces(t.lower()) if self.plain(t) else self._mixed(t) for t in texts]
+        new = set().union(*cut).difference(self.known)
         if new:
             self._add(list(new))
-        return [b"".join([known[w] for w in words]) for words in cut]
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, pieces)) for pieces in cut]
 
 
 def encoder(vocabulary: bytes) -> WordEncoder:
