@@ -87,11 +87,14 @@ def frequency(df: DataFrame, keys: Sequence[str], value: str, digits: int = 1) -
 
 def _share(counted: DataFrame, keys: Sequence[str], digits: int) -> DataFrame:
     """The total of a key is a second aggregate, reduced in each task, and joined by the key."""
-    names = {k: f"_total_{i}" for i, k in enumerate(keys)} or {"_all": "_total_0"}
-    rows = counted if keys else counted.withColumn("_all", F.lit(0))
-    totals = rows.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(
+    rows, by = counted, {k: f"_total_{i}" for i, k in enumerate(keys)}
+    totals = counted.groupBy(*[F.col(k).alias(n) for k, n in by.items()]).agg(
         F.sum("n").alias("_total"))
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    if not keys:  # one total, joined by a few parts of the rows
+        by = {"_part": "_total_part"}
+        rows = counted.withColumn("_part", F.pmod(F.hash(*counted.columns), F.lit(16)))
+        totals = totals.withColumn("_total_part", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in by.items()])
     shared = rows.join(totals, on).withColumn("pct", F.col("n") / F.col("_total") * 100)
     return round_columns(shared.select(*counted.columns, "pct"), digits, "pct")
 
