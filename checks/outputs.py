@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import text
 from tidewright.operators import normalise, quality
-from tidewright.plans import analysis, wide
+from tidewright.plans import analysis, conditions, wide
 from tidewright.session import fresh_path
-from tidewright.sources import dimensions, sinks
+from tidewright.sources import dimensions, payload, sinks
 
 from .records import CATCH_SQL
 from .registry import query, with_views
-from .views import table, view
+from .views import aggregated, table, view
 
 LATE = "CAST(o_orderdate AS DATE) >= DATE '2001-01-01'"
 ORDERS = "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"
@@ -113,3 +113,33 @@ def wide_letters(spark, sf):
     """Full-width letters become plain ones in compatibility form."""
     rows = table(spark, sf, "documents").select("doc_id", F.expr(WIDE_TEXT).alias("t"))
     return rows.select("doc_id", F.md5(text.nfkc(F.col("t")).cast("binary")).alias("digest"))
+
+
+@query("""SELECT "日付", "地点名", o_orderkey, o_custkey FROM (SELECT CAST(CAST(o_orderdate AS DATE) AS STRING)
+    AS "日付", o_orderpriority AS "地点名", o_orderkey, o_custkey, row_number() OVER (PARTITION BY
+    CAST(o_orderdate AS DATE), o_orderpriority ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
+def compacted(spark, sf):
+    """Two appends of a daily table, then the last row of each day and station, written anew."""
+    path = fresh_path(spark, "conditions")
+    rows = table(spark, sf, "orders").select(
+        F.to_date("o_orderdate").cast("string").alias("日付"), F.col("o_orderpriority").alias("地点名"),
+        "o_orderkey", "o_custkey")
+    for part in (0, 1):
+        rows.where(F.col("o_orderkey") % 2 == part).write.mode("append").parquet(path)
+    last = conditions.compact(spark.read.parquet(path), "o_orderkey")
+    return spark.read.parquet(sinks.write_table(last, "conditions"))
+
+
+@query(with_views("fc") + """SELECT 'u1' AS updated, place || ' ' || time AS t, wave_height AS wave,
+    CAST(wave_direction AS BIGINT) AS wave_dir FROM fc""")
+def forecast_document(spark, sf):
+    """Forecast rows as one stored document of the site, read back as rows."""
+    path = fresh_path(spark, "forecast")
+    row = F.struct(F.concat_ws(" ", "place", "time").alias("t"), F.col("wave_height").alias("wave"),
+                   F.col("wave_direction").cast("int").alias("waveDir"))
+    rows = aggregated(spark, sf, "fc").groupBy("place").agg(F.collect_list(row).alias("rows"))
+    for place in [r.place for r in rows.select("place").collect()]:  # a handful of places
+        sinks.write_documents(rows.where(F.col("place") == place).select(
+            F.lit("u1").alias("updated"), "rows"), f"{path}/{place}")
+    found = payload.read_forecast(spark, f"{path}/*")
+    return found.select("updated", "t", "wave", F.col("wave_dir").cast("long").alias("wave_dir"))
