@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+import re
 import subprocess
 import sys
 import unicodedata
@@ -198,3 +199,14 @@ def test_numbers_that_are_not_finite(spark):
     assert sorted(out)[4].n == 90 and sorted(out)[4].s8 == fixed.COMPASS_8[2]
     whole = spark.createDataFrame([("1" * 30,), ("+7 ",), ("x",)], "t string")
     assert [r[0] for r in whole.select(numbers.to_int(F.col("t"))).collect()] == [int("1" * 30), 7, None]
+
+
+def test_stable_characters_are_their_own_form():
+    inside = re.compile(f"[{text.STABLE}]")
+    stable = [c for c in map(chr, range(0x110000)) if inside.match(c)]
+    assert len(stable) > 20_000
+    for c in stable:
+        assert unicodedata.normalize("NFKC", c) == c and not unicodedata.combining(c)
+    # Stable beside each other, too: nothing in the ranges joins with what comes before it.
+    assert unicodedata.normalize("NFKC", "".join(stable)) == "".join(stable)
+    assert unicodedata.normalize("NFKC", "".join(stable[::-1])) == "".join(stable[::-1])

@@ -45,24 +45,29 @@ def _normal_form_functions():
 _nfkc, _nfkc_each = _normal_form_functions()
 
 
-def _ascii(text: Column) -> Column:
-    return F.octet_length(text) == F.char_length(text)
+# Characters that are their own compatibility form whatever stands beside them:
+# ASCII, most Latin letters with marks, kana, unified ideographs and their punctuation.
+STABLE = ("\x00-\x7fÀ-ÖØ-öø-ıĴ-ľŁ-ňŊ-ž\u3001-\u3003\u3005-\u3011ぁ-ゖァ-ヺ・ー一-\u9fff")
+
+
+def _stable(text: Column) -> Column:
+    return ~text.rlike(f"[^{STABLE}]")
 
 
 def nfkc(text: Column) -> Column:
     """Text in compatibility normal form, which Spark has no function for.
 
-    A text in plain ASCII is its own normal form and goes through as null, so
-    only other texts cost anything in Python.
+    A text of stable characters is its own normal form and goes through as null,
+    so only other texts cost anything in Python.
     """
-    return F.coalesce(_nfkc(F.when(~_ascii(text), text)), text)
+    return F.coalesce(_nfkc(F.when(~_stable(text), text)), text)
 
 
 def with_nfkc(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
     """Adds several columns in compatibility normal form with one Arrow call per batch."""
     rows = df.withColumn("_texts", F.array(*texts.values()))
     rows = rows.withColumn("_normal", _nfkc_each(
-        F.when(~_ascii(F.array_join("_texts", "")), F.col("_texts"))))
+        F.when(~_stable(F.array_join("_texts", "")), F.col("_texts"))))
     done = F.coalesce("_normal", "_texts")
     return rows.withColumns({name: done[i] for i, name in enumerate(texts)}).drop(
         "_texts", "_normal")
