@@ -9,8 +9,9 @@ components are what links reach. Nothing is sampled or cut off; the steps:
    tokens, one of which two linked sets must share) and equal sizes are one group; only groups
    enter the join, each prefix token as one entry of that token's list.
 3. Tokens of one group only go; a filter of ``FILTER_BITS`` bits spares most of them the
-   shuffle. Of the rest, a group stays in a list only if some size in that list can still reach
-   the similarity, given the places of the token in the prefixes.
+   shuffle. Of the lists that hold the same two groups and no other the first is enough. In the
+   lists left a group stays only if some size there can still reach the similarity, given the
+   places of the token in the prefixes.
 4. Groups are expanded to their classes. Instead of all pairs of a list, every class is first
    verified against the one whose token comes earliest, which in a family of near copies is the
    one nearest to all; components of these links are made.
@@ -97,8 +98,8 @@ def _ids(data: bytes) -> int:
 
 
 def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """doc_id, digest (of the text), n, node (the class), grp, and where a task first meets a
-    group its prefix tokens."""
+    """row_id, doc_id, digest (of the text), n, node (the class), grp, and where a task first
+    meets a group its prefix tokens."""
     rank = np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
 
     def classified(batches):
@@ -136,8 +137,9 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                      pa.ListArray.from_arrays(offsets, tokens)],
                     names=["doc_id", "digest", "n", "node", "grp", "prefix"])
 
-    return docs.mapInArrow(classified, "doc_id long, digest binary, n int, node long, grp long, "
-                                       "prefix array<long>")
+    found = docs.mapInArrow(classified, "doc_id long, digest binary, n int, node long, grp long, "
+                                        "prefix array<long>")
+    return found.withColumn("row_id", F.monotonically_increasing_id())
 
 
 #: An entry's reach: a partner of size m is possible only if 3 m is not above it (the overlap of
@@ -156,13 +158,20 @@ def _bits(rows: DataFrame, key: str) -> np.ndarray:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Prefix tokens (s) that more than one entry has, and a few more that pass the filter."""
-    tokens = rows.where("size(prefix) > 0").select("grp", "n", "prefix")
+    """Prefix tokens (s) that more than one entry has, and a few more that pass the filter.
+
+    A second filter holds the first row of each group, so that a group met by several tasks
+    comes once, or now and then more often.
+    """
+    tokens = rows.where("size(prefix) > 0").select("row_id", "grp", "n", "prefix")
     common = tokens.select(F.explode("prefix").alias("s")).groupBy("s").count().where("count > 1")
     held = _bits(common, "s")
+    leads = _bits(tokens.groupBy("grp").agg(F.min("row_id").alias("row_id")), "row_id")
 
     def passed(batches):
         for batch in batches:
+            row = batch.column("row_slot").to_numpy()
+            batch = batch.filter(pa.array(leads[row >> 6] >> (row & 63) & 1 == 1))
             token, slot = (batch.column(c).flatten().to_numpy(zero_copy_only=False)
                            for c in ("prefix", "slot"))
             size = batch.column("prefix").value_lengths().to_numpy()
@@ -177,7 +186,8 @@ def _shared(rows: DataFrame) -> DataFrame:
                     names=["s", "grp", "n", "pos"])
 
     slots = F.transform("prefix", lambda t: F.pmod(F.xxhash64(t), F.lit(FILTER_BITS)))
-    return written(tokens.withColumn("slot", slots).mapInArrow(
+    row_slot = F.pmod(F.xxhash64("row_id"), F.lit(FILTER_BITS))
+    return written(tokens.withColumns({"slot": slots, "row_slot": row_slot}).mapInArrow(
         passed, "s long, grp long, n int, pos int"), "join-shared")
 
 
@@ -186,7 +196,11 @@ def lists(rows: DataFrame) -> DataFrame:
     shared = _shared(rows).withColumn("reach", F.expr(_REACH))
     bounds = shared.groupBy(F.col("s").alias("b_s")).agg(
         F.min("grp").alias("first"), F.max("grp").alias("last"), F.min("n").alias("least"),
-        F.max("reach").alias("most")).where("first <> last")
+        F.max("reach").alias("most"), F.count(F.lit(1)).alias("size")).where("first <> last")
+    bounds = written(bounds.where("most >= 3 * least"), "join-bounds")
+    kept = bounds.where("size = 2").groupBy("first", "last").agg(F.min("b_s").alias("k_s"))
+    kept = kept.select("k_s").unionByName(bounds.where("size > 2").select(F.col("b_s").alias("k_s")))
+    bounds = bounds.join(kept, F.col("b_s") == F.col("k_s")).select("b_s", "least", "most")
     open_ = shared.join(bounds, F.col("s") == F.col("b_s")).where(
         "reach >= 3 * least AND most >= 3 * n").select("s", "grp", "n", "pos", "reach").distinct()
 
@@ -219,30 +233,19 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataF
             for part in pieces(batch):
                 value, ends = _sets(part)
                 data, at = value.tobytes(), ends.tolist()
-                parts = [data[8 * a:8 * b] for a, b in zip(at, at[1:])]
+                nodes = [_ids(data[8 * a:8 * b]) for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_ids(x) for x in parts], pa.int64()), pa.array(parts, pa.binary())],
+                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(
+                        pa.array(ends.astype(np.int32)), pa.array(value.view(np.int64)))],
                     names=["f_node", "shingles"])
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    found = docs.select("text", slot.alias("slot")).mapInArrow(sets, "f_node long, shingles binary")
+    found = docs.select("text", slot.alias("slot")).mapInArrow(sets, "f_node long, shingles array<long>")
     one = found.join(nodes, F.col("f_node") == F.col("p_node")).select(
         F.col("f_node").alias("node"), "shingles").dropDuplicates(["node"])
     return written(one, "join-sets")
 
 
-def _linked(batches):
-    """The pairs whose sets are similar enough."""
-    for batch in batches:
-        x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
-        keep = []
-        for p, q in zip(x, y):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(100 * both >= 75 * (len(p) + len(q) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The links among pairs of classes (a, b)."""
     pairs = written(pairs, "join-pairs")
@@ -250,8 +253,9 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     left = sets.select(F.col("node").alias("x_node"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("y_node"), F.col("shingles").alias("y"))
     both = pairs.join(left, F.col("a") == F.col("x_node")).join(right, F.col("b") == F.col("y_node"))
-    return written(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"),
-                   "join-links")
+    both = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("common"),
+                       (F.size("x") + F.size("y")).cast("long").alias("sizes"))
+    return written(both.where("100 * common >= 75 * (sizes - common)").select("a", "b"), "join-links")
 
 
 def _ordered(a: str, b: str):
