@@ -7,8 +7,9 @@ inverse document frequency over the templates), so sums do not depend on their o
 without a licence of its own inherits that of the nearest directory above it that has a licence
 file.
 
-Only DataFrame functions are used. Equal notices are compared once. Texts are not shuffled, only
-notices are; the terms of the templates are a fixed table and broadcast. Directories are reduced
+Only DataFrame functions are used. Texts are read once: paths and notices are written to the
+shared folder for the joins that follow. Equal notices are compared once. Texts are not shuffled,
+only notices are; the terms of the templates are a fixed table and broadcast. Directories are reduced
 to distinct ones before their ancestors are joined; the join back to the files has one row per
 directory on the other side, so adaptive execution can split a directory with many files.
 
@@ -23,6 +24,8 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import written
+
 #: Lines that belong to a notice. Fixed pattern.
 CUE = "(?i)licen[cs]e|copyright|spdx|warrant|public domain|rights reserved"
 #: Names of licence files.
@@ -129,8 +132,8 @@ def match(notices: DataFrame, templates=TEMPLATES, least: float = LEAST) -> Data
 def scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """For each row of ``files`` (doc_id, path, text): path, licence, score of its own notice,
     found_in (header, file, inherited, none) and from_path, the file that states it."""
-    read = files.select("doc_id", F.coalesce("path", F.lit("")).alias("path"),
-                        notice(F.col("text")).alias("notice"))
+    read = written(files.select("doc_id", F.coalesce("path", F.lit("")).alias("path"),
+                                notice(F.col("text")).alias("notice")), "licence-notices")
     matched = match(read.where("notice IS NOT NULL").select("notice").distinct(), templates, least)
     matched = matched.withColumnRenamed("notice", "m_notice")
     own = read.join(matched, F.col("notice") == F.col("m_notice"), "left")
