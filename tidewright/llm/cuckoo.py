@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import written
-from .common import BLANKS, one_row_each, utf8
+from .common import BLANKS, one_row_each, pieces, utf8
 
 PER_BUCKET = 1 << 16
 KEYS = "row_id long, doc_id long, digest binary, chars long, raw binary"
@@ -150,7 +150,7 @@ class LiveIndex:
 
 def _keys(batches):
     """row_id, doc_id, digest, code points and the digest of the text as it is (raw)."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in pieces(whole)):
         data, ends = utf8(batch.column("text"))
         ends = ends.tolist()
         held = data.tobytes()

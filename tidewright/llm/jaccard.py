@@ -169,7 +169,7 @@ def _shared(rows: DataFrame) -> DataFrame:
     leads = _bits(tokens.groupBy("grp").agg(F.min("row_id").alias("row_id")), "row_id")
 
     def passed(batches):
-        for batch in batches:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             row = batch.column("row_slot").to_numpy()
             batch = batch.filter(pa.array(leads[row >> 6] >> (row & 63) & 1 == 1))
             token, slot = (batch.column(c).flatten().to_numpy(zero_copy_only=False)
@@ -177,13 +177,11 @@ def _shared(rows: DataFrame) -> DataFrame:
             size = batch.column("prefix").value_lengths().to_numpy()
             owner = np.repeat(np.arange(len(size)), size)
             pos = ranges(np.zeros(len(size), np.int64), size)
-            at = np.flatnonzero(held[slot >> 6] >> (slot & 63) & 1)
-            for part in range(0, len(at), 1 << 16):
-                here = at[part:part + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(token[here]), *(batch.column(c).take(pa.array(owner[here]))
-                                              for c in ("grp", "n")), pa.array(pos[here].astype(np.int32))],
-                    names=["s", "grp", "n", "pos"])
+            here = np.flatnonzero(held[slot >> 6] >> (slot & 63) & 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token[here]), *(batch.column(c).take(pa.array(owner[here]))
+                                          for c in ("grp", "n")), pa.array(pos[here].astype(np.int32))],
+                names=["s", "grp", "n", "pos"])
 
     slots = F.transform("prefix", lambda t: F.pmod(F.xxhash64(t), F.lit(FILTER_BITS)))
     row_slot = F.pmod(F.xxhash64("row_id"), F.lit(FILTER_BITS))
