@@ -1,7 +1,9 @@
 """Dedup, near duplicates, quality, sharding, licences and the pipeline against plain versions."""
 import hashlib
 import random
+import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -272,6 +274,81 @@ def test_licences_inherit_from_the_nearest_directory(spark):
     assert licences.scan(odd.docs(spark)).count() == len(odd.rows())
 
 
+DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY ARISING FROM THE SOFTWARE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD_TAIL = """
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+
+
+def stated(spark, texts):
+    """Own licence, score and all licences of each text as a file of its own folder."""
+    frame = spark.createDataFrame([(i, f"{i}/x.c", t) for i, t in enumerate(texts)],
+                                  "doc_id long, path string, text string")
+    rows = {r.doc_id: (r.licence, r.score, r.licences) for r in licences.scan(frame).collect()}
+    return [rows[i] for i in range(len(texts))]
+
+
+def test_every_template_states_its_own_licence(spark):
+    every = licences.TEMPLATES + licences.STANDARD
+    for (name, body), found in zip(every, stated(spark, [body for _, body in every])):
+        assert (found[0], found[1]) == (name, 1.0), body
+
+
+def test_standard_texts_state_their_licence(spark):
+    text = {name: [b for n, b in licences.STANDARD if n == name] for name in ("MIT", "BSD-3-Clause")}
+    mit = "\n\n".join(["MIT License", "Copyright (c) 2020 Some One", *text["MIT"], DISCLAIMER])
+    bsd = ("Copyright (c) 2020, Some One\nAll rights reserved.\n\nRedistribution and use in source and "
+           "binary forms, with or without\nmodification, are permitted provided that the following "
+           "conditions are met:\n" + BSD_TAIL + "\n" + text["BSD-3-Clause"][-1] + "\n\n" + DISCLAIMER)
+    header = "".join(f" * {line}\n" for line in bsd.split("\n"))
+    texts = [mit, bsd, "/*\n" + header + " */\nint main(void) { return 0; }\n" * 50,
+             mit.replace("\n", " "), mit.replace("\n", "\r\n")]
+    want = ["MIT", "BSD-3-Clause", "BSD-3-Clause", "MIT", "MIT"]
+    assert [f[0] for f in stated(spark, texts)] == want
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0", "CC0-1.0"])
+def test_installed_texts_state_their_licence(spark, name):
+    path = Path("/usr/share/common-licenses", name)
+    if not path.exists():
+        pytest.skip("no installed licence texts")
+    assert stated(spark, [path.read_text()])[0][0] in (name, f"{name}.0")
+
+
+def test_other_lines_do_not_hide_a_notice(spark):
+    notice, prose = "Licensed under the Apache License, Version 2.0.", "words of plain prose here " * 8
+    texts = [f"{notice}\nHe lost his driving license, and no warranty or copyright helped.",
+             f"{notice} {prose}", f"{prose.strip()}. {notice} {prose}", prose,
+             f"{notice}\n\n{prose}\nReleased under the MIT License.\nAll rights reserved."]
+    found = stated(spark, texts)
+    assert [f[0] for f in found[:4]] == ["Apache-2.0"] * 3 + [None]
+    assert [f[1] for f in found[:2]] == [1.0, 1.0]
+    assert found[4][0] in ("Apache-2.0", "MIT")
+    assert found[4][2] == ["Apache-2.0", "LicenseRef-proprietary", "MIT"]
+
+
+def test_single_words_are_no_notice(spark):
+    texts = ["Mit.\nSie kam mit ihm. Mit!", "June 1991", "Mozilla 2", "in 29 June 2007", "Reserved."]
+    assert stated(spark, texts) == [(None, None, None)] * len(texts)
+
+
+def test_blocks_without_anchors_are_below_the_limit(spark):
+    every = licences.TEMPLATES + licences.STANDARD
+    terms = set(licences.anchors())
+    bodies = [" ".join(t for t in re.findall("[a-z0-9]+", body.lower())
+                       if t not in terms and not re.search(licences.CUE, t)) for _, body in every]
+    rows = spark.createDataFrame([(b, b) for b in set(bodies) if b], "notice string, body string")
+    assert licences.match(rows).count() == 0
+
+
 # Rows and pipeline
 
 def test_one_row_each(spark):

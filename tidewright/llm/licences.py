@@ -1,15 +1,20 @@
 """License scans: notices against templates, then inheritance down the directories (operator 1).
 
-A file's notice is all lines of its whole text that speak of licences, copyright or warranty.
-Notices and templates are sparse TF-IDF vectors; a notice takes the licence of the template with
-the largest cosine, if that is at least ``LEAST``. Weights are whole numbers (a thousandth of the
-inverse document frequency over the templates), so sums do not depend on their order. A file
-without a licence of its own inherits that of the nearest directory above it that has a licence
-file.
-
-Only DataFrame functions are used. Texts are read once: paths and notices are written to the
-shared folder for the joins that follow. Equal notices are compared once. Texts are not shuffled,
-only notices are; the terms of the templates are a fixed table and broadcast. Directories are reduced
+A file's text is cut into blocks: paragraphs, runs of comment lines, lines and sentences. Blocks and
+templates are sparse TF-IDF vectors; a block states the licence of the template with the largest
+cosine, if that is at least ``LEAST``; without a word of ``CUE`` it must share ``FEWEST`` terms with
+the template, too. A file has the licence of its best block, where reserved
+rights count after every licence, and ``licences`` lists all that its blocks state. Weights are
+whole numbers (a thousandth of the inverse document frequency over the templates), so sums do not
+depend on their order. A file without a licence of its own inherits that of the nearest directory
+above it that has a licence file.
+
+Only DataFrame functions are used. Blocks that cannot reach ``least`` are left out before the
+vectors are made: by Cauchy and Schwarz a block without a cue word and without any of a template's
+``anchors`` is below it or shares too few terms.
+Texts are read once: paths and remaining blocks are written to the
+shared folder for the joins that follow. Equal blocks are compared once. Texts are not shuffled,
+only blocks are; the terms of the templates are a fixed table and broadcast. Directories are reduced
 to distinct ones before their ancestors are joined; the join back to the files has one row per
 directory on the other side, so adaptive execution can split a directory with many files.
 
@@ -21,16 +26,22 @@ null and ``found_in`` is none; an empty table gives no rows; other columns are i
 from __future__ import annotations
 
 import json
+import math
+import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 
-#: Lines that belong to a notice. Fixed pattern.
+#: Words of notices; lines with one are what ``notice`` takes. Fixed pattern.
 CUE = "(?i)licen[cs]e|copyright|spdx|warrant|public domain|rights reserved"
 #: Names of licence files.
 FILE_NAME = "(?i)^(licen[cs]e|copying|notice|unlicense)([-._].*)?$"
 LEAST = 0.6
+#: Distinct terms besides ``COMMON`` words that a block without a cue word shares with the template: a
+#: word such as the German "Mit." is no notice.
+FEWEST = 4
 SCALE = 1000
 #: Licences by SPDX name and how they are commonly stated. Fixed values.
 TEMPLATES = (
@@ -69,12 +80,111 @@ TEMPLATES = (
 )
 
 
+#: Headers, headings and paragraphs of the standard texts, beside ``TEMPLATES``. Fixed values.
+STANDARD = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+     "software and associated documentation files (the \"Software\"), to deal in the Software "
+     "without restriction, including without limitation the rights to use, copy, modify, merge, "
+     "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
+     "whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies "
+     "or substantial portions of the Software."),
+    ("BSD-3-Clause", "Redistributions of source code must retain the above copyright notice, this "
+     "list of conditions and the following disclaimer."),
+    ("BSD-3-Clause", "Redistributions in binary form must reproduce the above copyright notice, this "
+     "list of conditions and the following disclaimer in the documentation and/or other materials "
+     "provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may "
+     "be used to endorse or promote products derived from this software without specific prior "
+     "written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+     "without fee is hereby granted, provided that the above copyright notice and this permission "
+     "notice appear in all copies."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed "
+     "under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
+     "ANY KIND, either express or implied. See the License for the specific language governing "
+     "permissions and limitations under the License."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the "
+     "terms of the GNU General Public License as published by the Free Software Foundation; either "
+     "version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the "
+     "terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+     "either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
+     "terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+     "either version 3 of the License, or (at your option) any later version."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+     "If a copy of the MPL was not distributed with this file, You can obtain one at "
+     "http://mozilla.org/MPL/2.0/."),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this "
+     "software, either in source code form or as a compiled binary, for any purpose, commercial or "
+     "non-commercial, and by any means."),
+)
+#: Reserves rights without stating a licence: counts only in files that state none.
+RESERVED = "LicenseRef-proprietary"
+#: Words that prose has everywhere. Fixed values.
+COMMON = frozenset(
+    "a above after all an and any are as at be been but by can copy do even file following for form "
+    "found free from has have how if in is it its later list may name names no not of on one or other "
+    "out part person program see shall such terms that the this time to under use used was way whom "
+    "with without work you your 0 1 2 3 4 19 29".split())
+_COMMENT = r"[ \t]*(?:#|//|/?\*|--|;|%)"
+
+
 def notice(text: Column) -> Column:
     """The lines of a text that speak of licences; null if there are none."""
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(CUE))
     return F.when(text.rlike(CUE), F.nullif(F.array_join(lines, "\n"), F.lit("")))
 
 
+def anchors(templates=TEMPLATES + STANDARD, least: float = LEAST) -> list[str]:
+    """Terms of which a text without cue words needs at least one to reach ``least`` with any of the
+    templates.
+
+    A text with none of them shares only the other terms of a template, and its cosine is at most the
+    root of their share of the template's squared norm, or it shares fewer than ``FEWEST``.
+    """
+    bodies = [Counter(re.findall("[a-z0-9]+", body.lower())) for _, body in templates]
+    having = Counter(term for body in bodies for term in body)
+    chosen: set[str] = set()
+    for body in bodies:
+        square = {t: (n * (math.log((1 + len(bodies)) / (1 + having[t])) + 1)) ** 2
+                  for t, n in body.items()}
+        bound = (least * 0.99) ** 2 * sum(square.values())
+        square = {t: v for t, v in square.items() if not re.search(CUE, t)}
+        left, rest = sum(square.values()), len(square.keys() - COMMON)
+        for term in sorted(square.keys() - COMMON, key=lambda t: (t not in chosen, -square[t], t)):
+            if left < bound or rest < FEWEST:
+                break
+            rest -= 1
+            chosen.add(term)
+            left -= square[term]
+    return sorted(chosen)
+
+
+def blocks(text: Column, terms: list[str]) -> Column:
+    """Distinct paragraphs, runs of comment lines, lines and sentences of a text that hold a cue word
+    or one of ``terms``, as lower-case terms between blanks; null if there are none."""
+    has = rf"{CUE.replace(' ', '[^a-z0-9]+')}|(?<![a-z0-9])(?:{'|'.join(terms) or '[^ -~]'})(?![a-z0-9])"
+    body = F.regexp_replace(F.lower(text), "\r\n?", "\n")
+    runs = F.regexp_replace(body, rf"(?m)^({_COMMENT}[^\n]*)\n(?!{_COMMENT})", "$1\n\n")
+    runs = F.regexp_replace(runs, rf"(?m)^(?!{_COMMENT})([^\n]+)\n(?={_COMMENT})", "$1\n\n")
+    gap = r"\n[^a-z0-9\n]*\n"
+    cut = F.concat(*[F.filter(F.split(whole, at), lambda block: block.rlike(has)) for whole, at in (
+        (body, gap), (runs, gap), (body, r"\n"), (body, r"(?<=[.!?:;])\s+"))])
+    found = F.array_distinct(F.transform(
+        cut, lambda block: F.trim(F.regexp_replace(block, "[^a-z0-9]+", " "))))
+    return F.when(F.lower(text).rlike(has), F.when(F.size(found) > 0, found))
+
+
 def _terms(rows: DataFrame, text: str, *keys: str) -> DataFrame:
     """How often each term occurs, by ``keys``."""
     term = F.explode(F.split(F.lower(F.col(text)), "[^a-z0-9]+")).alias("term")
@@ -99,27 +209,31 @@ def _vectors(spark, templates) -> DataFrame:
     return values.join(norms, "k").select("k", "licence", "term", "weight", "value", "t_norm")
 
 
-def match(notices: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """notice, licence and score (cosine) of each row of ``notices`` that matches a template."""
+def match(notices: DataFrame, templates=TEMPLATES + STANDARD, least: float = LEAST) -> DataFrame:
+    """notice, licence and score (cosine) of each row of ``notices`` (notice, a key, and its body)
+    that matches a template."""
     vectors = _vectors(notices.sparkSession, templates)
     by_term = vectors.groupBy("term").agg(
         F.first("weight").alias("weight"),
         F.collect_list(F.struct("k", "licence", "value", "t_norm")).alias("templates"))
     unknown = _idf(len(templates), F.lit(0))
-    terms = _terms(notices, "notice", "notice").join(F.broadcast(by_term), "term", "left")
+    terms = _terms(notices.withColumn("cued", F.col("body").rlike(CUE)), "body", "notice", "cued")
+    terms = terms.join(F.broadcast(by_term), "term", "left")
     terms = terms.withColumn("own", F.col("n") * F.coalesce("weight", unknown))
     norm = F.sum(F.col("own") * F.col("own"))
     # One row per notice and template it shares a term with, and one without template for the norm.
     none = F.array(F.lit(None).cast("struct<k: int, licence: string, value: bigint, t_norm: bigint>"))
-    sides = terms.select("notice", "own", F.explode(
+    rare = F.when(~F.col("term").isin(sorted(COMMON)), F.lit(1)).alias("rare")
+    sides = terms.select("notice", "cued", rare, "own", F.explode(
         F.concat(none, F.coalesce("templates", F.filter(none, lambda t: F.lit(False))))).alias("t"))
     dots = sides.groupBy("notice", F.col("t.k").alias("k")).agg(
         F.when(F.first("t.k").isNull(), norm).alias("norm"),
         F.sum(F.col("own") * F.col("t.value")).alias("dot"),
+        (F.first("cued") | (F.count("rare") >= FEWEST)).alias("stands"),
         F.first("t.licence").alias("licence"), F.first("t.t_norm").alias("t_norm"))
     found = dots.groupBy("notice").agg(
         F.max("norm").alias("norm"),
-        F.collect_list(F.when(F.col("k").isNotNull(), F.struct("licence", "dot", "t_norm"))
+        F.collect_list(F.when(F.col("k").isNotNull() & F.col("stands"), F.struct("licence", "dot", "t_norm"))
                        ).alias("found"))  # one entry per template at most
     scores = F.transform("found", lambda f: F.struct(
         F.round(f["dot"].cast("double") / (F.sqrt(F.col("norm").cast("double"))
@@ -129,17 +243,26 @@ def match(notices: DataFrame, templates=TEMPLATES, least: float = LEAST) -> Data
     return best.where(F.col("best.score") >= least).select("notice", "best.licence", "best.score")
 
 
-def scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """For each row of ``files`` (doc_id, path, text): path, licence, score of its own notice,
-    found_in (header, file, inherited, none) and from_path, the file that states it."""
-    read = written(files.select("doc_id", F.coalesce("path", F.lit("")).alias("path"),
-                                notice(F.col("text")).alias("notice")), "licence-notices")
-    matched = match(read.where("notice IS NOT NULL").select("notice").distinct(), templates, least)
-    matched = matched.withColumnRenamed("notice", "m_notice")
-    own = read.join(matched, F.col("notice") == F.col("m_notice"), "left")
+def scan(files: DataFrame, templates=TEMPLATES + STANDARD, least: float = LEAST) -> DataFrame:
+    """For each row of ``files`` (doc_id, path, text): path, licence, score of its own best notice,
+    found_in (header, file, inherited, none), from_path, the file that states it, and licences, all
+    that its own text states."""
+    found = files.select("doc_id", F.coalesce("path", F.lit("")).alias("path"),
+                         blocks(F.col("text"), anchors(templates, least)).alias("blocks"))
+    read = written(found.withColumn("key", F.sha2(F.array_join("blocks", "\n"), 256)),
+                   "licence-notices")
+    parts = read.where("key IS NOT NULL").select("key", "blocks").distinct()
+    parts = parts.select("key", F.explode("blocks").alias("body"))
+    parts = parts.withColumn("notice", F.sha2("body", 256))
+    matched = match(parts.select("notice", "body").distinct(), templates, least)
+    best = parts.select("key", "notice").join(matched, "notice").groupBy("key").agg(
+        F.max(F.struct(F.col("licence") != RESERVED, "score", "licence")).alias("best"),
+        F.array_sort(F.collect_set("licence")).alias("licences"))  # one entry per licence at most
+    best = best.select(F.col("key").alias("m_key"), "best.licence", "best.score", "licences")
+    own = read.drop("blocks").join(best, F.col("key") == F.col("m_key"), "left")
     name = F.element_at(F.split("path", "/"), -1)
     own = own.select(
-        "doc_id", "path", "licence", "score", name.rlike(FILE_NAME).alias("is_file"),
+        "doc_id", "path", "licence", "score", "licences", name.rlike(FILE_NAME).alias("is_file"),
         F.expr("left(path, greatest(0, length(path) - length(element_at(split(path, '/'), -1)) - 1))")
         .alias("dir"))
     stated = own.where("is_file AND licence IS NOT NULL").groupBy(F.col("dir").alias("above")).agg(
@@ -158,4 +281,4 @@ def scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFra
         "doc_id", "path", F.coalesce("licence", "n_licence").alias("licence"), "score",
         F.when(none & F.col("n_licence").isNull(), "none").when(none, "inherited")
         .when(F.col("is_file"), "file").otherwise("header").alias("found_in"),
-        F.when(none, F.col("n_path")).otherwise(F.col("path")).alias("from_path"))
+        F.when(none, F.col("n_path")).otherwise(F.col("path")).alias("from_path"), "licences")

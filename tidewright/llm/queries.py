@@ -20,7 +20,7 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.slice(level, 1, (F.col("doc_id") % 3 + 1).cast("int")), "/"),
         F.lit("/LICENSE-"), F.col("doc_id").cast("string"))).otherwise(
         F.concat(F.array_join(level, "/"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")))
-    return licences.scan(docs.select("doc_id", "text", path.alias("path")))
+    return licences.scan(docs.select("doc_id", "text", path.alias("path"))).drop("licences")
 
 
 def op2_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
