@@ -52,6 +52,15 @@ def test_word_ids_are_the_librarys(library):
             assert np.frombuffer(ids, encoder.kind).tolist() == library(text), repr(text)
 
 
+def test_added_tokens_are_found_as_by_the_untouched_library():
+    whole, encoder = Tokenizer.from_file(WORDS), wordbpe.WordEncoder(open(WORDS, "rb").read())
+    texts = ["hello <|endoftext|> x", "a<|startoftext|>b\nc é", "<|EndOfText|> <|endoftext", "plain",
+             "<|endoftext|><|endoftext|>", "漢 <|endoftext|> ſ", "", "hello <|endoftext|> x"]
+    found = [np.frombuffer(ids, encoder.kind).tolist() for ids in encoder.encode(texts)]
+    assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found[0] == [3306, 49407, 343]
+
+
 def test_other_vocabularies_go_through_the_library():
     data = open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()
     encoder, whole = wordbpe.WordEncoder(data), Tokenizer.from_buffer(data)

@@ -4,7 +4,7 @@ A vocabulary whose rules drop white space and encode each piece of the rest by i
 the ids of its pieces, end to end. Texts of printable ASCII, blanks, line feeds and Latin-1 letters
 are cut into pieces here and the distinct pieces go through the library's model; of any other text
 so do the words of that kind, and its other words go through the whole library tokenizer, as does
-every text where the vocabulary has other rules.
+every text that holds the string of an added token or where the vocabulary has other rules.
 """
 from __future__ import annotations
 
@@ -32,14 +32,16 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_buffer(vocabulary)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         rules = json.loads(vocabulary)
+        added = rules.get("added_tokens") or []
+        self.added = [token["content"] for token in added]
         self.size = self.whole.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         first = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
         self.by_word = ((first.get("pattern") or {}).get("Regex") == _SPLIT
                         and (rules.get("normalizer") or {}).get("normalizers") == _NORMAL
-                        and rules["model"].get("end_of_word_suffix") == "</w>")
+                        and rules["model"].get("end_of_word_suffix") == "</w>"
+                        and not any(token["normalized"] for token in added))
         self.model = Tokenizer(self.whole.model)
         self.model.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(),
@@ -78,12 +80,18 @@ class WordEncoder:
             return self._whole(texts)
         if len(self.known) > self.most:
             self.known = {}
-        cut = [self.pieces(t.lower()) if self.plain(t) else self._mixed(t) for t in texts]
+        whole = [i for i, t in enumerate(texts) if any(token in t for token in self.added)]
+        kept = set(whole)
+        cut = [() if i in kept else self.pieces(t.lower()) if self.plain(t) else self._mixed(t)
+               for i, t in enumerate(texts)]
         new = set().union(*cut).difference(self.known)
         if new:
             self._add(list(new))
         ids = self.known.__getitem__
-        return [b"".join(map(ids, pieces)) for pieces in cut]
+        out = [b"".join(map(ids, pieces)) for pieces in cut]
+        for i, found in zip(whole, self._whole([texts[i] for i in whole]) if whole else ()):
+            out[i] = found
+        return out
 
 
 def encoder(vocabulary: bytes) -> WordEncoder:
