@@ -212,6 +212,51 @@ def test_extraction():
     assert ((tree.predict(rows) > 0.5) == labels).mean() > 0.97
 
 
+def main_texts(*pages):
+    return extract.texts(list(pages), extract.grow(*extract.labelled()))
+
+
+def test_the_end_of_an_article_is_kept():
+    nav, long = "<nav><a href=x>Home</a></nav>", "<p>" + "words of a longer paragraph " * 20 + "</p>"
+    for element in ("article", "main"):
+        for last in (1, 2, 5, 12, 20, 33, 34, 60):
+            end = " ".join(["word"] * last)
+            for close in (f"</p></{element}><script>x()</script>", "", "</p>"):
+                page = f"<html><body>{nav}<{element}><h1>A title</h1>{long}<p>{end}{close}"
+                assert main_texts(page)[0].endswith(f"paragraph {end}"), (element, last, close)
+                assert last < 12 or main_texts(f"<body>{nav}{long}<p>{end}")[0].endswith(f" {end}")
+                assert main_texts(f"<body><{element}><p>{end}{close}") == [end]
+
+
+def test_the_tree_keeps_every_block_inside_that_no_hint_sets_apart():
+    tree, sizes = extract.grow(*extract.labelled()), [0, 1, 3, 6, 12, 20, 33, 60, 200]
+    around = [(w, d) for w in sizes for d in ((0, 0.5, 1) if w else (0,))]
+    rows = np.array([(extract.INSIDE, w, d, *before, *after, heading, 0, 0) for w, d in around if w
+                     for before in around for after in around for heading in (0, 1)], float)
+    assert (tree.predict(rows) > 0.5).all()
+    rows[:, 0] = extract.APART
+    assert not (tree.predict(rows) > 0.5).any()
+
+
+def test_slugs_inside_the_article_are_text():
+    prose = "Plain words of the article that nobody should lose at all, not even one. " * 3
+    for part in ("<section id='search-algorithms'><h2>Heading here</h2>{}</section>",
+                 "<h2 id='related-work'>Heading here</h2>{}", "<div class='share-prices'>Heading here {}</div>",
+                 "<h2 id='notification-settings'>Heading here</h2>{}"):
+        page = f"<article><h1>Title</h1><p>{prose}</p>{part.format('<p>' + prose + '</p>')}</article><footer>x</footer>"
+        assert main_texts(page)[0] == f"Title {prose}Heading here {prose}".strip(), part
+    page = (f"<article><p>{prose}</p><div class='share-buttons'><a href=x>Share this</a></div>"
+            f"<div class='ad'>Buy now</div><div class='comment-list'><p>{prose}</p></div></article><p>x</p>")
+    assert main_texts(page)[0] == prose.strip()
+
+
+def test_a_titles_class_is_not_the_content_element():
+    prose = "Plain words of the article that nobody should lose at all, not even one. " * 3
+    for title in ("<h1 class='post-title'>My title</h1>", "<div class='post-title'>My title</div>"):
+        page = f"<body>{title}<div class='body'><p>{prose}</p><p>{prose}</p></div></body>"
+        assert prose.strip() + " " + prose.strip() in main_texts(page)[0], title
+
+
 def test_extraction_of_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     found = {r.page_id: r.text for r in extract.extract(pages).collect()}

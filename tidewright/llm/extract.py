@@ -3,7 +3,9 @@
 A page is cut into the texts between block-level tags. A block is described by its own and its
 neighbours' word counts and link densities (share of words inside links) and by where it stands:
 under an element that says it is no content, under one that says it is, on a page that has such
-an element at all, as a heading or in a list. A decision tree decides; it is grown here from the
+an element at all, as a heading or in a list, under a longer class or id with a word of the former
+kind. Headings are never set apart by class or id. Content by class or id alone counts if it has
+``LEAST_SHARE`` of the unlinked words that are not set apart. A decision tree decides; it is grown here from the
 small table ``LABELLED``. Blocks that the tree keeps are joined in page order.
 
 Everything about a page is in the page, so there is no shuffle and no state.
@@ -48,6 +50,8 @@ ASIDE_WORDS = frozenset(
 ASIDE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
     "search toolbar".split())
+COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+LEAST_SHARE = 0.2
 CONTENT_WORDS = frozenset("article content entry main post story".split())
 
 _TAG = re.compile(
@@ -61,6 +65,9 @@ _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?=[\s=/]|\Z)"
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+NOWHERE = ("",) + (False,) * 6
+
+
 class Block(NamedTuple):
     text: str
     words: int
@@ -69,29 +76,37 @@ class Block(NamedTuple):
     content: bool
     heading: bool
     listed: bool
+    weak: bool = False  # content by class or id alone
+    hinted: bool = False  # in the content, under a longer class or id that holds a word of ASIDE_WORDS
 
 
-def _hints(attrs: str) -> tuple[set[str], set[str], bool]:
-    """Words of class and id, roles, and whether the element is hidden."""
-    words, roles, hidden = set(), set(), False
+def _hints(attrs: str) -> tuple[set[str], set[str], bool, bool]:
+    """Words of class and id, roles, whether the element is hidden, and whether a class or id as a
+    whole, or a word of a class for comments, sets it apart."""
+    words, roles, hidden, surely = set(), set(), False, False
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), next((v for v in values if v), "")
         if name in ("class", "id"):
-            words.update(w.lower() for w in _WORD.findall(value))
+            for token in value.split():
+                found = {w.lower() for w in _WORD.findall(token)}
+                words |= found
+                surely |= bool(found) and found <= ASIDE_WORDS or name == "class" and bool(
+                    found & COMMENT_WORDS)
         elif name == "role":
             roles.update(value.lower().split())
         elif name == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif name == "hidden" or value.lower() == "true":
             hidden = True
-    return words, roles, hidden
+    return words, roles, hidden, surely
 
 
 def blocks(page: str) -> list[Block]:
     """Flat text blocks of a page in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, bool]] = []  # name, aside, content, silent, listed
-    aside = content = silent = listed = False
+    # name, aside, content, silent, listed, weak, hinted
+    stack: list[tuple[str, bool, bool, bool, bool, bool, bool]] = []
+    aside = content = silent = listed = weak = hinted = False
     heading, links = "", 0
     parts: list[tuple[str, bool]] = []
 
@@ -101,7 +116,8 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(t for t, _ in parts).split())
         if text:
             linked = sum(len(t.split()) for t, in_link in parts if in_link)
-            out.append(Block(text, len(text.split()), linked, aside, content, bool(heading), listed))
+            out.append(Block(text, len(text.split()), linked, aside, content, bool(heading), listed,
+                             weak, hinted))
         parts.clear()
 
     def add(raw: str) -> None:
@@ -129,7 +145,7 @@ def blocks(page: str) -> list[Block]:
                 if stack[depth][0] == name:
                     close()
                     del stack[depth:]
-                    _, aside, content, silent, listed = stack[-1] if stack else ("",) + (False,) * 4
+                    _, aside, content, silent, listed, weak, hinted = stack[-1] if stack else NOWHERE
                     break
             continue
         if name == "br":
@@ -141,38 +157,45 @@ def blocks(page: str) -> list[Block]:
             heading = ""
             if stack and stack[-1][0] == "p" or stack and stack[-1][0] == "li" == name:
                 del stack[-1]
-                _, aside, content, silent, listed = stack[-1] if stack else ("",) + (False,) * 4
+                _, aside, content, silent, listed, weak, hinted = stack[-1] if stack else NOWHERE
         if name == "a":
             links += 1
         if name in VOID:
             continue
         attrs = tag["attrs"]
-        words, roles, hidden = _hints(attrs) if attrs and not attrs.isspace() else (set(), set(), False)
+        words, roles, hidden, surely = (
+            _hints(attrs) if attrs and not attrs.isspace() else (set(), set(), False, False))
         if tag["attrs"].endswith("/") and name in ("svg", "path"):
             continue
         if name in HEADINGS:
             heading = name
         if name in ("html", "body"):
             words, roles = set(), set()
+        elif name in HEADINGS:
+            words = set()
+        # A hint inside the content is a verdict only if it is all of a class or id.
+        partly = content and name not in CONTENT and not surely and bool(words & ASIDE_WORDS)
         apart = (name in ASIDE or bool(roles & ASIDE_ROLES) or hidden
-                 or bool(words & (ASIDE_WORDS if name not in CONTENT else {"comment", "comments"}))
+                 or not partly and bool(
+                     words & (ASIDE_WORDS if name not in CONTENT else {"comment", "comments"}))
                  or not content and (name == "header" or "header" in words))
-        within = name in CONTENT or "main" in roles or name not in INLINE and bool(words & CONTENT_WORDS)
+        within = name in CONTENT or "main" in roles
+        by_word = not content and not within and name not in INLINE and bool(words & CONTENT_WORDS)
         mute = name in WITHOUT_TEXT
-        if apart or within or mute or name in LISTS or name not in INLINE and name not in (
+        if apart or within or by_word or partly or mute or name in LISTS or name not in INLINE and name not in (
                 "p", "html", "body", "tr", "td", "th", "tbody", "thead", *HEADINGS):
-            if (apart or mute) and not (aside and silent):
+            if (apart or partly or mute) and not (aside and silent):
                 close()  # an inline element set apart is a block of its own
-            stack.append((name, aside or apart, content or within, silent or mute,
-                          listed or name in LISTS))
-            _, aside, content, silent, listed = stack[-1]
+            stack.append((name, aside or apart, content or within or by_word, silent or mute,
+                          listed or name in LISTS, not within and (weak or by_word), hinted or partly))
+            _, aside, content, silent, listed, weak, hinted = stack[-1]
     add(page[at:])
     close()
     return out
 
 
 FEATURES = ("place", "words", "density", "words_before", "density_before", "words_after",
-            "density_after", "heading", "listed")
+            "density_after", "heading", "listed", "hinted")
 # Places: under an element apart, outside the content element, on a page that has none, inside it.
 APART, OUTSIDE, ANYWHERE, INSIDE = range(4)
 
@@ -181,16 +204,23 @@ def describe(page: list[Block]) -> np.ndarray:
     """A row of features per block."""
     words = np.array([0, *(b.words for b in page), 0], float)
     density = np.array([0, *(b.linked / b.words for b in page), 0], float)
-    has_content = any(b.content and not b.aside for b in page)
-    place = [APART if b.aside else INSIDE if b.content else OUTSIDE if has_content else ANYWHERE
-             for b in page]
+    inside = [b.content and not b.aside for b in page]
+    if not any(x and not b.weak for x, b in zip(inside, page)):
+        free = [0 if b.aside else b.words - b.linked for b in page]
+        share = sum(n for x, n in zip(inside, free) if x)
+        if share < LEAST_SHARE * sum(free):
+            inside = [False] * len(page)
+    has_content = any(inside)
+    place = [APART if b.aside else INSIDE if x else OUTSIDE if has_content else ANYWHERE
+             for b, x in zip(page, inside)]
     return np.column_stack([place, words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:],
-                            density[2:], [b.heading for b in page], [b.listed for b in page]])
+                            density[2:], [b.heading for b in page], [b.listed for b in page],
+                            [b.hinted for b in page]])
 
 
 #: Small labelled pages. A line is a page; a block is + (main text) or -, its words, of those in
 #: links, and letters for where it stands: a under an element apart, c under a content element,
-#: h heading, l list. Neighbours follow from the order.
+#: h heading, l list, p under a longer class or id with a word that sets apart. Neighbours follow from the order.
 LABELLED = """
 -1/1al -1/1al -2/2al -14/0a +9/0ch +34/0c +120/0c +3/0c +1/0c +52/2c -9/0a
 -1/1al -1/1al -3/0a +1/0ch +1/0c +1/0c -4/0a
@@ -214,6 +244,42 @@ LABELLED = """
 +13/0h +26/0 +17/0 -1/1 -1/1
 -1/1al -1/1al -1/1al -5/0a
 -2/2 -1/1 -3/3 -2/2
+-1/1 -2/2 +8/0ch +40/1c +12/0c
+-1/1al -1/1al +6/0ch +90/2c +5/0c
+-3/0a +4/0ch +30/0c +2/0c
+-1/1 +7/0ch +55/3c +20/0c +33/0c
+-6/0 +9/0c
++14/0c
++3/0c
++25/0c +1/0c
++2/0ch +18/0c +26/0cl
+-1/1 +30/0c
+-1/1al -2/2 +11/0ch +60/0c +8/0ch +14/0c
++9/0ch +44/0c +3/0chp +38/0cp +6/0cp +27/1cp -5/0
+-2/2 +5/0ch +70/1c +2/0chp +120/4cp +4/0cp +16/0cp
++6/0ch +35/0c -4/4cp -3/3cp -5/5cp +22/0c -6/0
+-2/2 -1/1 +8/0h +80/0 +31/0 +14/0
+-3/3 +7/0h +60/0 +24/0
++30/0c +6/6c +3/0c
++8/8cl +5/0c
++40/0c +4/4c +2/0c
++9/5c +6/0c
++12/12c +1/0c
+-10/5 -12/8 +7/0h +60/2 +45/1 +20/0 -20/10 -16/6 -9/6 -14/12
+-30/12 -9/3 +90/0 +34/1 -25/10 -7/5 -12/6
++30/0c -8/5cp -12/7cp -6/4cp +20/0c -10/6cp
++30/0c +3/0c +4/4c +2/0c +8/8c +5/0c +3/3c +1/0c -2/2 -5/5
++9/9cl +2/0c +7/7c +12/12cl +100/0c +5/5cl +6/6cl +20/20cl +3/0ch +4/4cl -3/3al
+-1/1 -3/3 +6/0c +2/2cl +3/3cl +9/0c +14/14c +1/0ch +95/95c +40/0c +8/0c -4/4 -9/9
++2/2cl +3/3cl +4/4cl +8/0ch +9/7cl +3/2cl +2/0c +10/9c +1/1c
+-2/2 -4/4 +3/0ch +5/0c +60/50c +6/0c +6/6c +7/0cl -8/8 -2/2
+-8/0ah -30/0a +7/0ch +61/0c -12/0a
+-6/0ah +6/0h +64/0 -9/0a -14/0ah -66/0a -3/0a -62/0a -11/0ah -25/0a
+-12/0ah -5/0a +64/0c -10/0a -60/0a -7/0a
+-7/0h -20/0 +9/0ch +63/0c -12/0 -62/0 -8/0 -9/0h -61/0 -5/0h -40/0 -12/0h -64/0 -10/0
++4/0ch +10/0c +1/0c +2/1cl +2/0cl -3/0a
+-1/1al +12/0ch +3/1c +40/0c +4/2cl +6/3cl -2/0
++8/0ch +51/2c -2/2clp -9/9clp -11/10clp
 """
 
 
@@ -224,7 +290,8 @@ def labelled() -> tuple[np.ndarray, np.ndarray]:
         page = []
         for block in line.split():
             words, linked, where = re.fullmatch(r"[+-](\d+)/(\d+)(\w*)", block).groups()
-            page.append(Block("", int(words), int(linked), *(c in where for c in "achl")))
+            page.append(Block("", int(words), int(linked), *(c in where for c in "achl"),
+                              hinted="p" in where))
             labels.append(block[0] == "+")
         if page:
             rows.append(describe(page))
