@@ -4,7 +4,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytebpe, cuckoo, extract, fingerprint, jaccard, licences, packing, quality, repair, sharding
+from . import (bytebpe, crosstokens, cuckoo, extract, filteraudit, fingerprint, jaccard, licences, linededup,
+               packing, quality, repair, sharding)
 from .common import table
 
 
@@ -90,6 +91,70 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = linededup.with_bitmaps(docs)
+    text = linededup.kept(F.col("document.text"), F.col("words"))
+    lines = F.size(F.split(F.coalesce("document.text", F.lit("")), "\n", -1)).cast("long")
+    return rows.select("document.doc_id", lines.alias("n_lines"), "n_dropped",
+                       F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+     l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+     k AS (SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+     m AS (SELECT key, min(doc_id) AS holder FROM k WHERE length(key) >= 10 GROUP BY key),
+     j AS (SELECT k.*, holder IS NOT NULL AND holder <> doc_id AS goes FROM k LEFT JOIN m USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256
+FROM j GROUP BY doc_id"""
+
+
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstokens.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(filteraudit.failures(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+OP13_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(
+               string_split_regex(coalesce(text, ''), '[ 	
+]+'), lambda x: x <> '') AS ws FROM documents),
+     first AS (SELECT t, min(doc_id) AS first_id FROM w GROUP BY t),
+     d AS (SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+                  concat(CASE WHEN len(ws) < 50 THEN 'A' END,
+                         CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' END,
+                         CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' END,
+                         CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+                         CASE WHEN doc_id > first_id THEN 'E' END) AS fails
+           FROM w JOIN first USING (t) LEFT JOIN labels USING (doc_id)),
+     c AS (SELECT part, good, toxic, fails, count(*) AS n FROM d GROUP BY ALL),
+     f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+     o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+     s AS (SELECT filter_order, CAST(step AS INT) AS step, filter_order[step] AS own,
+                  filter_order[1:step - 1] AS before FROM o, range(1, 6) AS r(step)),
+     r AS (SELECT part, filter_order, step, own, n, good, toxic, contains(fails, own) AS hit,
+                  len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 AND fails <> ''
+                      AND before <> '' AS gone, fails = own AS only_own FROM c, s),
+     g AS (SELECT part, filter_order, step, own,
+                  CAST(coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0) AS BIGINT) AS kept,
+                  CAST(coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS BIGINT) AS removed,
+                  CAST(coalesce(sum(n) FILTER (hit AND gone), 0) AS BIGINT) AS redundant,
+                  CAST(coalesce(sum(n) FILTER (only_own), 0) AS BIGINT) AS unique_fails,
+                  CAST(coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0) AS BIGINT) AS good_lost,
+                  CAST(coalesce(sum(n) FILTER (hit AND NOT gone AND toxic), 0) AS BIGINT) AS toxic_lost
+           FROM r GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g"""
+
+
 OP1_SQL = rf"""
 WITH t AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{name}', '{text}')" for i, (name, text)
                                             in enumerate(licences.TEMPLATES))}) AS x(k, licence, body)),
@@ -159,6 +224,7 @@ FROM n JOIN c USING (doc_id) GROUP BY ALL"""
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scans, op2_repair_files, op3_exact_dedup, op4_quality_classifier, op5_main_text,
-    op6_fingerprints, op7_byte_bpe, op8_jaccard_join, op9_best_fit_packing, op10_sharding)}
+    op6_fingerprints, op7_byte_bpe, op8_jaccard_join, op9_best_fit_packing, op10_sharding,
+    op11_line_dedup, op12_token_links, op13_filter_audit)}
 SQL = {"op1_license_scans": OP1_SQL, "op3_exact_dedup": OP3_SQL,
-       "op8_jaccard_join": OP8_SQL}
+       "op8_jaccard_join": OP8_SQL, "op11_line_dedup": OP11_SQL, "op13_filter_audit": OP13_SQL}
