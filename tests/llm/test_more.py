@@ -287,3 +287,23 @@ def test_contract_columns(spark):
             "kept_sha256", "groups_sha256", "part", "filter_order", "step")) and kinds.get("step", "int") == "int"
         if name in queries.SQL:
             assert difference(frame.toPandas(), connect(SF).execute(queries.SQL[name]).df()) == ""
+
+
+def test_encoded_ids_and_ends(spark):
+    texts = [t for t in ODD_TEXTS if t][:12]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    a, b = crosstokens.sides(open(A, "rb").read(), open(B, "rb").read())
+    for row in crosstokens.encode(docs, A, B).collect():
+        here = crosstokens.Aligned([texts[row.doc_id]], a, b)
+        assert np.frombuffer(row.a, a.kind).tolist() == here.a.tolist()
+        assert np.frombuffer(row.b, b.kind).tolist() == here.b.tolist()
+        for bits, last, ids in ((row.a_ends, here.last_a, here.a), (row.b_ends, here.last_b, here.b)):
+            marks = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(ids), bitorder="little")
+            assert np.flatnonzero(marks).tolist() == last.tolist()
+
+
+def test_packed_numbers():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 1 << 40, 5], np.int64)
+    data, at = crosstokens.packed(values)
+    assert crosstokens.unpacked(data).tolist() == values.tolist() and len(data) == at[-1] == 1 + 1 + 1 + 2 + 2 + 3 + 6 + 1
+    assert len(crosstokens.unpacked(np.empty(0, np.uint8))) == 0

@@ -9,8 +9,9 @@ of a group are links. Steps:
    once, moves the pointer that is behind, or both at a cut, emits the cuts and now and then drops
    the finished documents from the vector. Long documents enter as several lanes, begun at offsets
    where both end, so a step count does not grow with the longest text.
-2. A run is what one task reads of about ``RUN_BYTES`` of text. Its documents are written with ids
-   and cuts, and beside them each of its id pairs once with the number of its documents that hold it.
+2. A run is what one task reads of about ``RUN_BYTES`` of text. Each of its id pairs is written once,
+   with the number of its documents that hold it, and its documents as places in that list of pairs,
+   a byte or two each.
 3. The runs' pair counts are summed over the corpus and each A id's highest count is taken (one row
    per id of A, a bound by the vocabulary, so it is broadcast). The counts go back to the runs that
    have the pair; a run's documents are read in the order of their run, its counts before them, so
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import written
 from .common import file_bytes, per_process, pieces, ranges
 
-RUN_BYTES = 16 << 20
+RUN_BYTES = 8 << 20
 LANE = 512  # A tokens of a document that one lane of the state vector takes
 BLOCK = 1 << 20  # links that are expanded at a time
 
@@ -275,10 +276,6 @@ class Aligned:
         self.groups = _groups(self.last_a, self.last_b, self.at_a)
 
 
-KIND = ("run long, kind int, doc_id long, a binary, b binary, a_ends binary, b_ends binary, n_a long, "
-        "n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, holders binary")
-
-
 def _per_document(owner, weight, documents: int) -> np.ndarray:
     out = np.zeros(documents, np.int64)
     np.add.at(out, owner, weight)
@@ -293,64 +290,131 @@ def _bits(last: np.ndarray, at: np.ndarray) -> list[bytes]:
     return [np.packbits(marks[x:y], bitorder="little").tobytes() for x, y in zip(ends, ends[1:])]
 
 
-def _cut(data: np.ndarray, at: np.ndarray, kind: np.dtype) -> list[bytes]:
-    raw, ends = data.astype(kind).tobytes(), (at * kind.itemsize).tolist()
-    return [raw[x:y] for x, y in zip(ends, ends[1:])]
+def _cut(data: bytes, at: np.ndarray) -> list[bytes]:
+    ends = at.tolist()
+    return [data[x:y] for x, y in zip(ends, ends[1:])]
 
 
-def encode(docs: DataFrame, a_path: str, b_path: str, run_bytes: int = RUN_BYTES) -> DataFrame:
-    """Documents with ids and group ends (kind 1) and each run's pairs with their documents (kind 0)."""
-    held = file_bytes(a_path), file_bytes(b_path)
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
-    names, types = zip(*((name, kinds[kind]) for name, kind in map(str.split, KIND.split(", "))))
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+
+
+def _batch(schema: str, **columns) -> pa.RecordBatch:
+    """A batch of some columns of a schema; the others are null."""
+    rows = len(next(iter(columns.values())))
+    names, types = zip(*((n, _TYPES[t]) for n, t in map(str.split, schema.split(", "))))
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(rows, t) if n not in columns else columns[n] if isinstance(columns[n], pa.Array)
+         else pa.array(columns[n], t) for n, t in zip(names, types)], names=names)
+
 
-    def batch_of(**columns) -> pa.RecordBatch:
-        rows = len(next(iter(columns.values())))
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(rows, t) if n not in columns else columns[n] if isinstance(columns[n], pa.Array)
-             else pa.array(columns[n], t) for n, t in zip(names, types)], names=names)
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+
+
+TOKENS = "doc_id long, a binary, b binary, a_ends binary, b_ends binary"
+
+
+def encode(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """doc_id, the ids of A and of B (little-endian, two bytes each, or four for more than 65,536
+    tokens) and for each id a bit (lowest first) that says whether a group ends with it."""
+    held = file_bytes(a_path), file_bytes(b_path)
 
     def encoded(batches):
         a, b = sides(*held)
-        size_b = len(b.tokens)
-        run = TaskContext.get().partitionId() << 32
-        read, found, held_by = 0, [], []
-
-        def closed():
-            pair, at = np.unique(np.concatenate(found), return_inverse=True)
-            holders = np.bincount(at, np.concatenate(held_by)).astype(np.int64)
-            cuts = range(0, len(pair), 1 << 16)
-            return batch_of(run=[run] * len(cuts), kind=[0] * len(cuts),
-                            pairs=[pair[x:x + (1 << 16)].tobytes() for x in cuts],
-                            holders=[holders[x:x + (1 << 16)].tobytes() for x in cuts])
+        for part in (p for batch in batches for p in pieces(batch)):
+            here = Aligned(part.column("text").to_pylist(), a, b)
+            yield _batch(TOKENS, doc_id=part.column("doc_id"),
+                         a=_cut(here.a.astype(a.kind).tobytes(), here.at_a * a.kind.itemsize),
+                         b=_cut(here.b.astype(b.kind).tobytes(), here.at_b * b.kind.itemsize),
+                         a_ends=_bits(here.last_a, here.at_a), b_ends=_bits(here.last_b, here.at_b))
+
+    return _texts(docs).mapInArrow(encoded, TOKENS)
+
+
+def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers of seven bits a byte, the last byte below 128; and where each number begins."""
+    size = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 9))
+    at = np.concatenate([[0], np.cumsum(size)])
+    out = np.empty(int(at[-1]), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        has = np.flatnonzero(size > k)
+        out[at[has] + k] = (values[has] >> 7 * k & 127) | np.where(size[has] > k + 1, 128, 0)
+    return out, at
+
+
+def unpacked(data: np.ndarray) -> np.ndarray:
+    last = np.flatnonzero(data < 128)
+    first = np.concatenate([[0], last[:-1] + 1])[:len(last)]
+    out = np.zeros(len(last), np.int64)
+    for k in range(int((last - first).max(initial=-1)) + 1):
+        has = np.flatnonzero(last - first >= k)
+        out[has] |= (data[first[has] + k] & 127).astype(np.int64) << 7 * k
+    return out
 
-        for batch in batches:
-            for part in pieces(batch):
-                here = Aligned(part.column("text").to_pylist(), a, b)
-                _, n_a, _, n_b, owner = here.groups
-                _, pair, _ = links(here.a, here.b, here.groups, size_b)
-                pair, holders = np.unique(pair, return_counts=True)
-                found.append(pair)
-                held_by.append(holders)
-                digests = [hashlib.sha256(t).hexdigest() if t else "" for t in texts_of_groups(
-                    here.a, here.b, here.groups, here.documents)]
-                yield batch_of(
-                    run=[run] * here.documents, kind=[1] * here.documents, doc_id=part.column("doc_id"),
-                    a=_cut(here.a, here.at_a, a.kind), b=_cut(here.b, here.at_b, b.kind),
-                    a_ends=_bits(here.last_a, here.at_a), b_ends=_bits(here.last_b, here.at_b),
-                    n_a=np.diff(here.at_a), n_b=np.diff(here.at_b),
-                    n_groups=np.bincount(owner, minlength=here.documents),
-                    n_links=_per_document(owner, n_a * n_b, here.documents), groups_sha256=digests)
-                read += part.nbytes
-                if read >= run_bytes:
-                    yield closed()
-                    run, read, found, held_by = run + 1, 0, [], []
-        if found:
-            yield closed()
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(encoded, KIND)
+
+KINDS = ("run long, kind int, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
+         "groups_sha256 string, places binary, pairs binary, holders binary")
+
+
+class Run:
+    """Documents of one run, held until its list of pairs is known."""
+
+    def __init__(self, number: int):
+        self.number, self.bytes, self.parts = number, 0, []
+
+    def add(self, part: pa.RecordBatch, here: Aligned, size_b: int) -> None:
+        _, n_a, _, n_b, owner = here.groups
+        digests = [hashlib.sha256(t).hexdigest() if t else "" for t in texts_of_groups(
+            here.a, here.b, here.groups, here.documents)]
+        rows = {"doc_id": part.column("doc_id"), "n_a": np.diff(here.at_a), "n_b": np.diff(here.at_b),
+                "n_groups": np.bincount(owner, minlength=here.documents),
+                "n_links": _per_document(owner, n_a * n_b, here.documents), "groups_sha256": digests}
+        self.parts.append((rows, links(here.a, here.b, here.groups, size_b)))
+        self.bytes += part.nbytes
+
+    def close(self):
+        """Rows of kind 0, the pairs in slices, and of kind 1, the documents. A document's places are
+        the steps between its pairs in the run's list, then how many links have each."""
+        pair, at = np.unique(np.concatenate([pair for _, (_, pair, _) in self.parts]), return_inverse=True)
+        holders = np.bincount(at, minlength=len(pair))
+        cuts = range(0, len(pair), 1 << 16)
+        yield _batch(KINDS, run=[self.number] * len(cuts), kind=[0] * len(cuts),
+                     pairs=[pair[x:x + (1 << 16)].tobytes() for x in cuts],
+                     holders=[holders[x:x + (1 << 16)].tobytes() for x in cuts])
+        read = 0
+        for rows, (owner, pairs, times) in self.parts:
+            here, read = at[read:read + len(pairs)], read + len(pairs)
+            documents = len(rows["n_a"])
+            size = np.bincount(owner, minlength=documents)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            steps = np.diff(here, prepend=0)
+            first = ends[:-1][size > 0]
+            steps[first] = here[first]
+            both = np.empty(2 * len(here), np.int64)
+            place = np.arange(len(here)) + np.repeat(ends[:-1], size)
+            both[place], both[place + np.repeat(size, size)] = steps, times
+            data, begins = packed(both)
+            yield _batch(KINDS, run=[self.number] * documents, kind=[1] * documents,
+                         places=_cut(data.tobytes(), begins[2 * ends]), **rows)
+
+
+def refer(docs: DataFrame, a_path: str, b_path: str, run_bytes: int = RUN_BYTES) -> DataFrame:
+    """Rows of all runs, see ``Run.close``."""
+    held = file_bytes(a_path), file_bytes(b_path)
+
+    def referred(batches):
+        a, b = sides(*held)
+        run = Run(TaskContext.get().partitionId() << 32)
+        for part in (p for batch in batches for p in pieces(batch)):
+            run.add(part, Aligned(part.column("text").to_pylist(), a, b), len(b.tokens))
+            if run.bytes >= run_bytes:
+                yield from run.close()
+                run = Run(run.number + 1)
+        if run.parts:
+            yield from run.close()
+
+    return _texts(docs).mapInArrow(referred, KINDS)
 
 
 def _pairs_of_runs(batches):
@@ -371,70 +435,60 @@ def pair_counts(runs: DataFrame, size_b: int) -> DataFrame:
         "pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def _restored(rows: list[dict], kind_a: np.dtype, kind_b: np.dtype):
-    """Ids and groups of stored documents."""
-    def side(ids, ends, kind):
-        values = [np.frombuffer(r[ids], kind) for r in rows]
-        at = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int64)
-        marks = np.concatenate([np.empty(0, np.uint8), *(np.unpackbits(
-            np.frombuffer(r[ends], np.uint8), count=len(v), bitorder="little")
-            for r, v in zip(rows, values))])
-        return np.concatenate([np.empty(0, np.int64), *values]).astype(np.int64), at, np.flatnonzero(marks)
-    a, at_a, last_a = side("a", "a_ends", kind_a)
-    b, _, last_b = side("b", "b_ends", kind_b)
-    return a, b, _groups(last_a, last_b, at_a)
-
-
 OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
        "groups_sha256 string")
 
 
+def _scored(part: pa.RecordBatch, n: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
+    """Documents of a run with the sums over their links; ``n`` and ``best`` by place."""
+    data = part.column("places").to_pylist()
+    values = unpacked(np.frombuffer(b"".join(data), np.uint8))
+    size = np.array([(np.frombuffer(d, np.uint8) < 128).sum() // 2 for d in data], np.int64)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    at = np.arange(int(ends[-1])) + np.repeat(ends[:-1], size)
+    steps, times = values[at], values[at + np.repeat(size, size)]
+    owner = np.repeat(np.arange(len(size)), size)
+    place = np.cumsum(steps)
+    before = np.concatenate([[0], place])[ends[:-1]]
+    place = place - before[owner]
+    rows = {c: part.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
+    return _batch(OUT, **rows, n_best=_per_document(owner, times * best[place], len(size)),
+                  count_sum=_per_document(owner, times * n[place], len(size)))
+
+
 def align(docs: DataFrame, a_path: str, b_path: str, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Per document its tokens, groups, links, how many links are an A id's commonest pair (n_best),
     the links' counts summed, and a digest of the groups."""
-    stored = written(encode(docs, a_path, b_path, run_bytes), "token-links")
-    a, b = ByteSide(file_bytes(a_path)), PieceSide(file_bytes(b_path))
-    kind_a, kind_b, size_b = a.kind, b.kind, len(b.tokens)
-    runs = written(stored.where("kind = 0").select("run", "pairs", "holders").mapInArrow(
-        _pairs_of_runs, "run long, pair long, n long"), "token-runs")
+    stored = written(refer(docs, a_path, b_path, run_bytes), "token-links")
+    size_b = len(PieceSide(file_bytes(b_path)).tokens)
+    runs = stored.where("kind = 0").select("run", "pairs", "holders").mapInArrow(
+        _pairs_of_runs, "run long, pair long, n long")
     counts = pair_counts(runs.select("pair", "n"), size_b)
     known = runs.select("run", "pair").join(counts, "pair").select(
         "run", F.lit(0).alias("kind"), "pair", "n", "best")
     rows = stored.where("kind = 1").drop("pairs", "holders")
     both = known.unionByName(rows, allowMissingColumns=True)
-    both = both.repartition("run").sortWithinPartitions("run", "kind")
+    both = both.repartition("run").sortWithinPartitions("run", "kind", "pair")
 
     def counted(batches):
-        run, held, table = None, [], None
+        """A run's pairs come first and in the order of its list, then its documents."""
+        number, held, table = None, [], None
         for batch in batches:
-            at = np.flatnonzero(np.diff(batch.column("run").to_numpy())) + 1
-            for x, y in zip([0, *at], [*at, batch.num_rows]):
+            cuts = np.flatnonzero(np.diff(batch.column("run").to_numpy())) + 1
+            for x, y in zip([0, *cuts], [*cuts, batch.num_rows]):
                 part = batch.slice(x, y - x)
-                if part.column("run")[0].as_py() != run:
-                    run, held, table = part.column("run")[0].as_py(), [], None
+                if part.column("run")[0].as_py() != number:
+                    number, held, table = part.column("run")[0].as_py(), [], None
                 lead = int((part.column("kind").to_numpy() == 0).sum())
                 if lead:
                     held.append([part.column(c).slice(0, lead).to_numpy(zero_copy_only=False)
-                                 for c in ("pair", "n", "best")])
+                                 for c in ("n", "best")])
                 if lead == part.num_rows:
                     continue
                 if table is None:
-                    pair, n, best = map(np.concatenate, zip(*held)) if held else np.empty((3, 0), np.int64)
-                    order = np.argsort(pair)
-                    table = pair[order], n[order].astype(np.int64), best[order].astype(bool)
-                for from_ in range(lead, part.num_rows, 500):
-                    yield _scored(part.slice(from_, min(500, part.num_rows - from_)), table)
-
-    def _scored(part, table):
-        rows = part.select(["a", "b", "a_ends", "b_ends"]).to_pylist()
-        ids_a, ids_b, groups = _restored(rows, kind_a, kind_b)
-        owner, pair, times = links(ids_a, ids_b, groups, size_b)
-        at = np.searchsorted(table[0], pair)
-        best = _per_document(owner, times * table[2][at], len(rows))
-        total = _per_document(owner, times * table[1][at], len(rows))
-        return pa.RecordBatch.from_arrays(
-            [part.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
-            + [pa.array(best), pa.array(total), part.column("groups_sha256")],
-            names=[f.split()[0] for f in OUT.split(", ")])
+                    n, best = map(np.concatenate, zip(*held)) if held else np.empty((2, 0), np.int64)
+                    table = n.astype(np.int64), best.astype(np.int64)
+                for at in range(lead, part.num_rows, 500):
+                    yield _scored(part.slice(at, min(500, part.num_rows - at)), *table)
 
     return both.mapInArrow(counted, OUT)
