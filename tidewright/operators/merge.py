@@ -80,16 +80,21 @@ def ratio_guard(existing: DataFrame, incoming: DataFrame, group: str, groups: Se
 
 def replace_rows(incoming: DataFrame, existing: DataFrame, key: str, group: str,
                  groups: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows of some groups exchanged for the incoming ones; other groups gain new rows.
+    """Rows of some groups exchanged for the incoming ones; other groups gain new rows."""
+    return without_groups(existing, group, groups).unionByName(
+        replacing_rows(incoming, existing, key, group, groups, order))
+
+
+def replacing_rows(incoming: DataFrame, existing: DataFrame, key: str, group: str,
+                   groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """All rows of the replaced groups and the new ones of others.
 
     The ids of a replaced group are not compared with its stored rows, which go.
     """
-    kept = without_groups(existing, group, groups)
     fresh = keep_first(incoming, [key], order)
     replaced = fresh.where(F.col(group).isin(*groups))
     others = not_stored(without_groups(fresh, group, groups), existing, key)
-    return (kept.unionByName(replaced.select(*existing.columns))
-            .unionByName(others.select(*existing.columns)))
+    return replaced.select(*existing.columns).unionByName(others.select(*existing.columns))
 
 
 def replace_report(incoming: DataFrame, existing: DataFrame, key: str, group: str,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import fixed
 from ..operators import merge, normalise
 from ..sources import files, sinks
+from ..sources.versions import Versioned
 
 @dataclass
 class Ingest:
@@ -18,6 +19,8 @@ class Ingest:
     report: DataFrame     # boat_id, scanned, added, skipped
     rejected: DataFrame   # _file, reason
     removed: DataFrame    # record ids taken out by a replace
+    changes: DataFrame    # rows that come in: new ones, and all of replaced boats
+    replaced: tuple[str, ...] = ()  # boats whose stored rows go
 
 
 def read_drops(spark: SparkSession, inbox: str, boats: DataFrame, area: str
@@ -54,8 +57,8 @@ def ingest(master: DataFrame, drops: DataFrame, rejected: DataFrame, area: str,
                                    passed=order)
     if mode == "add":
         report = merge.add_report(incoming, master, "record_id", "boat_id", order)
-        return Ingest(merge.add_rows(incoming, master, "record_id", order), report, rejected,
-                      master.select("record_id").limit(0))
+        new = merge.new_rows(incoming, master, "record_id", order).select(*master.columns)
+        return Ingest(master.unionByName(new), report, rejected, master.select("record_id").limit(0), new)
     if not rejected.isEmpty():
         raise ValueError("files were rejected; the master stays as it is")
     failed = merge.ratio_guard(master, incoming, "boat_id", replace_boats, force).where(
@@ -63,9 +66,11 @@ def ingest(master: DataFrame, drops: DataFrame, rejected: DataFrame, area: str,
     if failed:
         raise ValueError(f"too few rows for {sorted(r.boat_id for r in failed)}")
     report = merge.replace_report(incoming, master, "record_id", "boat_id", replace_boats)
-    return Ingest(
-        merge.replace_rows(incoming, master, "record_id", "boat_id", replace_boats, order),
-        report, rejected, merge.removed_keys(master, "boat_id", replace_boats, "record_id"))
+    changes = merge.replacing_rows(incoming, master, "record_id", "boat_id", replace_boats, order)
+    kept = merge.without_groups(master, "boat_id", replace_boats)
+    return Ingest(kept.unionByName(changes), report, rejected,
+                  merge.removed_keys(master, "boat_id", replace_boats, "record_id"), changes,
+                  tuple(replace_boats))
 
 
 def commit(result: Ingest, master: DataFrame, root: str, stamp: str) -> str | None:
@@ -79,3 +84,16 @@ def commit(result: Ingest, master: DataFrame, root: str, stamp: str) -> str | No
     path = f"{root}/master/{stamp}"
     result.rows.write.mode("errorifexists").parquet(path)
     return path
+
+
+def commit_changes(result: Ingest, table: Versioned) -> int | None:
+    """Bring an ingest into a master kept by generations and partitioned by boat_id.
+
+    Rows of other boats are neither read nor written again, and the generation before stays as the
+    copy. No generation comes about, and None is returned, if nothing comes in and nothing goes.
+    """
+    if result.report.where("added > 0").isEmpty() and result.removed.isEmpty():
+        return None
+    if result.replaced:
+        return table.replace(result.changes, result.replaced)
+    return table.append(result.changes)

@@ -10,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import keep_first
 from ..operators.merge import not_stored
+from ..session import written
+from ..sources.versions import Versioned
 
 
 def ingest_new(stream: DataFrame, table: str, checkpoint: str, key: str, order: Sequence[str],
@@ -44,6 +46,30 @@ def ingest_new(stream: DataFrame, table: str, checkpoint: str, key: str, order:
             .trigger(availableNow=True).start())
 
 
+def ingest_versions(stream: DataFrame, table: Versioned, checkpoint: str, key: str,
+                    order: Sequence[str], prepare: Callable[[DataFrame], DataFrame] | None = None,
+                    most: int = 8) -> StreamingQuery:
+    """Add rows with new keys to a table kept by generations, batch by batch.
+
+    A generation names the last batch of each checkpoint, so a batch that runs again after it got
+    into the table does nothing. A partition in more than ``most`` folders is merged into one, and
+    folders that the last two generations do not name go, so the files stay bounded however many
+    batches there are.
+    """
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, number: int) -> None:
+        if number <= table.committed(source):
+            return
+        table.add_new(prepare(batch) if prepare else batch, key, order, source, number)
+        if table.most_folders() > most:
+            table.compact([key], order, most)
+            table.vacuum(2)
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def _stored(spark: SparkSession, table: str, schema, run: str, number: int) -> DataFrame | None:
     """Rows of all other batches; None before the first one."""
     fields = T.StructType([*schema.fields, T.StructField("run", T.StringType()),
@@ -82,6 +108,21 @@ def first_per_key(stream: DataFrame, time: str, keys: Sequence[str], late: str =
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([*keys])
 
 
+def last_per_key(stream: DataFrame, time: str, keys: Sequence[str], order: Sequence[str],
+                 closes: str = "1 day", late: str = "1 hour") -> DataFrame:
+    """The last row of every key, once the key is closed.
+
+    A key closes when the watermark has passed ``closes`` after its latest row; its row then is the
+    one a batch ``keep_last`` gives. Rows that come after that open the key anew and give a further
+    row. State is one row per open key, kept by a session window whose end is the key's timer, so it
+    outlives restarts and needs no Python. Rows later than the watermark are dropped.
+    """
+    rest = [c for c in stream.columns if c not in keys and c not in order]
+    found = (stream.withWatermark(time, late).groupBy(F.session_window(time, closes), *keys)
+             .agg(F.max(F.struct(*[c for c in order if c not in keys], *rest)).alias("_row")))
+    return found.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in stream.columns])
+
+
 def to_table(stream: DataFrame, path: str, checkpoint: str, partition: str | None = None
              ) -> StreamingQuery:
     """Append a stream to a Parquet table; once per row even after a restart."""
@@ -92,6 +133,30 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, partition: str | Non
     return writer.trigger(availableNow=True).start()
 
 
+def seal_issues(stream: DataFrame, table: Versioned, late: str, checkpoint: str) -> StreamingQuery:
+    """Keep every forecast issue, a partition of ``table``, as the batch that brought it left it.
+
+    An issue is sealed with the generation that lists it. Rows of a sealed issue change nothing and
+    go to the folder ``late``; an issue whose batch did not get that far is not listed and is written
+    again. A batch that runs again after its generation does nothing.
+    """
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, number: int) -> None:
+        if number <= table.committed(source):
+            return
+        rows = written(batch, "issues")
+        sealed = table.values()
+        if sealed is not None:
+            again = rows.join(sealed, table.partition, "left_semi")
+            again.write.mode("overwrite").parquet(f"{late}/run={source}/batch={number}")
+            rows = rows.join(sealed, table.partition, "left_anti").select(*rows.columns)
+        table.append(rows, source, number)
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def archive_issues(stream: DataFrame, path: str, checkpoint: str, issue: str = "issue"
                    ) -> StreamingQuery:
     """Keep every forecast issue in a folder of its own."""
