@@ -1,5 +1,5 @@
 """Queries over the test tables and the SQL they are checked against."""
-from . import joins, outputs, profiles, records, stored
+from . import joins, outputs, profiles, records, stored, tables
 from .registry import QUERIES, SQL
 
 

@@ -33,6 +33,7 @@ def test_one_changed_day_writes_one_partition(spark, table):
     table.upsert(frame(spark, ("d1", "a", 9), ("d1", "c", 5), ("d1", "c", 7)), ["day", "point"])
     fresh = {e.folder for e in table.entries() if e.folder} - old
     assert len(fresh) == 1 and fresh.pop().endswith("/day=d1")
+    assert len(writes(table) - before) == 1
     for name in writes(table) - before:
         assert [f for f in os.listdir(f"{table.root}/data/{name}") if "=" in f] == ["day=d1"]
     assert rows_of(table.read()) == [("d 3/x", "a", 4), ("d1", "a", 9), ("d1", "b", 2), ("d1", "c", 7),

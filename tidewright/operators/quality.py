@@ -158,6 +158,49 @@ def condition_findings(table: DataFrame, check: str, day: str, station: str,
     return reduce(DataFrame.unionByName, parts)
 
 
+def line_findings(lines: DataFrame, check: str, columns: Sequence[str], day: str, keys: Sequence[str],
+                  points: Sequence[str] | None = None) -> DataFrame:
+    """Findings of stored CSV files, each with its file and line.
+
+    ``lines`` are those of ``files.read_lines``; the first of a file is its header. Kinds: ``header``
+    (another first line), ``width`` (another number of values; such a line is only that), ``bad_date``,
+    ``duplicate_key`` (an earlier line of the file has the key) and ``unknown_...`` (the last key column
+    is not among ``points``). A value does not go over several lines.
+    """
+    bare = F.regexp_replace("value", '"(?:[^"]|"")*"', "")
+    width = F.when(F.col("value") == "", 0).otherwise(F.size(F.split(bare, ",", -1)))
+    first = F.regexp_replace("value", "^\ufeff", "")
+    values = F.from_csv(F.col("value"), ", ".join(f"`{c}` string" for c in columns), {"mode": "PERMISSIVE"})
+    rows = lines.select("_file", "_line", "value", width.alias("_width"))
+    heads = rows.where("_line = 1")
+    rows = rows.where("_line > 1")
+    whole = rows.where(F.col("_width") == len(columns)).select("_file", "_line", values.alias("_v")).select(
+        "_file", "_line", *[F.coalesce(F.col("_v")[c], F.lit("")).alias(c) for c in {day: 0, **dict.fromkeys(keys)}])
+    key = F.concat_ws("|", *keys)
+    firsts = whole.groupBy("_file", *keys).agg(F.min("_line").alias("_at"), F.count(F.lit(1)).alias("_n"))
+    again = whole.join(firsts.where("_n > 1"), ["_file", *keys]).where("_line > _at")
+
+    def found(df: DataFrame, kind: str, detail: Column) -> DataFrame:
+        return df.select(F.lit(check).alias("check"), F.lit(kind).alias("kind"), F.col("_file").alias("file"),
+                         F.col("_line").alias("line"), detail.alias("detail"))
+
+    parts = [found(heads.where(first != ",".join(columns)), "header", F.col("value")),
+             found(rows.where(F.col("_width") != len(columns)), "width", F.col("_width").cast("string")),
+             found(whole.where(~F.col(day).rlike(r"^\d{4}-\d{2}-\d{2}$")), "bad_date", F.col(day)),
+             found(again, "duplicate_key", key)]
+    if points is not None:
+        parts.append(found(whole.where(~F.col(keys[-1]).isin(*points)), f"unknown_{keys[-1]}",
+                           F.col(keys[-1])))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def as_findings(located: DataFrame) -> DataFrame:
+    """Findings with file and line as findings of a report."""
+    return located.select("check", "kind", F.concat(
+        F.col("file"), F.lit(":"), F.lpad(F.col("line").cast("string"), 12, " "), F.lit(" "), F.col("detail")
+    ).alias("detail"), F.lit(1).cast("long").alias("times"))
+
+
 def report(findings: DataFrame, checks: Sequence[str], shown: int = SHOWN_DETAILS) -> DataFrame:
     """One row per check: ok, number of issues, the first details in order.
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions import fixed
 
@@ -88,3 +88,25 @@ def read_master(spark: SparkSession, path: str) -> DataFrame:
     header = spark.read.option("header", True).csv(path).limit(0).columns
     master_version(header)
     return upgrade_master(read_lenient(spark, path, header))
+
+
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of text files as they stand: _file, _line (from 1) and value.
+
+    A file is read in as many splits as it has. The first number and the count of each split give
+    every split the lines before it, so no file goes through one task and no line is sorted. A file
+    may be a folder of one part written by a job, which then is named by the folder.
+    """
+    meta = F.col("_metadata.file_path")
+    raw = spark.read.text(path).select(
+        "value", meta.alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_place"))
+    blocks = raw.groupBy("_path", "_block").agg(F.min("_place").alias("_first"),
+                                                F.count(F.lit(1)).alias("_lines"))
+    above = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_lines").over(above), F.lit(0)))
+    names = F.split("_path", "/")
+    name = F.element_at(names, -1)
+    return raw.join(blocks, ["_path", "_block"]).select(
+        F.when(name.startswith("part-"), F.element_at(names, -2)).otherwise(name).alias("_file"),
+        (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias("_line"), "value")

@@ -138,6 +138,11 @@ class Versioned:
             f"{self.root}/data/write={write}")
         return write
 
+    def _drop(self, write: str) -> None:
+        """Remove a write that no generation lists."""
+        files, where = self._files(f"{self.root}/data/write={write}")
+        files.delete(where, True)
+
     def append(self, rows: DataFrame, source: str = "", batch: int = -1) -> int:
         """Add rows beside those stored; ``source`` and ``batch`` name the stream they come from."""
         base = self.generation()
@@ -153,13 +158,16 @@ class Versioned:
         base = self.generation()
         entries = self.entries(base)
         schema = self._schema(entries) or rows.schema
-        write = self._write(keep_first(rows.select(*schema.names), [key], order))
+        write = staging = self._write(keep_first(rows.select(*schema.names), [key], order))
         touched = set(self._folders(write))
         old = [e for e in entries if e.partition in touched]
         if old:
             staged = self.spark.read.schema(schema).parquet(f"{self.root}/data/write={write}")
             write = self._write(not_stored(staged.select(*schema.names), self._rows(old, schema), key))
-        return self._commit(base, [e for e in entries if e.partition], [write], schema, source, batch)
+        number = self._commit(base, [e for e in entries if e.partition], [write], schema, source, batch)
+        if old:
+            self._drop(staging)
+        return number
 
     def upsert(self, rows: DataFrame, keys: Sequence[str]) -> int:
         """Stored and incoming rows, the later one of every key; of several rows with one key in a
@@ -177,8 +185,10 @@ class Versioned:
         rest = [c for c in schema.names if c not in keys]
         merged = keep_last(both, keys, ["_batch", *rest]).drop("_batch")
         result = self._write(merged)
-        return self._commit(base, [e for e in entries if e.partition and e.partition not in touched],
-                            [result], schema)
+        number = self._commit(base, [e for e in entries if e.partition and e.partition not in touched],
+                              [result], schema)
+        self._drop(write)
+        return number
 
     def replace(self, rows: DataFrame, partitions: Sequence[str]) -> int:
         """Exchange whole partitions, named by value, for ``rows``; other partitions gain their rows."""
