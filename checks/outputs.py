@@ -93,14 +93,14 @@ def snapshot_copy(spark, sf):
 @query("""SELECT 'boat' || CAST(s_suppkey AS STRING) AS boat_id, 'area' || CAST(s_nationkey % 3 AS STRING)
     AS area_id FROM supplier WHERE s_nationkey % 4 <> 1""")
 def dimension_entries(spark, sf):
-    """Boats as one JSON document, read back without those out of use."""
+    """Boats as JSON documents of at most 100 boats by area, read back without those out of use."""
     path = fresh_path(spark, "boats")
-    boat = F.struct(F.expr("'boat' || CAST(s_suppkey AS STRING)").alias("boat_id"),
-                    F.expr("'area' || CAST(s_nationkey % 3 AS STRING)").alias("area_id"),
-                    F.expr("CASE s_nationkey % 4 WHEN 0 THEN true WHEN 1 THEN false END").alias("active"))
-    document = table(spark, sf, "supplier").agg(F.collect_list(boat).alias("boats"))  # a dimension
-    sinks.write_documents(document, path)
-    return dimensions.active_only(dimensions.read_entries(spark, path, "boats")).select(
+    boats = table(spark, sf, "supplier").selectExpr(
+        "s_suppkey", "'boat' || CAST(s_suppkey AS STRING) AS boat_id", "'area' || CAST(s_nationkey % 3 AS STRING) AS area_id",
+        "CASE s_nationkey % 4 WHEN 0 THEN true WHEN 1 THEN false END AS active")
+    documents = sinks.listed(boats, ["area_id"], "s_suppkey", F.struct("boat_id", "area_id", "active"), "boats", 100)
+    sinks.write_documents(documents.withColumnRenamed("area_id", "area"), path, by=["area"], sort_keys=True)
+    return dimensions.active_only(dimensions.read_entries(spark, path, "boats", by_line=True)).select(
         "boat_id", "area_id")
 
 
@@ -133,13 +133,12 @@ def compacted(spark, sf):
 @query(with_views("fc") + """SELECT 'u1' AS updated, place || ' ' || time AS t, wave_height AS wave,
     CAST(wave_direction AS BIGINT) AS wave_dir FROM fc""")
 def forecast_document(spark, sf):
-    """Forecast rows as one stored document of the site, read back as rows."""
+    """Forecast rows as stored documents of the site, one for each place and day, read back as rows."""
     path = fresh_path(spark, "forecast")
     row = F.struct(F.concat_ws(" ", "place", "time").alias("t"), F.col("wave_height").alias("wave"),
                    F.col("wave_direction").cast("int").alias("waveDir"))
-    rows = aggregated(spark, sf, "fc").groupBy("place").agg(F.collect_list(row).alias("rows"))
-    for place in [r.place for r in rows.select("place").collect()]:  # a handful of places
-        sinks.write_documents(rows.where(F.col("place") == place).select(
-            F.lit("u1").alias("updated"), "rows"), f"{path}/{place}")
-    found = payload.read_forecast(spark, f"{path}/*")
+    rows = aggregated(spark, sf, "fc").groupBy("place", F.left("time", F.lit(10)).alias("day")).agg(
+        F.sort_array(F.collect_list(row)).alias("rows"))  # four hours a day
+    sinks.write_documents(rows.select("place", F.lit("u1").alias("updated"), "rows"), path, by=["place"])
+    found = payload.read_forecast(spark, path, by_line=True)
     return found.select("updated", "t", "wave", F.col("wave_dir").cast("long").alias("wave_dir"))

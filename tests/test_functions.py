@@ -210,3 +210,13 @@ def test_stable_characters_are_their_own_form():
     # Stable beside each other, too: nothing in the ranges joins with what comes before it.
     assert unicodedata.normalize("NFKC", "".join(stable)) == "".join(stable)
     assert unicodedata.normalize("NFKC", "".join(stable[::-1])) == "".join(stable[::-1])
+
+
+def test_several_texts_in_normal_form(spark):
+    import unicodedata
+    rows = [("ｱ", "é", None), ("plain", "", "x"), ("①\x1f②", "\x1e0", "\x1e1\x1f"), ("\x1f", "\x1e̸", "ﬁ\x1e"),
+            ("", "́ｶﾞ", "́"), (None, None, None), ("\x1e\x1f", "é", "Å")]
+    frame = spark.createDataFrame(rows, "a string, b string, c string")
+    found = text.with_nfkc(frame, {c: F.col(c) for c in "abc"}).collect()
+    normal = lambda t: None if t is None else unicodedata.normalize("NFKC", t)
+    assert [tuple(r) for r in found] == [tuple(map(normal, r)) for r in rows]

@@ -345,3 +345,26 @@ def test_shared_folder_follows_the_session(spark):
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert folder is None or session.fresh_path(spark, "t").startswith(folder)
     assert session.fresh_path(spark, "t") != session.fresh_path(spark, "t")
+
+
+def test_a_hot_day_is_not_one_task(spark):
+    rows = spark.range(2000).select(F.lit("d1").alias("day"), F.col("id").alias("cell"))
+    other = spark.createDataFrame([("d1", 1), ("d2", 2), (None, 3)], "day string, cell long")
+    found = precedence.first_source({"b": other, "a": rows}, ["day"], ["a", "b"])
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.groupBy("source", "day").count().collect().__len__() == 2
+    assert found.where("source = 'a'").count() == 2000 and found.where("source = 'b'").collect()[0].day == "d2"
+
+
+def test_documents_with_sorted_keys_by_folder(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "p", (2, [(3, "x")]), None), (2, "q", None, "é")],
+                                  "b int, place string, a struct<z:int,y:array<struct<k:int,c:string>>>, c string")
+    sinks.write_documents(frame, str(tmp_path / "d"), by=["place"], sort_keys=True)
+    lines = sorted(line for path in (tmp_path / "d").glob("place=*/part-*") for line in path.read_text().splitlines())
+    assert lines == ['{"a":{"y":[{"c":"x","k":3}],"z":2},"b":1}', '{"b":2,"c":"é"}']
+
+
+def test_lists_stay_bounded(spark):
+    rows = spark.range(250).select(F.lit("k").alias("area"), "id")
+    found = sinks.listed(rows, ["area"], "id", F.struct("id"), "boats", 100).orderBy("part").collect()
+    assert [len(r.boats) for r in found] == [100, 100, 50] and [x.id for x in found[1].boats] == list(range(100, 200))

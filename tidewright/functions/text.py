@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import fixed
@@ -21,10 +20,10 @@ def strip(text: Column) -> Column:
     return F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
 
 
-def _normal_form_functions():
-    """Arrow functions for the compatibility normal form of a text, and of a list of texts.
+def _normal_form_function():
+    """Arrow function for the compatibility normal form of a text.
 
-    Defined inside a function, they travel to the workers by value, so the
+    Defined inside a function, it travels to the workers by value, so the
     package need not be installed there.
     """
     def normal(texts: pa.Array) -> pa.Array:
@@ -32,17 +31,10 @@ def _normal_form_functions():
         words = [unicodedata.normalize("NFKC", word) for word in coded.dictionary.to_pylist()]
         return pa.array(words, pa.string()).take(coded.indices)
 
-    def normal_lists(rows: pa.Array) -> pa.Array:
-        sizes = pc.fill_null(pc.list_value_length(rows), 0)
-        ends = pc.cumulative_sum(sizes).cast(pa.int32())
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-        return pa.ListArray.from_arrays(offsets, normal(rows.flatten()), mask=rows.is_null())
+    return F.arrow_udf(normal, T.StringType())
 
-    return (F.arrow_udf(normal, T.StringType()),
-            F.arrow_udf(normal_lists, T.ArrayType(T.StringType())))
 
-
-_nfkc, _nfkc_each = _normal_form_functions()
+_nfkc = _normal_form_function()
 
 
 # Characters that are their own compatibility form whatever stands beside them:
@@ -63,14 +55,30 @@ def nfkc(text: Column) -> Column:
     return F.coalesce(_nfkc(F.when(~_stable(text), text)), text)
 
 
+_END, _ESCAPE = "\x1f", "\x1e"  # both are their own normal form and keep what is beside them apart
+
+
 def with_nfkc(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
-    """Adds several columns in compatibility normal form with one Arrow call per batch."""
-    rows = df.withColumn("_texts", F.array(*texts.values()))
-    rows = rows.withColumn("_normal", _nfkc_each(
-        F.when(~_stable(F.array_join("_texts", "")), F.col("_texts"))))
-    done = F.coalesce("_normal", "_texts")
-    return rows.withColumns({name: done[i] for i, name in enumerate(texts)}).drop(
-        "_texts", "_normal")
+    """Adds several columns in compatibility normal form with one Arrow call per batch.
+
+    The texts of a row go as one, and only where one of them is not stable: a
+    column of nulls costs next to nothing there, a column of lists would.
+    """
+    def closed(text: Column) -> Column:
+        return F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(_ESCAPE), F.lit(_ESCAPE + "0")),
+                         F.lit(_END), F.lit(_ESCAPE + "1"))
+
+    def opened(text: Column) -> Column:
+        return F.replace(F.replace(text, F.lit(_ESCAPE + "1"), F.lit(_END)), F.lit(_ESCAPE + "0"), F.lit(_ESCAPE))
+
+    raw = {f"_raw{i}": text for i, text in enumerate(texts.values())}
+    rows = df.withColumns(raw)
+    odd = ~_stable(F.concat_ws("", *raw))
+    rows = rows.withColumn("_normal", _nfkc(F.when(
+        odd, F.concat_ws(_END, *[closed(F.col(c)) for c in raw]))))
+    parts = F.split("_normal", _END, -1)
+    return rows.withColumns({name: F.when(F.col("_normal").isNull() | F.col(c).isNull(), F.col(c)).otherwise(
+        opened(F.get(parts, i))) for i, (name, c) in enumerate(zip(texts, raw))}).drop("_normal", *raw)
 
 
 def clean(text: Column) -> Column:

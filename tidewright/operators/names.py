@@ -126,13 +126,21 @@ def longest_name_in(df: DataFrame, text: str, names: DataFrame, name: str, order
                 hit = np.flatnonzero(held[place >> 6] >> (place & 63) & 1)
                 at, value = at[hit], value[hit]
                 owner = np.searchsorted(starts[1:], at, "right")
+                if size < SEED:  # the window is the name: once for each text
+                    _, first = np.unique(np.stack([owner.astype(np.uint64), value]), axis=1, return_index=True)
+                    at, value, owner = at[first], value[first], owner[first]
+                    yield found_in(batch, owner, size, value, np.zeros(len(at), np.int64), [b""] * len(at))
+                    continue
                 low = np.maximum(at - reach, starts[owner])
                 high = np.minimum(at + reach, starts[owner + 1])
                 around = [raw[x:y] for x, y in zip(low.tolist(), high.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_text_id").take(pa.array(owner)), pa.array(np.full(len(at), size, np.int32)),
-                     pa.array(value.view(np.int64)), pa.array(at - low), pa.array(around, pa.binary())],
-                    names=["_text_id", "size", "seed", "at", "around"])
+                yield found_in(batch, owner, size, value, at - low, around)
+
+    def found_in(batch, owner, size, value, at, around):
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_text_id").take(pa.array(owner)), pa.array(np.full(len(at), size, np.int32)),
+             pa.array(value.view(np.int64)), pa.array(at), pa.array(around, pa.binary())],
+            names=["_text_id", "size", "seed", "at", "around"])
 
     own = F.sha2(F.col(text).cast("binary"), 256)
     rows = df.where(F.col(text).isNotNull()).select(
@@ -141,7 +149,7 @@ def longest_name_in(df: DataFrame, text: str, names: DataFrame, name: str, order
     met = found.distinct().join(seeds, ["size", "seed"])
     raw = F.col("name").cast("binary")
     begin = F.col("at") - F.col("offset")
-    met = met.where((begin >= 0) & (F.substr("around", (begin + 1).cast("int"), F.octet_length(raw)) == raw))
+    met = met.where((F.col("size") < SEED) | (begin >= 0) & (F.substr("around", (begin + 1).cast("int"), F.octet_length(raw)) == raw))
     longest = F.min(F.struct(-F.char_length("name"), F.col("rank.rank"), F.col("name")))
     best = met.groupBy("_text_id").agg(F.max("rank.bad").alias("bad"), longest.alias("best"))
     best = best.where(~F.col("bad")).select(F.col("_text_id").alias("_found_id"), F.col("best.name").alias(out))

@@ -18,9 +18,9 @@ SCHEMAS = {
 }
 
 
-def read_entries(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Rows of one list of a JSON document."""
-    document = spark.read.schema(SCHEMAS[name]).option("multiLine", True).json(path)
+def read_entries(spark: SparkSession, path: str, name: str, by_line: bool = False) -> DataFrame:
+    """Rows of one list of a JSON document, or of all documents of a folder with one in each line."""
+    document = spark.read.schema(SCHEMAS[name]).option("multiLine", not by_line).json(path)
     return document.select(F.inline(name))
 
 

@@ -55,11 +55,11 @@ def forecast_rows(marine: DataFrame, weather: DataFrame, keys: Sequence[str], ti
     return round_columns(round_columns(raw, 2, "wave", "wind_wave"), 1, "wind", "rain")
 
 
-def read_forecast(spark, path: str) -> DataFrame:
-    """Rows of a stored forecast document."""
+def read_forecast(spark, path: str, by_line: bool = False) -> DataFrame:
+    """Rows of a stored forecast document, or of all documents of a folder with one in each line."""
     row = ("struct<t:string,wave:double,wind:double,dir:int,waveDir:int,windWave:double,"
            "rain:double>")
     document = spark.read.schema(f"updated string, rows array<{row}>").option(
-        "multiLine", True).json(path)
+        "multiLine", not by_line).json(path)
     return document.select("updated", F.inline("rows")).withColumnsRenamed(
         {"waveDir": "wave_dir", "windWave": "wind_wave"})

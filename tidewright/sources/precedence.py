@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed
 from ..operators.latest import keep_first
@@ -14,16 +14,16 @@ def first_source(sources: Mapping[str, DataFrame], keys: Sequence[str],
                  order: Sequence[str] = tuple(fixed.SOURCE_ORDER)) -> DataFrame:
     """For every key all rows of the first source that has it, with ``source``.
 
-    Each source is read once. A key is a day or a place and day, with a bounded
-    number of rows, which meet in one task.
+    The keys of each source are reduced in every task and joined back, so the
+    rows of a key (a day of a gridded field, say) never meet in one task; of the
+    sources only the key columns are read for that.
     """
     ranked = [sources[name].withColumns({"source": F.lit(name), "_priority": F.lit(i)})
               for i, name in enumerate(n for n in order if n in sources)]
     rows = reduce(DataFrame.unionByName, ranked)
-    best = F.min("_priority").over(Window.partitionBy(*keys))
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return rows.where(known).withColumn("_best", best).where(
-        F.col("_best") == F.col("_priority")).drop("_best", "_priority")
+    best = rows.groupBy(*keys).agg(F.min("_priority").alias("_priority"))
+    return rows.join(best, [*keys, "_priority"], "left_semi").select(
+        *[c for c in rows.columns if c != "_priority"])
 
 
 def one_row_by_source(sources: Mapping[str, DataFrame], keys: Sequence[str],
@@ -45,4 +45,4 @@ def archive_and_forecast(archive: DataFrame, forecast: DataFrame, keys: Sequence
 
 def hourly_else_daily(hourly: DataFrame, daily: DataFrame, chunk: Sequence[str]) -> DataFrame:
     """Daily values only for chunks without any hourly value."""
-    return hourly.unionByName(daily.join(hourly.select(*chunk), [*chunk], "left_anti"))
+    return hourly.unionByName(daily.join(hourly.select(*chunk).distinct(), [*chunk], "left_anti"))

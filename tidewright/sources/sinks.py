@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.latest import keep_last
 from ..session import fresh_path
@@ -29,9 +29,37 @@ def append_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_documents(df: DataFrame, path: str, name: str = "value") -> None:
-    """One JSON document per row."""
-    df.select(F.to_json(F.struct(*df.columns)).alias(name)).write.text(path)
+def _by_name(value: Column, kind: T.DataType) -> Column:
+    """A value whose structs have their fields in the order of their names."""
+    if isinstance(kind, T.StructType):
+        fields = [_by_name(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _by_name(x, kind.elementType))
+    return value
+
+
+def write_documents(df: DataFrame, path: str, name: str = "value", by: Sequence[str] = (),
+                    sort_keys: bool = False) -> None:
+    """One JSON document per row, a line each; with ``by``, in a folder for each value of these
+    columns, which are no part of it. Keys stand as the columns do, or sorted at every depth."""
+    fields = [f for f in df.schema.fields if f.name not in by]
+    if sort_keys:
+        fields = sorted(fields, key=lambda f: f.name)
+    values = [_by_name(F.col(f"`{f.name}`"), f.dataType).alias(f.name) if sort_keys else F.col(f"`{f.name}`")
+              for f in fields]
+    writer = df.select(*by, F.to_json(F.struct(*values)).alias(name)).write
+    (writer.partitionBy(*by) if by else writer).text(path)
+
+
+def listed(df: DataFrame, keys: Sequence[str], order: str, entry: Column, name: str, most: int = 1000) -> DataFrame:
+    """Rows as lists of at most ``most`` entries, so that no list grows with the table: the keys, ``part``
+    and the list in the order of a column of distinct whole numbers; those of equal ``order div most``
+    are one list."""
+    part = F.expr(f"`{order}` div {most}")
+    lists = df.groupBy(*keys, part.alias("part")).agg(F.sort_array(F.collect_list(
+        F.struct(F.col(order).alias("_at"), entry.alias("_entry")))).alias("_list"))
+    return lists.select(*keys, "part", F.transform("_list", lambda x: x["_entry"]).alias(name))
 
 
 def quarantine(bad: DataFrame, path: str, run_date: str) -> None:
