@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import odd
 from compare import connect, difference
-from tidewright.llm import crosstokens, filteraudit, linededup, queries
+from tidewright.llm import crosstokens, filteraudit, jaccard, linededup, queries
 
 SF = "/root/testdata/sf0.001"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -307,3 +307,24 @@ def test_packed_numbers():
     data, at = crosstokens.packed(values)
     assert crosstokens.unpacked(data).tolist() == values.tolist() and len(data) == at[-1] == 1 + 1 + 1 + 2 + 2 + 3 + 6 + 1
     assert len(crosstokens.unpacked(np.empty(0, np.uint8))) == 0
+
+
+# Signatures of the Jaccard join
+
+def test_signatures_never_lose_a_link():
+    draw = np.random.default_rng(3)
+    told = 0
+    for _ in range(600):
+        size = int(draw.integers(1, 400))
+        a = np.unique(draw.integers(0, 1 << 63, size, np.uint64))
+        keep = a[draw.random(len(a)) < draw.uniform(.6, 1)]
+        b = np.unique(np.concatenate([keep, draw.integers(0, 1 << 63, int(draw.integers(0, 1 + size // 3)), np.uint64)]))
+        if not len(b):
+            continue
+        common = len(np.intersect1d(a, b))
+        links = 100 * common >= 75 * (len(a) + len(b) - common)
+        may = jaccard._may_link(jaccard._signature(a), jaccard._signature(b), len(a), len(b))
+        assert may or not links
+        told += not may
+    other = [np.unique(draw.integers(0, 1 << 63, 500, np.uint64)) for _ in range(2)]
+    assert told > 50 and not jaccard._may_link(*map(jaccard._signature, other), *map(len, other))

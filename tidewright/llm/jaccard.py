@@ -14,15 +14,16 @@ components are what links reach. Nothing is sampled or cut off; the steps:
    places of the token in the prefixes.
 4. Groups are expanded to their classes. Instead of all pairs of a list, every class is first
    verified against the one whose token comes earliest, which in a family of near copies is the
-   one nearest to all; components of these links are made.
+   one nearest to all; components of these links are made. Signatures of a few bits a shingle
+   bound the overlap of a pair, and sets are fetched only for pairs that the bound leaves.
 5. What is left are classes of a list in different components. Those outside a list's largest
    component are paired with the others that sizes and places still allow, and verified too.
 
 So a list's pairs are not listed; a family of near copies costs one pair for each member and
 token, and what lies outside its component only what the bounds cannot exclude. The counts are a
 fixed table of ``CELLS`` numbers whatever the corpus; it only decides the order, as does
-everything that is approximate here, and so the time, never the result. Tokens, classes and
-groups are 64-bit numbers of a hash (classes are also told apart by size).
+everything that is approximate here, and so the time, never the result. Tokens are
+64-bit numbers of a hash, classes and groups 128 bits of one.
 
 Edge cases: null and empty texts and texts without words have an empty set, link with nothing
 and are their own component; a text of one to four words is one shingle; a null doc_id stands
@@ -37,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import written
+from ..session import fresh_path, remove, written
 from . import words
 from .common import one_row_each, pieces, ranges, utf8
 from .components import components
@@ -45,6 +46,7 @@ from .components import components
 WORDS = 5
 CELLS = 1 << 20
 SLICES = 64  # parts in which the counts are added up
+SIGNATURE_BITS = 16  # logarithm of the longest signature: 8 KB, for documents of many thousand words
 FILTER_BITS = 1 << 25  # 4 MB; a corpus that fills the filter passes it whole
 
 
@@ -93,8 +95,32 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _ids(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+def _key(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _signature(values: np.ndarray) -> bytes:
+    """A bit per shingle by its low bits, in about four times as many bits as there are shingles."""
+    bits = 1 << min(max(6, (4 * len(values) - 1).bit_length()), SIGNATURE_BITS)
+    marks = np.zeros(bits, np.uint8)
+    marks[(values & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def _may_link(a: bytes, b: bytes, n_a: int, n_b: int) -> bool:
+    """Whether two sets may be similar, by their signatures; never False for sets that are.
+
+    A common shingle sets a common bit, and the shingles of a set that share bits with others of it
+    are as many as its size is above its bits. The longer signature is folded to the shorter.
+    """
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    long_, short = max(len(a), len(b)) * 8, min(len(a), len(b)) * 8
+    while long_ > short:
+        long_ //= 2
+        low = (1 << long_) - 1
+        x, y = (x >> long_ | x & low, y) if len(a) > len(b) else (x, y >> long_ | y & low)
+    most = (x & y).bit_count() + min(n_a - x.bit_count(), n_b - y.bit_count())
+    return 7 * most >= 3 * (n_a + n_b)
 
 
 def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -103,7 +129,7 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     rank = np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
 
     def classified(batches):
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
             for part in pieces(batch):
                 value, ends = _sets(part)
@@ -116,15 +142,17 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 text, at = utf8(part.column("text"))
                 text, at = text.tobytes(), at.tolist()
                 digest = [hashlib.sha256(text[a:b]).digest() for a, b in zip(at, at[1:])]
-                node, group, fresh = [], [], np.zeros(len(size), bool)
+                node, group, marks, fresh = [], [], [], np.zeros(len(size), bool)
                 for i, (a, n, p) in enumerate(zip(ends.tolist(), size.tolist(), length.tolist())):
                     if not n:
                         node.append(None)
                         group.append(None)
+                        marks.append(None)
                         continue
-                    node.append(_ids(held[8 * a:8 * (a + n)]))
-                    key = _ids(n.to_bytes(8, "little") + first[8 * a:8 * (a + p)])
+                    node.append(_key(held[8 * a:8 * (a + n)]))
+                    key = _key(n.to_bytes(8, "little") + first[8 * a:8 * (a + p)])
                     group.append(key)
+                    marks.append(_signature(value[a:a + n]))
                     if key not in seen:
                         seen.add(key)
                         fresh[i] = True
@@ -133,12 +161,12 @@ def classify(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sent)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(digest, pa.binary()),
-                     pa.array(size.astype(np.int32)), pa.array(node, pa.int64()), pa.array(group, pa.int64()),
-                     pa.ListArray.from_arrays(offsets, tokens)],
-                    names=["doc_id", "digest", "n", "node", "grp", "prefix"])
+                     pa.array(size.astype(np.int32)), pa.array(node, pa.binary()), pa.array(group, pa.binary()),
+                     pa.array(marks, pa.binary()), pa.ListArray.from_arrays(offsets, tokens)],
+                    names=["doc_id", "digest", "n", "node", "grp", "signature", "prefix"])
 
-    found = docs.mapInArrow(classified, "doc_id long, digest binary, n int, node long, grp long, "
-                                        "prefix array<long>")
+    found = docs.mapInArrow(classified, "doc_id long, digest binary, n int, node binary, grp binary, "
+                                        "signature binary, prefix array<long>")
     return found.withColumn("row_id", F.monotonically_increasing_id())
 
 
@@ -186,7 +214,7 @@ def _shared(rows: DataFrame) -> DataFrame:
     slots = F.transform("prefix", lambda t: F.pmod(F.xxhash64(t), F.lit(FILTER_BITS)))
     row_slot = F.pmod(F.xxhash64("row_id"), F.lit(FILTER_BITS))
     return written(tokens.withColumns({"slot": slots, "row_slot": row_slot}).mapInArrow(
-        passed, "s long, grp long, n int, pos int"), "join-shared")
+        passed, "s long, grp binary, n int, pos int"), "join-shared")
 
 
 def lists(rows: DataFrame) -> DataFrame:
@@ -209,7 +237,7 @@ def lists(rows: DataFrame) -> DataFrame:
     several = members.groupBy(F.col("m_grp").alias("g")).agg(F.count(F.lit(1)).alias("k")).where(
         "k > 1")
     inside = members.join(several, F.col("m_grp") == F.col("g")).select(
-        F.col("g").alias("s"), "node", F.col("m_n").alias("n"), F.lit(0).alias("pos"),
+        F.xxhash64("g").alias("s"), "node", F.col("m_n").alias("n"), F.lit(0).alias("pos"),
         (4 * F.col("m_n").cast("long")).alias("reach"))
     return written(expanded.unionByName(inside), "join-lists")
 
@@ -231,29 +259,50 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataF
             for part in pieces(batch):
                 value, ends = _sets(part)
                 data, at = value.tobytes(), ends.tolist()
-                nodes = [_ids(data[8 * a:8 * b]) for a, b in zip(at, at[1:])]
+                nodes = [_key(data[8 * a:8 * b]) for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(
+                    [pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(
                         pa.array(ends.astype(np.int32)), pa.array(value.view(np.int64)))],
                     names=["f_node", "shingles"])
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    found = docs.select("text", slot.alias("slot")).mapInArrow(sets, "f_node long, shingles array<long>")
-    one = found.join(nodes, F.col("f_node") == F.col("p_node")).select(
+    found = docs.select("text", slot.alias("slot")).mapInArrow(sets, "f_node binary, shingles array<long>")
+    return found.join(nodes, F.col("f_node") == F.col("p_node")).select(
         F.col("f_node").alias("node"), "shingles").dropDuplicates(["node"])
-    return written(one, "join-sets")
+
+
+def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs of classes (a, b) that their signatures do not tell apart."""
+    known = classes.select("node", "n", "signature")
+    for side in ("a", "b"):
+        pairs = pairs.join(known.select(*[F.col(c).alias(f"{c}_{side}") for c in known.columns]),
+                           F.col(side) == F.col(f"node_{side}")).drop(f"node_{side}")
+
+    def kept(batches):
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("signature_a", "signature_b", "n_a", "n_b")]
+            yield batch.filter(pa.array([_may_link(*row) for row in zip(*columns)], pa.bool_())).select(["a", "b"])
+
+    return pairs.mapInArrow(kept, "a binary, b binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The links among pairs of classes (a, b)."""
-    pairs = written(pairs, "join-pairs")
-    sets = shingle_sets(docs, classes, pairs)
+    """The links among pairs of classes (a, b); only pairs that may link have their sets fetched."""
+    spark = docs.sparkSession
+    paths = [fresh_path(spark, name) for name in ("join-pairs", "join-sets")]
+    possible(pairs, classes).write.parquet(paths[0])
+    pairs = spark.read.schema("a binary, b binary").parquet(paths[0])
+    shingle_sets(docs, classes, pairs).write.parquet(paths[1])
+    sets = spark.read.schema("node binary, shingles array<long>").parquet(paths[1])
     left = sets.select(F.col("node").alias("x_node"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("y_node"), F.col("shingles").alias("y"))
     both = pairs.join(left, F.col("a") == F.col("x_node")).join(right, F.col("b") == F.col("y_node"))
     both = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("common"),
                        (F.size("x") + F.size("y")).cast("long").alias("sizes"))
-    return written(both.where("100 * common >= 75 * (sizes - common)").select("a", "b"), "join-links")
+    links = written(both.where("100 * common >= 75 * (sizes - common)").select("a", "b"), "join-links")
+    for path in paths:  # the links are written; nothing reads these again
+        remove(spark, path)
+    return links
 
 
 def _ordered(a: str, b: str):
@@ -308,7 +357,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
     rows = written(classify(docs, shingle_counts(docs)), "join-classes")
     classes = rows.where("node IS NOT NULL").groupBy("node", "n").agg(
-        F.min("doc_id").alias("doc_id"))
+        F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"))
     entries = lists(rows)
     near = verified(to_earliest(entries), docs, classes)
     links = near.union(verified(across(entries, components(near)), docs, classes))
