@@ -380,9 +380,72 @@ def test_pipeline(spark):
     assert set(packed.doc_id) == want and packed.length.max() <= 2048
 
 
-def test_pipeline_stages_on_odd_rows(spark):
-    for frame in (odd.docs(spark), odd.none(spark)):
-        rows = frame
-        for _, stage in corpus_pipeline.STAGES:
-            rows = stage(spark, frame, SF)
-            assert rows.count() <= 100_000
+def test_pipeline_stages_on_odd_rows(spark, monkeypatch):
+    frame = odd.docs(spark)
+    own = lambda df: sorted(map(str, df.select("doc_id", "text", *odd.CLASHES).collect()))
+    monkeypatch.setattr(corpus_pipeline, "KEEP_FROM", -1.0)
+    good = corpus_pipeline.keep_quality(spark, frame, SF)
+    assert good.columns == frame.columns and good.dtypes == frame.dtypes and own(good) == own(frame)
+    single = corpus_pipeline.drop_copies(spark, frame, SF)
+    assert single.columns == frame.columns and single.count() == len({normal(t) for _, t, *_ in odd.rows()})
+    assert set(own(single)) <= set(own(frame))
+    near = corpus_pipeline.drop_near_copies(spark, frame, SF)
+    rows = {(r.doc_id, r.text or "") for r in near.collect()}
+    wanted = [r for r in odd.rows() if r[0] is not None and plain_shingles(r[1])]
+    components_ = {c for _, _, c in plain_components([r[:2] for r in wanted])}
+    assert near.columns == frame.columns and set(own(near)) <= set(own(frame))
+    assert components_ <= {i for i, _ in rows}
+    assert {i for i, t in rows if i is not None and plain_shingles(t)} == components_
+    packed = corpus_pipeline.pack(spark, frame, SF).toPandas()
+    assert len(packed[packed.piece == 0]) == len(odd.rows())
+    for _, stage in corpus_pipeline.STAGES:
+        left = stage(spark, odd.none(spark), SF)
+        assert left.count() == 0
+
+
+def test_files_without_a_notice_are_dealt_evenly(spark):
+    files = spark.createDataFrame([(i, f"d/{i}.txt", "no such thing") for i in range(300)] + [
+        (900, "d/LICENSE", "Licensed under the Apache License, Version 2.0.")], "doc_id long, path string, text string")
+    found = licences.scan(files)
+    assert "spread" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.found_in: r.n for r in found.groupBy("found_in").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        "inherited": 300, "file": 1}
+
+
+def plain_blocks_score(block, templates):
+    """Cosine of a block to each template: counts times whole-numbered idf of the templates."""
+    words = lambda t: re.findall("[a-z0-9]+", t.lower())
+    bodies = [(name, words(body)) for name, body in templates]
+    count = len(bodies)
+    weight = lambda term: round(1000 * (np.log((1 + count) / (1.0 + sum(term in set(b) for _, b in bodies))) + 1))
+    vector = lambda ws: {t: ws.count(t) * weight(t) for t in set(ws)}
+    own, out = vector(words(block)), {}
+    for name, body in bodies:
+        other = vector(body)
+        dot = sum(v * other.get(t, 0) for t, v in own.items())
+        norm = np.sqrt(float(sum(v * v for v in own.values()))) * np.sqrt(float(sum(v * v for v in other.values())))
+        out[name] = max(out.get(name, 0.0), round(dot / norm, 6) if norm else 0.0)
+    return out
+
+
+def test_notices_below_cosine_one(spark):
+    every = licences.TEMPLATES + licences.STANDARD
+    draw, texts = random.Random(8), []
+    for name, body in every:
+        words = body.split()
+        for share in (0.1, 0.25):
+            texts.append(" ".join(w for w in words if draw.random() > share) + " and of this work too")
+    rows = spark.createDataFrame([(t, t) for t in dict.fromkeys(texts)], "notice string, body string")
+    found = {r.notice: (r.licence, r.score) for r in licences.match(rows).collect()}
+    below = best_of_all = 0  # a template counts only with enough of its own terms in the block
+    for t in dict.fromkeys(texts):
+        scores = plain_blocks_score(t, every)
+        best = max(scores.values())
+        if t in found:
+            licence, score = found[t]
+            assert score == pytest.approx(scores[licence], abs=2e-6) and score >= licences.LEAST
+            below += score < 1
+            best_of_all += score == pytest.approx(best, abs=2e-6)
+        else:
+            assert best < 0.95
+    assert below > 10 and best_of_all > 0.9 * len(found)
