@@ -69,12 +69,15 @@ class BestFit:
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, length: int = LENGTH,
-         most_open: int = OPEN) -> DataFrame:
-    """Pieces with their ids (little-endian unsigned 32-bit) and where each is packed."""
+         most_open: int = OPEN, most_pieces: int = 1_000_000) -> DataFrame:
+    """Pieces with their ids (little-endian unsigned 32-bit) and where each is packed.
+
+    A worker holds the ids of at most about ``most_pieces`` words; fewer cost time, not memory.
+    """
     data = file_bytes(vocabulary)
 
     def packed(batches):
-        encoder = wordbpe.encoder(data)
+        encoder = wordbpe.encoder(data, most_pieces)
         bins = BestFit(length, most_open)
         first = TaskContext.get().partitionId() << _SEQUENCES
         end = np.array([end_id], encoder.kind).tobytes()

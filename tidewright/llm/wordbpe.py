@@ -94,6 +94,6 @@ class WordEncoder:
         return out
 
 
-def encoder(vocabulary: bytes) -> WordEncoder:
-    """The worker's own encoder."""
-    return per_process(("words", hash(vocabulary)), lambda: WordEncoder(vocabulary))
+def encoder(vocabulary: bytes, most: int = 1_000_000) -> WordEncoder:
+    """The worker's own encoder, with the ids of at most about ``most`` pieces."""
+    return per_process(("words", hash(vocabulary), most), lambda: WordEncoder(vocabulary, most))
