@@ -15,6 +15,7 @@ from tidewright.llm.common import table
 from tidewright.session import written
 
 KEEP_FROM = 0.3  # least quality score
+MOST_PIECES = 150_000  # words whose ids a worker holds beside what the stages before left in its memory
 
 #: Scores, digests of exact sets and the tokenizer have no equal in SQL.
 ORACLE_SQL = None
@@ -49,7 +50,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 ids and the sequences they are packed into; an empty text is its end
     id alone, every row is packed."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), most_pieces=MOST_PIECES)
 
 
 STAGES = [("quality", keep_quality), ("exact_dedup", drop_copies),
