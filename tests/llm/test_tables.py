@@ -1,5 +1,6 @@
 """Dedup, near duplicates, quality, sharding, licences and the pipeline against plain versions."""
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -232,24 +233,51 @@ def test_shards(spark):
     assert sharding.shuffle(odd.none(spark), 7).count() == 0
 
 
-def test_matrix_has_exact_margins_and_the_right_spread():
-    parts = [10, 0, 33, 1, 6]
-    draws = []
-    for seed in range(400):
-        ends = np.array(sharding.matrix(parts, 3, seed))
-        counts = np.diff(np.concatenate([np.zeros((5, 1), int), ends], axis=1), axis=1)
-        assert counts.sum(axis=1).tolist() == parts
-        assert sorted(counts.sum(axis=0).tolist()) == [16, 17, 17] and (counts >= 0).all()
-        draws.append(counts[2, 0])
-    assert abs(np.mean(draws) - 11) < 0.5 and 1 < np.var(draws) < 4
-
-
-def test_large_hypergeometric_draws(monkeypatch):
-    draw = np.random.default_rng(1)
-    monkeypatch.setattr(sharding, "_NUMPY_MOST", 0)
-    found = [sharding.hypergeometric(draw, 300, 900, 80) for _ in range(4000)]
-    assert abs(np.mean(found) - 20) < 0.3 and abs(np.var(found) - 80 * .25 * .75 * 1120 / 1199) < 1.5
-    assert sharding.hypergeometric(draw, 5, 0, 3) == 3 and sharding.hypergeometric(draw, 0, 9, 4) == 0
+def test_matrix_has_exact_margins(spark):
+    parts = {3: 10, 4: 0, 5: 33, 9: 1, 10: 6, 11: 700, 12: 250}
+    frame = spark.createDataFrame(list(parts.items()), "p long, n long")
+    for seed, shards in ((1, 3), (2, 3), (3, 1), (4, 40)):
+        ends = {r.p: r.ends for r in sharding.matrix(frame, len(parts), shards, seed).collect()}
+        counts = np.array([np.diff([0, *ends[p]]) for p in parts])
+        assert counts.sum(axis=1).tolist() == list(parts.values()) and (counts >= 0).all()
+        sizes = counts.sum(axis=0)
+        assert len(sizes) == shards and sizes.max() - sizes.min() <= 1 and sizes.sum() == 1000
+    again = {r.p: r.ends for r in sharding.matrix(frame, len(parts), 40, 4).collect()}
+    assert again == ends
+
+
+def test_dealt_counts_are_spread_as_a_shuffles(spark):
+    rows = F.expr("array(named_struct('p', 1L, 'n', 10L), named_struct('p', 2L, 'n', 33L), "
+                  "named_struct('p', 3L, 'n', 7L))")
+    place = lambda p, s: sharding._uniform(F.col("id"), p, s)
+    found = spark.range(2000).select(sharding._dealt(
+        F.expr("array(16L, 17L, 17L)"), rows, place).alias("m")).collect()
+    draws = np.array([[part.counts for part in r.m] for r in found])
+    assert (draws.sum(axis=2) == [10, 33, 7]).all() and (draws.sum(axis=1) == [16, 17, 17]).all()
+    # A cell of a shuffle is hypergeometric: mean n m / N, variance n m (N - n) (N - m) / N^2 (N - 1).
+    for i, n in enumerate((10, 33, 7)):
+        for j, m in enumerate((16, 17, 17)):
+            spread = n * m * (50 - n) * (50 - m) / (50 * 50 * 49)
+            assert abs(draws[:, i, j].mean() - n * m / 50) < 4 * (spread / 2000) ** 0.5
+            assert abs(draws[:, i, j].var() / spread - 1) < 0.2
+
+
+def test_hypergeometric_draws_follow_the_exact_probabilities(spark):
+    cases = [(5, 0, 3), (0, 9, 4), (9, 4, 0), (6, 5, 4), (30, 70, 90), (300, 900, 80), (2, 5000, 4000)]
+    grid = 4000
+    at = ((F.col("id") + 0.5) / grid).alias("u")
+    for good, bad, taken in cases:
+        found = spark.range(grid).select(at).select(sharding.hypergeometric(
+            F.col("u"), F.lit(good), F.lit(bad), F.lit(taken)).alias("k")).groupBy("k").count().collect()
+        share = {r.k: r["count"] / grid for r in found}
+        exact = {k: math.comb(good, k) * math.comb(bad, taken - k) / math.comb(good + bad, taken)
+                 for k in range(max(0, taken - bad), min(good, taken) + 1)}
+        assert set(share) <= set(exact)
+        assert all(abs(share.get(k, 0) - p) <= 1.01 / grid for k, p in exact.items()), (good, bad, taken)
+    large = spark.range(60).select(sharding.hypergeometric(
+        (F.col("id") + 0.5) / 60, F.lit(10 ** 10), F.lit(3 * 10 ** 10), F.lit(10 ** 7)).alias("k"))
+    k = np.array([r.k for r in large.collect()])
+    assert abs(k.mean() - 2.5e6) < 100 and abs(k.std() / 1369 - 1) < 0.05
 
 
 # Licences
