@@ -107,7 +107,28 @@ def test_grammar_round_trip():
             for a, b in ((0, 1), (7, 400), (len(ids) // 2, len(ids)), (3, 3)):
                 assert (repair.decode(entry, a, b) == ids[a:b]).all()
     rules, lengths, left = repair.grammar(np.tile(np.arange(50, dtype=np.uint32), 100), 1000)
-    assert len(left) < 500 and len(rules) == len(lengths) and lengths.max() > 2
+    assert len(left) < 8 and len(rules) == len(lengths) and lengths.max() > 500
+
+
+def test_grammar_goes_on_while_a_pair_pays():
+    draw = np.random.default_rng(0)
+    copies = np.tile(draw.integers(0, 49_000, 3000), 60)
+    words = draw.choice(3000, 200_000, p=(w := 1 / np.arange(1, 3001)) / w.sum())
+    for ids, first in ((np.zeros(5000), 49_408), (copies, 49_408), (words, 49_408), (words, 65_530)):
+        ids = ids.astype(np.uint32)
+        rules, lengths, left = repair.grammar(ids, first)
+        counts, last = {}, {}
+        for i, pair in enumerate(zip(left.tolist(), left[1:].tolist())):
+            if last.get(pair) != i - 1 or pair[0] != pair[1]:  # pairs that overlap count once
+                counts[pair], last[pair] = counts.get(pair, 0) + 1, i
+        assert max(counts.values(), default=0) < repair.LEAST
+        assert (first + np.arange(len(rules))[:, None] > rules).all()  # rules of earlier symbols
+        entry = repair.pack(ids, first)
+        assert (repair.decode(entry) == ids).all()
+        assert (repair.decode(entry, 1234, 4321) == ids[1234:4321]).all()
+    assert len(repair.pack(copies.astype(np.uint32), 49_408)) < len(copies) * 2 / 15
+    rules, _, _ = repair.grammar(words.astype(np.uint32), 65_530)
+    assert len(rules) > 6  # symbols of 17 bits
 
 
 def test_token_files(spark, library, tmp_path):
