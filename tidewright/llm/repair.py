@@ -45,8 +45,8 @@ def _frequent(a: np.ndarray, b: np.ndarray, salt: int | None) -> tuple[np.ndarra
     """Which of the pairs are the most frequent ones, the rank of each, the pair of every rank, and
     which pairs can come ``LEAST`` times at all.
 
-    Counted by hash cell, of which one pair speaks, or exactly if ``salt`` is None. Pairs of an
-    eighth of the largest count or more are taken, the most frequent first.
+    Counted by hash cell, of which one pair speaks, or exactly if ``salt`` is None. Pairs of a
+    32nd of the largest count or more are taken, the most frequent first.
     """
     if salt is None:
         key = a.astype(np.uint64) << np.uint64(32) | b
@@ -54,10 +54,10 @@ def _frequent(a: np.ndarray, b: np.ndarray, salt: int | None) -> tuple[np.ndarra
     else:
         mix = a * np.uint32(0x9E3779B1 + 2 * salt & 0xFFFFFFFF)
         mix ^= b * np.uint32(0x85EBCA77) * np.uint32(0xC2B2AE3D)
-        bits = min(HASH_BITS, len(a).bit_length() + 3)
+        bits = min(HASH_BITS, len(a).bit_length())
         cell = mix >> np.uint32(32 - bits)
         count = np.bincount(cell, minlength=1 << bits)
-    many = np.flatnonzero(count >= max(LEAST, int(count.max(initial=0)) // 8))
+    many = np.flatnonzero(count >= max(LEAST, int(count.max(initial=0)) // 32))
     many = many[np.argsort(-count[many], kind="stable")]
     rank = np.full(len(count), len(many), np.int32)
     rank[many] = np.arange(len(many), dtype=np.int32)
