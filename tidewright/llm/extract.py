@@ -3,8 +3,10 @@
 A page is cut into the texts between block-level tags. A block is described by its own and its
 neighbours' word counts and link densities (share of words inside links) and by where it stands:
 under an element that says it is no content, under one that says it is, on a page that has such
-an element at all, as a heading or in a list, under a longer class or id with a word of the former
-kind. Headings are never set apart by class or id. Content by class or id alone counts if it has
+an element at all, under a longer class or id with a word of the former kind, in a
+bare container while the page's text stands in paragraphs; and by whether it holds a phrase that
+asks the reader to do something (``CALLS``) or states rights or terms (``RIGHTS``; an article may). Headings are never set apart by class or id. An element
+whose class as a whole is one of ``TALK_WORDS`` is set apart unless it starts with a heading. Content by class or id alone counts if it has
 ``LEAST_SHARE`` of the unlinked words that are not set apart. A decision tree decides; it is grown here from the
 small table ``LABELLED``. Blocks that the tree keeps are joined in page order.
 
@@ -51,7 +53,19 @@ ASIDE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
     "search toolbar".split())
 COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+TALK_WORDS = frozenset("discussion feedback responses thread threads".split())
+BARE = frozenset("div section center font span".split())
+CALLS = re.compile(
+    r"\b(?:subscribe|sign ?up|newsletter|log ?in|contact us|follow us|share (?:this|on|with)|tell a friend"
+    r"|buy (?:now|our|your)|shop now|order now|half price|free trial|advertisement|sponsored"
+    r"|we use cookies"
+    r"|read (?:more|next|also)|(?:next|previous|related|more) (?:story|stories|articles?|posts?|pages?)"
+    r"|you may also like|leave a (?:comment|reply)|print this|click here|back to top|skip to)\b", re.I)
+RIGHTS = re.compile(
+    r"\b(?:all rights reserved|cookie policy|privacy policy|terms of (?:use|service))\b", re.I)
+MOST_CALLING = 40  # words of a block that is searched for such a phrase
 LEAST_SHARE = 0.2
+MOST_BARE = 0.25  # share of a page's unlinked words in bare containers, up to which these stand out
 CONTENT_WORDS = frozenset("article content entry main post story".split())
 
 _TAG = re.compile(
@@ -78,12 +92,14 @@ class Block(NamedTuple):
     listed: bool
     weak: bool = False  # content by class or id alone
     hinted: bool = False  # in the content, under a longer class or id that holds a word of ASIDE_WORDS
+    bare: bool = False  # directly in an element of BARE
+    calls: int = 0  # short and with a phrase of RIGHTS (1) or CALLS (2)
 
 
-def _hints(attrs: str) -> tuple[set[str], set[str], bool, bool]:
-    """Words of class and id, roles, whether the element is hidden, and whether a class or id as a
-    whole, or a word of a class for comments, sets it apart."""
-    words, roles, hidden, surely = set(), set(), False, False
+def _hints(attrs: str) -> tuple[set[str], set[str], bool, bool, bool]:
+    """Words of class and id, roles, whether the element is hidden, whether a class or id as a
+    whole, or a word of a class for comments, sets it apart, and whether a class is one of talk."""
+    words, roles, hidden, surely, talk = set(), set(), False, False, False
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), next((v for v in values if v), "")
         if name in ("class", "id"):
@@ -92,13 +108,18 @@ def _hints(attrs: str) -> tuple[set[str], set[str], bool, bool]:
                 words |= found
                 surely |= bool(found) and found <= ASIDE_WORDS or name == "class" and bool(
                     found & COMMENT_WORDS)
+                talk |= name == "class" and bool(found) and found <= TALK_WORDS
         elif name == "role":
             roles.update(value.lower().split())
         elif name == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif name == "hidden" or value.lower() == "true":
             hidden = True
-    return words, roles, hidden, surely
+    return words, roles, hidden, surely, talk
+
+
+def _calls(text: str) -> int:
+    return 2 if CALLS.search(text) else 1 if RIGHTS.search(text) else 0
 
 
 def blocks(page: str) -> list[Block]:
@@ -107,7 +128,8 @@ def blocks(page: str) -> list[Block]:
     # name, aside, content, silent, listed, weak, hinted
     stack: list[tuple[str, bool, bool, bool, bool, bool, bool]] = []
     aside = content = silent = listed = weak = hinted = False
-    heading, links = "", 0
+    heading, links, holder = "", 0, ""
+    talks: list[tuple[int, int]] = []  # depth of an element of talk, blocks before it
     parts: list[tuple[str, bool]] = []
 
     def close() -> None:
@@ -116,10 +138,20 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(t for t, _ in parts).split())
         if text:
             linked = sum(len(t.split()) for t, in_link in parts if in_link)
-            out.append(Block(text, len(text.split()), linked, aside, content, bool(heading), listed,
-                             weak, hinted))
+            words = len(text.split())
+            out.append(Block(text, words, linked, aside, content, bool(heading), listed, weak, hinted,
+                             holder in BARE, _calls(text) if words <= MOST_CALLING else 0))
         parts.clear()
 
+    def leave(depth: int) -> tuple[str, bool, bool, bool, bool, bool, bool]:
+        """Ends the elements from this depth on; the element that is left on top."""
+        del stack[depth:]
+        while talks and talks[-1][0] >= depth:
+            start = talks.pop()[1]
+            if start < len(out) and not out[start].heading:
+                out[start:] = [b._replace(aside=True) for b in out[start:]]
+        return stack[-1] if stack else NOWHERE
+
     def add(raw: str) -> None:
         if raw and not silent:
             parts.append((html.unescape(raw) if "&" in raw else raw, links > 0))
@@ -144,9 +176,10 @@ def blocks(page: str) -> list[Block]:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
                     close()
-                    del stack[depth:]
-                    _, aside, content, silent, listed, weak, hinted = stack[-1] if stack else NOWHERE
+                    _, aside, content, silent, listed, weak, hinted = leave(depth)
                     break
+            if name not in INLINE:
+                holder = stack[-1][0] if stack else ""
             continue
         if name == "br":
             add(" ")
@@ -156,15 +189,15 @@ def blocks(page: str) -> list[Block]:
             links = 0
             heading = ""
             if stack and stack[-1][0] == "p" or stack and stack[-1][0] == "li" == name:
-                del stack[-1]
-                _, aside, content, silent, listed, weak, hinted = stack[-1] if stack else NOWHERE
+                _, aside, content, silent, listed, weak, hinted = leave(len(stack) - 1)
+            holder = name
         if name == "a":
             links += 1
         if name in VOID:
             continue
         attrs = tag["attrs"]
-        words, roles, hidden, surely = (
-            _hints(attrs) if attrs and not attrs.isspace() else (set(), set(), False, False))
+        words, roles, hidden, surely, talk = (
+            _hints(attrs) if attrs and not attrs.isspace() else (set(), set(), False, False, False))
         if tag["attrs"].endswith("/") and name in ("svg", "path"):
             continue
         if name in HEADINGS:
@@ -186,16 +219,19 @@ def blocks(page: str) -> list[Block]:
                 "p", "html", "body", "tr", "td", "th", "tbody", "thead", *HEADINGS):
             if (apart or partly or mute) and not (aside and silent):
                 close()  # an inline element set apart is a block of its own
+            if talk and name in BARE:
+                talks.append((len(stack), len(out)))
             stack.append((name, aside or apart, content or within or by_word, silent or mute,
                           listed or name in LISTS, not within and (weak or by_word), hinted or partly))
             _, aside, content, silent, listed, weak, hinted = stack[-1]
     add(page[at:])
     close()
+    leave(0)
     return out
 
 
 FEATURES = ("place", "words", "density", "words_before", "density_before", "words_after",
-            "density_after", "heading", "listed", "hinted")
+            "density_after", "hinted", "loose", "calls")
 # Places: under an element apart, outside the content element, on a page that has none, inside it.
 APART, OUTSIDE, ANYWHERE, INSIDE = range(4)
 
@@ -214,13 +250,21 @@ def describe(page: list[Block]) -> np.ndarray:
     place = [APART if b.aside else INSIDE if x else OUTSIDE if has_content else ANYWHERE
              for b, x in zip(page, inside)]
     return np.column_stack([place, words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:],
-                            density[2:], [b.heading for b in page], [b.listed for b in page],
-                            [b.hinted for b in page]])
+                            density[2:], [b.hinted for b in page],
+                            _loose(page), [b.calls for b in page]])
+
+
+def _loose(page: list[Block]) -> list[bool]:
+    """Blocks in bare containers of a page whose unlinked words mostly stand in other elements."""
+    free = [0 if b.aside else b.words - b.linked for b in page]
+    bare = sum(n for n, b in zip(free, page) if b.bare)
+    return [b.bare and not b.heading and bare <= MOST_BARE * sum(free) for b in page]
 
 
 #: Small labelled pages. A line is a page; a block is + (main text) or -, its words, of those in
 #: links, and letters for where it stands: a under an element apart, c under a content element,
-#: h heading, l list, p under a longer class or id with a word that sets apart. Neighbours follow from the order.
+#: h heading, l list, p under a longer class or id with a word that sets apart, d in a bare container,
+#: q with a phrase that asks for something, r with one that states rights. Neighbours follow from the order.
 LABELLED = """
 -1/1al -1/1al -2/2al -14/0a +9/0ch +34/0c +120/0c +3/0c +1/0c +52/2c -9/0a
 -1/1al -1/1al -3/0a +1/0ch +1/0c +1/0c -4/0a
@@ -280,6 +324,46 @@ LABELLED = """
 +4/0ch +10/0c +1/0c +2/1cl +2/0cl -3/0a
 -1/1al +12/0ch +3/1c +40/0c +4/2cl +6/3cl -2/0
 +8/0ch +51/2c -2/2clp -9/9clp -11/10clp
+-1/1 -2/2 +1/0h +40/0 +9/5 +50/0 +5/0 -6/0q -7/0q
+-2/2l -3/3l +3/0h +35/1 +11/6 +28/0 +4/0 -8/0q -3/3
++2/0h +60/0 +14/8 +33/2 +7/0 -2/2 -1/1
+-1/1 +3/0h +24/0 +44/0 +6/0 -9/0q
+-4/4 -3/3 +1/0h +70/3 +8/5 +90/1 +25/0 +3/0 -10/1q -6/6 -5/5
++2/0h +30/0 +2/0h +45/0 +6/0
+-2/2 -1/1 +1/0h +27/0 +2/0h +38/2 +1/0h +64/0 +8/0 -4/4l -5/5l
+-3/3 -1/0 -2/2 +4/0h +55/0 -8/8 +47/1 +7/4 +39/0 -12/0q -2/0 -3/3
+-5/0d -3/3d +2/0h +80/0 +6/0 -4/4d -7/0dq -5/5d
+-2/0h -5/5l -6/6l -4/4l +1/0h +31/0 +12/7 +42/0 +2/0 -2/0h -6/6l -5/5l
++52/0q +31/0 -11/0q -4/0q
++48/1 +36/0q +3/0
++6/0ch +60/0c -8/0cdq +44/0c -3/3cdq -7/0cq +5/0c
++40/0c -3/3cd +35/0c -9/9cd +12/0c
++6/0cd +80/0c +11/0cd +60/0c +3/0cd
++60/2cq +50/0c -7/0cdq +24/0cq +31/0cq
++5/0ch +33/0c -6/0cq -4/4cq +48/0c -5/5cd -12/0cdq
++9/0cd +45/0c -7/6cd +70/0c +28/0c +34/9c -2/2cdq -9/2cq
+-2/2 +3/0h +50/0 +41/0 +5/0 -6/0q -2/2
++1/0h +28/0 +36/0 +6/0 -7/7 -5/5
+-1/1 +2/0h +49/0 +31/0 +4/0 -3/0h -6/6l -4/4l
++2/0h +45/0 +3/0 -2/0h -5/5l -7/7l -3/3l
++3/0h +62/1 +7/0 -4/0h -8/8 -6/6 -3/0h -9/9
++1/0h +44/0 +10/5 +40/0 +12/7 +61/0 +14/8 +29/0
++2/0h +58/0 +9/5 +36/0 -6/6 +40/0 -9/9 +52/0 +6/0
++39/0 +8/4 +57/0 +1/0 +66/0 +2/0 +90/0 +5/3 +48/0
++5/0ch +9/9c +70/0c +5/5cl +90/0c +12/12c +64/0c +3/3c +120/1c +6/4c +58/0c
++2/2c +61/0c +4/3cl +75/0c +20/20c +140/0c +1/1c +66/0c
+-3/3 -2/0 -4/4 -1/0 +1/0h +26/0 +30/0 -1/1 -2/0 -3/3
++5/0ch +40/0c +3/0cr +62/0c +8/0cr
+-2/2 +9/0ch +3/0cr +16/0c +3/0cr +30/0c
+-2/2 +2/0h +50/0 +44/0 -4/0r
+-1/1 +1/0h +33/0 +65/0 +6/0 -9/0r -2/2
++70/0 -3/0r -8/0r
+-2/2 +4/0ch +28/0c +6/0cr +90/0c +12/0cr +55/0c +4/0cr
++7/0ch +60/0c +10/0cr +14/0cr +70/0c +5/0cr -6/0
++64/0c +3/0cr +8/0cr +35/0c +2/0cr +120/0c +17/0cr
++26/0 +58/0 -3/0r -2/2 -1/1
+-2/2 +66/0 +39/0 -12/0r -3/0r -5/0r
+-4/0 -2/2 -3/0 -5/5 -2/0h -6/6 -3/0h +3/0h +85/0 +4/0 +33/0 -5/0h -8/8l -9/9l
 """
 
 
@@ -291,7 +375,7 @@ def labelled() -> tuple[np.ndarray, np.ndarray]:
         for block in line.split():
             words, linked, where = re.fullmatch(r"[+-](\d+)/(\d+)(\w*)", block).groups()
             page.append(Block("", int(words), int(linked), *(c in where for c in "achl"),
-                              hinted="p" in where))
+                              hinted="p" in where, bare="d" in where, calls=2 if "q" in where else int("r" in where)))
             labels.append(block[0] == "+")
         if page:
             rows.append(describe(page))
@@ -317,7 +401,7 @@ class Tree(NamedTuple):
             node[inner] = np.where(low, self.below[here], self.above[here])
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, deepest: int = 8, least: int = 2) -> Tree:
+def grow(rows: np.ndarray, labels: np.ndarray, deepest: int = 12, least: int = 2) -> Tree:
     """A tree by least Gini impurity; the first feature and lowest threshold win ties."""
     nodes: list[list[float]] = []
 
