@@ -258,12 +258,12 @@ def scan(files: DataFrame, templates=TEMPLATES + STANDARD, least: float = LEAST)
     best = parts.select("key", "notice").join(matched, "notice").groupBy("key").agg(
         F.max(F.struct(F.col("licence") != RESERVED, "score", "licence")).alias("best"),
         F.array_sort(F.collect_set("licence")).alias("licences"))  # one entry per licence at most
-    best = best.select(F.col("key").alias("m_key"), F.lit(0).alias("m_spread"), "best.licence",
-                       "best.score", "licences")
-    # Most files state nothing and have no key; they are dealt evenly instead of all to one task.
-    spread = F.when(F.col("key").isNull(), F.pmod(F.hash("path"), F.lit(1024))).otherwise(0)
+    best = best.select("key", "best.licence", "best.score", "licences")
+    # Most files state nothing and have no key; numbers, which equal no key, deal them evenly. The join
+    # has one column: a second one that is constant on the other side would leave the exchange.
+    spread = F.coalesce("key", F.pmod(F.hash("doc_id", "path"), F.lit(1 << 20)).cast("string"))
     own = read.drop("blocks").withColumn("spread", spread).join(
-        best, (F.col("key") == F.col("m_key")) & (F.col("spread") == F.col("m_spread")), "left")
+        best.withColumnRenamed("key", "spread"), "spread", "left")
     name = F.element_at(F.split("path", "/"), -1)
     own = own.select(
         "doc_id", "path", "licence", "score", "licences", name.rlike(FILE_NAME).alias("is_file"),
