@@ -220,3 +220,22 @@ def test_several_texts_in_normal_form(spark):
     found = text.with_nfkc(frame, {c: F.col(c) for c in "abc"}).collect()
     normal = lambda t: None if t is None else unicodedata.normalize("NFKC", t)
     assert [tuple(r) for r in found] == [tuple(map(normal, r)) for r in rows]
+
+
+def test_stable_texts_and_seeds_are_worked_out_once(spark):
+    texts = ["漢字" * 200_000, "é\n", "あ\n漢a", "", "ｶ", "漢ｱ", "が", "é"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    stable = [r[0] for r in frame.select(text._stable(F.col("t"))).collect()]
+    assert stable == [True] * 4 + [False] * 4
+    out = text.with_record_id(frame, "id", F.lit("b"), [F.col("t")])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws(|, b") == 1
+
+
+def test_normal_form_goes_by_parts_of_long_texts():
+    import pyarrow as pa
+
+    normal = text._normal_form_function().func
+    texts = [None, "ｶ" * 2_000_000, "a", "", "Ａ" * 900_000, "ｱ", None, "が" * 500_000]
+    out = normal(pa.array(texts))
+    assert out.to_pylist() == [None if t is None else unicodedata.normalize("NFKC", t) for t in texts]

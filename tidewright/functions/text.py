@@ -5,7 +5,9 @@ import unicodedata
 import uuid
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import fixed
@@ -26,11 +28,22 @@ def _normal_form_function():
     Defined inside a function, it travels to the workers by value, so the
     package need not be installed there.
     """
-    def normal(texts: pa.Array) -> pa.Array:
+    def part(texts: pa.Array) -> pa.Array:
         coded = texts.dictionary_encode()  # each distinct text once
         words = [unicodedata.normalize("NFKC", word) for word in coded.dictionary.to_pylist()]
         return pa.array(words, pa.string()).take(coded.indices)
 
+    most = 1 << 22
+
+    def normal(texts: pa.Array) -> pa.Array:
+        size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(size, dtype=np.int64)
+        if not len(ends) or ends[-1] <= most:
+            return part(texts)
+        # Long texts go by parts of about ``most`` bytes, so that few of them are Python's at a time.
+        cuts = np.flatnonzero(np.diff(ends // most)) + 1
+        return pa.concat_arrays([part(texts[a:b]) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)])])
+
     return F.arrow_udf(normal, T.StringType())
 
 
@@ -38,12 +51,26 @@ _nfkc = _normal_form_function()
 
 
 # Characters that are their own compatibility form whatever stands beside them:
-# ASCII, most Latin letters with marks, kana, unified ideographs and their punctuation.
-STABLE = ("\x00-\x7fÀ-ÖØ-öø-ıĴ-ľŁ-ňŊ-ž\u3001-\u3003\u3005-\u3011ぁ-ゖァ-ヺ・ー一-\u9fff")
+# ASCII, unified ideographs, kana, and most Latin letters with marks and punctuation of kana. One class of all
+# tries range after range for every character; runs of one class at a time take a fraction of that.
+_RUNS = ("\x00-\x7f", "一-\u9fff", "ぁ-ゖァ-ヺ・ー", "\u3001-\u3003\u3005-\u3011À-ÖØ-öø-ıĴ-ľŁ-ňŊ-ž")
+_STABLE_RUNS = r"\A(?:" + "|".join(f"[{part}]+" for part in _RUNS) + r")*+\z"
+STABLE = "".join(_RUNS)
 
 
 def _stable(text: Column) -> Column:
-    return ~text.rlike(f"[^{STABLE}]")
+    """The pattern only sees texts that are not ASCII, which the two lengths tell."""
+    return (F.octet_length(text) == F.char_length(text)) | text.rlike(_STABLE_RUNS)
+
+
+def once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Adds columns that are worked out once for each row, however often they are used above.
+
+    The optimizer puts what a column is made of in the place of each of its uses where one goes to
+    Python; it does not do so through a generator.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias(*columns))
 
 
 def nfkc(text: Column) -> Column:
@@ -72,13 +99,12 @@ def with_nfkc(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
         return F.replace(F.replace(text, F.lit(_ESCAPE + "1"), F.lit(_END)), F.lit(_ESCAPE + "0"), F.lit(_ESCAPE))
 
     raw = {f"_raw{i}": text for i, text in enumerate(texts.values())}
-    rows = df.withColumns(raw)
-    odd = ~_stable(F.concat_ws("", *raw))
-    rows = rows.withColumn("_normal", _nfkc(F.when(
-        odd, F.concat_ws(_END, *[closed(F.col(c)) for c in raw]))))
+    rows = once(once(df, raw), {"_all": F.concat_ws("", *raw)})
+    rows = once(rows, {"_odd": F.when(~_stable(F.col("_all")), F.concat_ws(_END, *[closed(F.col(c)) for c in raw]))})
+    rows = rows.withColumn("_normal", _nfkc(F.col("_odd")))
     parts = F.split("_normal", _END, -1)
     return rows.withColumns({name: F.when(F.col("_normal").isNull() | F.col(c).isNull(), F.col(c)).otherwise(
-        opened(F.get(parts, i))) for i, (name, c) in enumerate(zip(texts, raw))}).drop("_normal", *raw)
+        opened(F.get(parts, i))) for i, (name, c) in enumerate(zip(texts, raw))}).drop("_normal", "_odd", "_all", *raw)
 
 
 def clean(text: Column) -> Column:
@@ -172,7 +198,7 @@ def with_uuid5(df: DataFrame, name: str, seed: Column, namespace: str) -> DataFr
 def with_record_id(df: DataFrame, name: str, boat: Column, fields: Sequence[Column],
                    namespace: str = fixed.RECORD_ID_NAMESPACE) -> DataFrame:
     """Adds an id made from what a record says, so order and replays do not change it."""
-    rows = df.withColumn("_seed", F.concat_ws("|", boat, *[strip(field) for field in fields]))
+    rows = once(df, {"_seed": F.concat_ws("|", boat, *[strip(field) for field in fields])})
     return with_uuid5(rows, name, nfkc(F.col("_seed")), namespace).drop("_seed")
 
 

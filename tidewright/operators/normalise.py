@@ -103,7 +103,8 @@ def to_master(drops: DataFrame, boat: Column, area: Column, normalise_dates: boo
                         boat.alias("boat_id"), area.alias("area_id"), *passed)
     rows = rows.withColumn("source", text.internal_source(F.col("source")))
     if normalise_dates:
-        rows = rows.withColumn("date", text.iso_date(text.clean(F.col("date"))))
+        rows = text.once(rows, {"date": text.strip(F.col("date"))})
+        rows = text.once(text.with_nfkc(rows, {"date": F.col("date")}), {"date": text.iso_date(F.col("date"))})
     rows = rows.withColumn("entered_at", entered_at(F.col("date")))
     rows = text.with_record_id(rows, "record_id", F.col("boat_id"),
                                [F.col(c) for c in fixed.RECORD_ID_COLUMNS], namespace)
