@@ -368,3 +368,27 @@ def test_lists_stay_bounded(spark):
     rows = spark.range(250).select(F.lit("k").alias("area"), "id")
     found = sinks.listed(rows, ["area"], "id", F.struct("id"), "boats", 100).orderBy("part").collect()
     assert [len(r.boats) for r in found] == [100, 100, 50] and [x.id for x in found[1].boats] == list(range(100, 200))
+
+
+def test_rejected_files_are_not_exchanged_by_file(spark, boats, tmp_path):
+    drop(tmp_path, "fishing_data_b1.csv", catch_line(), catch_line(size="41"))
+    drop(tmp_path, "fishing_data_b2.csv", catch_line() + ",extra")
+    drop(tmp_path, "fishing_data_b9.csv")
+    rows, rejected = ingest.read_drops(spark, f"{tmp_path}/*.csv", boats, "here")
+    assert {(r._file, r.reason) for r in rejected.collect()} == {("fishing_data_b2.csv", "width")}
+    assert rows.count() == 2
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning(_file" not in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_ingest_works_ids_out_once(spark, boats, tmp_path):
+    drop(tmp_path, "fishing_data_b1.csv", catch_line(), catch_line(size="41"), catch_line())
+    rows, rejected = ingest.read_drops(spark, f"{tmp_path}/*.csv", boats, "here")
+    found = ingest.ingest(no_master(spark), rows, rejected, "here")
+    for frame in (found.rows, found.report, found.changes):
+        assert "sha1" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert found.rows.count() == 2

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import round_columns
+from ..session import written
 from .latest import keep_first
 
 
@@ -20,6 +21,18 @@ def not_stored(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return rows.join(known, key, "left_anti").select(*rows.columns)
 
 
+def written_not_stored(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """``not_stored`` for a batch of any size.
+
+    The keys are written as tables of their own, so that the planner judges a broadcast by their size:
+    of a wide table with many empty columns it takes a key for a small share and would send
+    millions of keys to every executor.
+    """
+    keys = written(rows.select(key).distinct(), "keys")
+    known = written(stored.select(key).join(keys, key, "left_semi"), "keys")
+    return rows.join(known, key, "left_anti").select(*rows.columns)
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame, key: str, order: Sequence[str]
              ) -> DataFrame:
     """Incoming rows not stored yet, the first of each key; replays give nothing."""
@@ -37,9 +50,13 @@ def add_rows(incoming: DataFrame, existing: DataFrame, key: str, order: Sequence
 def add_report(incoming: DataFrame, existing: DataFrame, key: str, group: str,
                order: Sequence[str]) -> DataFrame:
     """Rows scanned, added and skipped by group, without writing anything."""
+    return change_report(incoming, new_rows(incoming, existing, key, order), group)
+
+
+def change_report(incoming: DataFrame, changes: DataFrame, group: str) -> DataFrame:
+    """Rows scanned, added and skipped by group, where the rows that come in are known."""
     scanned = incoming.groupBy(group).agg(F.count(F.lit(1)).alias("scanned"))
-    added = new_rows(incoming, existing, key, order).groupBy(group).agg(
-        F.count(F.lit(1)).alias("added"))
+    added = changes.groupBy(group).agg(F.count(F.lit(1)).alias("added"))
     return (scanned.join(added, group, "left")
             .withColumn("added", F.coalesce("added", F.lit(0)))
             .withColumn("skipped", F.col("scanned") - F.col("added")))
