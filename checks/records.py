@@ -550,8 +550,8 @@ def stream_distinct(spark, sf):
     """Rows whose key did not come before; every key stays within the watermark here."""
     path = fresh_path(spark, "distinct")
     stream = _event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    first = jobs.first_per_key(stream, "ts", ["user_id", "event_type", "value"], "60 days")
-    jobs.to_table(first, path, fresh_path(spark, "checkpoint")).awaitTermination()
+    jobs.first_rows(stream, path, fresh_path(spark, "checkpoint"), "ts", ["user_id", "event_type", "value"],
+                    ["event_id"], "60 days").awaitTermination()
     return spark.read.parquet(path).select("event_id", "user_id", "event_type")
 
 

@@ -392,3 +392,20 @@ def test_ingest_works_ids_out_once(spark, boats, tmp_path):
     for frame in (found.rows, found.report, found.changes):
         assert "sha1" not in frame._jdf.queryExecution().optimizedPlan().toString()
     assert found.rows.count() == 2
+
+
+def test_first_rows_are_the_earliest_of_each_key(spark, tmp_path):
+    schema = "id long, key string, ts timestamp"
+    inbox = str(tmp_path / "in")
+    rows = spark.range(4000).selectExpr("id", "cast(id % 50 as string) AS key",
+                                        "timestamp_seconds(1700000000 + 4000 - id) AS ts")
+    rows.repartition(9).write.parquet(inbox)
+    later = spark.createDataFrame([(9000, "1"), (9001, "new")], "id long, key string").selectExpr(
+        "*", "timestamp_seconds(1700000000 + 5000) AS ts")
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "check")
+    for _ in range(2):
+        stream = spark.readStream.schema(schema).parquet(inbox)
+        jobs.first_rows(stream, path, checkpoint, "ts", ["key"], ["id"], "2 hours").awaitTermination()
+        later.write.mode("append").parquet(inbox)
+    got = {(r.key, r.id) for r in spark.read.parquet(path).collect()}
+    assert got == {(str(i % 50), i) for i in range(3950, 4000)} | {("new", 9001)}

@@ -104,10 +104,41 @@ def daily(stream: DataFrame, time: str, station: str, values: Sequence[Column],
 
 def first_per_key(stream: DataFrame, time: str, keys: Sequence[str], late: str = "1 hour"
                   ) -> DataFrame:
-    """Rows whose key did not come before within the watermark; keeps the first."""
+    """Rows whose key did not come before within the watermark; of one batch any of them may stay.
+
+    ``first_rows`` keeps the earliest.
+    """
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([*keys])
 
 
+def first_rows(stream: DataFrame, path: str, checkpoint: str, time: str, keys: Sequence[str],
+               order: Sequence[str], late: str = "1 hour") -> StreamingQuery:
+    """Append the first row of every key, by ``time`` and then ``order``, to a Parquet table.
+
+    ``first_per_key`` keeps whichever row of a batch reaches its task first, which is not the earliest
+    where a batch is read in several tasks. Here a batch is reduced to the first row of each key
+    and compared with the rows of all other batches: one whose key has a stored row less than ``late`` before
+    it, or any after it, is left out. A batch overwrites its own folder only, so one that runs again gives
+    the same table.
+    """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = keep_first(batch, keys, [time, *order])
+        stored = _stored(spark, path, rows.schema, run, number)
+        if stored is not None:
+            known = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(time).alias("_k_time"))
+            on = F.col("_k_time") + F.expr(f"interval {late}") > F.col(time)
+            for key in keys:
+                on = on & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+            rows = rows.join(known, on, "left_anti")
+        rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def last_per_key(stream: DataFrame, time: str, keys: Sequence[str], order: Sequence[str],
                  closes: str = "1 day", late: str = "1 hour") -> DataFrame:
     """The last row of every key, once the key is closed.
