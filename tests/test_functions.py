@@ -155,6 +155,33 @@ def test_nearest_of_many_places_everywhere(spark):
         assert (row.n.name if row.n else None) == (min(near)[1] if near else None)
 
 
+def test_few_places_are_met_however_dense(spark, monkeypatch):
+    """Places of a small area, some at one position, for near and far positions in two areas."""
+    draw = random.Random(9)
+    places = [(f"p{i}", 33 + draw.randrange(60) / 100, 134 + draw.randrange(60) / 100, "xy"[i % 2])
+              for i in range(4000)] + [("nan", float("nan"), 134.0, "x"), ("none", None, 134.0, "y")]
+    spots = [(i, draw.choice([33.3, 33.05, -33.3, 89.0, 60.0]), draw.choice([134.2, 134.5, -46.0, 10.0]),
+              draw.choice(["", "x", "z"])) for i in range(60)]
+    met = []
+    pairs = geo.near_pairs
+    monkeypatch.setattr(geo, "near_pairs", lambda *a: met.append(pairs(*a)) or met[0])
+    df = spark.createDataFrame(spots, "i long, lat double, lng double, a string")
+    table = spark.createDataFrame(places, "name string, lat double, lng double, area string")
+    found = geo.with_nearest(df, "lat", "lng", table, "a", "n").select(
+        "lat", "lng", "a", "n.name", "n.rounded").collect()
+    at = spark.createDataFrame([(*row[:3], *place) for row in set(found) for place in places[:4000]
+                                if row.a in ("", place[3])],
+                               "y double, x double, a string, name string, lat double, lng double, area string")
+    at = at.select("y", "x", "a", "name", F.round(geo.haversine_km("y", "x", "lat", "lng"), 6).alias("km"))
+    best = {tuple(r[:3]): r.best for r in at.groupBy("y", "x", "a").agg(
+        F.min(F.struct("km", "name")).alias("best")).collect()}
+    assert len(found) == 60
+    for row in found:
+        nearest = best.get((row.lat, row.lng, row.a))
+        assert (row.rounded, row.name) == (tuple(nearest) if nearest else (None, None))
+    assert 0 < met[0].count() < 20 * len(best)
+
+
 def test_moon_age_by_julian_days(spark):
     def age(day):
         y, m = (day.year - 1, day.month + 12) if day.month <= 2 else (day.year, day.month)
