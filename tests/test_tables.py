@@ -1,5 +1,6 @@
 """Names as tables, curvilinear grids and findings by line against plain Python."""
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +42,25 @@ def test_no_names_and_no_nested_loop(spark):
     assert found.collect()[0].hit == "bc"
 
 
+@pytest.mark.parametrize("most", [names.MOST_SHORT, 0])
+def test_what_passes_meets_the_names_without_an_exchange_of_its_own(spark, monkeypatch, most):
+    """Whether short names are known to the tasks or only pass the filter; names that are bad as well."""
+    monkeypatch.setattr(names, "MOST_SHORT", most)
+    texts = ["ab é漢", "abab", "x", "é漢漢", "abcdefghij ab", "", None, "漢b", "abcdefghi", "a\0b", "ab é漢"]
+    known = [("ab", 2), ("b", 1), ("é漢", 3), ("é", 0), ("漢", 5), ("abcdefghij", 4), ("a\0", 6), ("abc", 7)]
+    bad = ["漢b", "b", "abcdefghij"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    table = spark.createDataFrame(known, "name string, rank int")
+    for words in (bad, bad[:1], []):
+        got = names.longest_name_in(rows, "t", table, "name", "rank", "hit",
+                                    spark.createDataFrame([(w,) for w in words], "name string"))
+        assert "around" not in "".join(re.findall(r"(?:Aggregate\(keys=|Exchange hashpart)[^\n]*",
+                                                  got._jdf.queryExecution().executedPlan().toString()))
+        for i, t, hit in got.collect():
+            found = sorted((-len(n), r, n) for n, r in known if t and n in t)
+            assert hit == (found[0][2] if found and not any(w in t for w in words) else None)
+
+
 def test_tables_give_the_fixed_names(spark):
     spots = ["高知県室戸沖", "高知 室戸沖(磯)", "高知県", "高知", "", None, "ｱｲｳ", *fixed.SPOT_ALIASES, "室戸沖"]
     spots += [p + s for p in fixed.SPOT_PREFIXES for s in ("", "港", "（高知）")]

@@ -12,6 +12,7 @@ from ..session import written
 
 SEED = 8  # bytes of a name that texts are searched for; shorter names are searched for whole
 FILTER_BITS = 1 << 23  # 1 MB; seeds that fill it pass whole
+MOST_SHORT = 1 << 20  # shorter names that go to the texts themselves, 8 MB; of more only the filter does
 
 
 def _search_functions():
@@ -97,7 +98,8 @@ def longest_name_in(df: DataFrame, text: str, names: DataFrame, name: str, order
     of any number: each is searched for by its rarest window of ``SEED`` bytes. A filter of
     ``FILTER_BITS`` bits over all seeds goes to the texts, whose windows that pass it meet the names by
     equality and are compared in full. Texts stay where they are; what passes goes on with the bytes
-    around it, once for equal texts.
+    around it. Names shorter than ``SEED`` bytes, up to ``MOST_SHORT``, are known to the tasks, and only a
+    text's longest go on. Matches are reduced to one a text where they are found, before an exchange.
     """
     table = names.select(F.col(name).cast("string").alias("name"), F.col(order).alias("rank")).where(
         F.col("name") != "").groupBy("name").agg(F.min("rank").alias("rank"))
@@ -114,27 +116,68 @@ def longest_name_in(df: DataFrame, text: str, names: DataFrame, name: str, order
     held[word.column("word").to_numpy()] = word.column("bits").to_numpy()
     sizes = [r[0] for r in seeds.select("size").distinct().collect()]  # SEED at most
     reach = seeds.agg(F.max(F.octet_length("name"))).first()[0] or 0
-    windows, slot, flat, slices, bits = _windows, _slot, _flat, _slices, FILTER_BITS
+    short = seeds.where(F.col("size") < SEED).groupBy("size", "seed").agg(
+        F.min(F.char_length("name")).alias("chars"), F.max("rank.bad").alias("bad"),
+        F.min("rank.bad").alias("only_bad")).limit(MOST_SHORT + 1).toArrow()
+    exact = short.num_rows <= MOST_SHORT
+    known = {}
+    for size in (n for n in sizes if exact and n < SEED):
+        here = short.filter(pc.equal(short.column("size"), size))
+        value = here.column("seed").to_numpy().view(np.uint64)
+        order = np.argsort(value)
+        known[size] = (value[order], here.column("chars").to_numpy()[order], *(
+            here.column(c).to_numpy(zero_copy_only=False).astype(bool)[order] for c in ("bad", "only_bad")))
+    slot, flat, slices, bits, whole = _slot, _flat, _slices, FILTER_BITS, SEED
+
+    def hits(eight, left, size):
+        """Places whose window of ``size`` bytes passes the filter, by parts that fit the cache."""
+        for low in range(0, len(eight), 1 << 16):
+            value = eight[low:low + (1 << 16)] >> np.uint64(8 * (whole - size))
+            place = slot(value, size, bits)
+            hit = np.flatnonzero((held[place >> 6] >> (place & 63) & 1).astype(bool)
+                                 & (left[low:low + (1 << 16)] >= size))
+            yield low + hit, value[hit]
 
     def search(batches):
         for batch in (part for whole in batches for part in slices(whole, "_text")):
             data, starts = flat(batch.column("_text"))
-            raw = data.tobytes()
+            raw, n = data.tobytes(), len(data)
+            padded = np.concatenate([data, np.zeros(whole, np.uint8)])
+            eight = np.zeros(n, np.uint64)  # the bytes from each place on, as a number
+            for i in range(whole):
+                eight = eight << np.uint64(8) | padded[i:i + n]
+            owners = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            left = starts[owners + 1] - np.arange(n)
+            longest, short = np.zeros(batch.num_rows, np.int64), []
             for size in sizes:
-                at, value = windows(data, starts[1:], size)
-                place = slot(value, size, bits)
-                hit = np.flatnonzero(held[place >> 6] >> (place & 63) & 1)
-                at, value = at[hit], value[hit]
-                owner = np.searchsorted(starts[1:], at, "right")
-                if size < SEED:  # the window is the name: once for each text
-                    _, first = np.unique(np.stack([owner.astype(np.uint64), value]), axis=1, return_index=True)
-                    at, value, owner = at[first], value[first], owner[first]
-                    yield found_in(batch, owner, size, value, np.zeros(len(at), np.int64), [b""] * len(at))
-                    continue
-                low = np.maximum(at - reach, starts[owner])
-                high = np.minimum(at + reach, starts[owner + 1])
-                around = [raw[x:y] for x, y in zip(low.tolist(), high.tolist())]
-                yield found_in(batch, owner, size, value, at - low, around)
+                at, value = (np.concatenate(x) for x in zip(
+                    (np.empty(0, np.int64), np.empty(0, np.uint64)), *hits(eight, left, size)))
+                owner = owners[at]
+                if size == whole:
+                    low = np.maximum(at - reach, starts[owner])
+                    high = np.minimum(at + reach, starts[owner + 1])
+                    around = [raw[x:y] for x, y in zip(low.tolist(), high.tolist())]
+                    yield found_in(batch, owner, size, value, at - low, around)
+                elif exact:  # the window is the name: of each text the longest, and those that are bad
+                    values, chars, bad, only_bad = known[size]
+                    which = np.minimum(np.searchsorted(values, value), len(values) - 1)
+                    same = values[which] == value
+                    pair = np.unique(owner[same] * len(values) + which[same])
+                    owner, which = np.divmod(pair, len(values))
+                    good = ~only_bad[which]
+                    np.maximum.at(longest, owner[good], chars[which[good]])
+                    short.append((size, owner, values[which], chars[which], good, bad[which]))
+                else:  # once for each text
+                    order = np.lexsort((value, owner))
+                    value, owner = value[order], owner[order]
+                    new = np.ones(len(value), bool)
+                    new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+                    value, owner = value[new], owner[new]
+                    yield found_in(batch, owner, size, value, np.zeros(len(value), np.int64), [b""] * len(value))
+            for size, owner, value, chars, good, bad in short:
+                kept = good & (chars == longest[owner]) | bad
+                owner, value = owner[kept], value[kept]
+                yield found_in(batch, owner, size, value, np.zeros(len(value), np.int64), [b""] * len(value))
 
     def found_in(batch, owner, size, value, at, around):
         return pa.RecordBatch.from_arrays(
@@ -146,14 +189,15 @@ def longest_name_in(df: DataFrame, text: str, names: DataFrame, name: str, order
     rows = df.where(F.col(text).isNotNull()).select(
         own.alias("_text_id"), F.col(text).cast("string").alias("_text"))
     found = rows.mapInArrow(search, "_text_id string, size int, seed long, at long, around binary")
-    met = found.distinct().join(seeds, ["size", "seed"])
+    met = found.join(seeds, ["size", "seed"])
     raw = F.col("name").cast("binary")
     begin = F.col("at") - F.col("offset")
     met = met.where((F.col("size") < SEED) | (begin >= 0) & (F.substr("around", (begin + 1).cast("int"), F.octet_length(raw)) == raw))
     longest = F.min(F.struct(-F.char_length("name"), F.col("rank.rank"), F.col("name")))
     best = met.groupBy("_text_id").agg(F.max("rank.bad").alias("bad"), longest.alias("best"))
     best = best.where(~F.col("bad")).select(F.col("_text_id").alias("_found_id"), F.col("best.name").alias(out))
-    return df.join(best, own == F.col("_found_id"), "left").select(*df.columns, out)
+    keyed = df.withColumn("_own_id", own)  # a column, so that texts nobody wants stay out of the exchange
+    return keyed.join(best, F.col("_own_id") == F.col("_found_id"), "left").select(*df.columns, out)
 
 
 def canonical_by_table(df: DataFrame, spot: str, aliases: DataFrame, prefixes: DataFrame, out: str,
