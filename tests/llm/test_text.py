@@ -2,6 +2,7 @@
 import base64
 import hashlib
 import html
+import json
 import random
 import re
 import zlib
@@ -61,6 +62,38 @@ def test_added_tokens_are_found_as_by_the_untouched_library():
     assert found[0] == [3306, 49407, 343]
 
 
+def test_new_words_cost_what_known_words_cost():
+    """Plain texts leave nothing in the encoder, so no piece depends on what a worker met before."""
+    encoder, whole = wordbpe.WordEncoder(open(WORDS, "rb").read()), Tokenizer.from_file(WORDS)
+    texts = [" ".join(noise("estmdrvl''AÉß,!07 \n", 60, 12, seed)) for seed in range(60)]
+    texts += ["", "'", "x'S're''ve 5'm,'ll", "a" * 30_000]
+    found = encoder.encode(texts)
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in found] == [
+        e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert len(encoder.known) == 0
+    mixed = ["漢 it's\x01 plain", "plain", "\x01 \x00 a\tb ́ Ĳ", "漢 漢 x"]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(mixed)] == [
+        e.ids for e in whole.encode_batch(mixed, add_special_tokens=False)]
+    assert set(encoder.known) == {"漢", "it's\x01", "\x01", "\x00", "a\tb", "́", "Ĳ"}
+
+
+def test_every_token_is_what_its_merges_give():
+    """Then the order of ids says how any word merges: the quicker library knows tokens, not pairs."""
+    model = json.loads(open(WORDS, "rb").read())["model"]
+    rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+    for left, right in rank:
+        token = left + right
+        ends = token.endswith("</w>")
+        parts = list(token.removesuffix("</w>"))
+        parts[-1] += "</w>" * ends
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1),
+                       key=lambda i: rank.get((parts[i], parts[i + 1]), len(rank)))
+            assert (parts[best], parts[best + 1]) in rank, token
+            parts[best:best + 2] = [parts[best] + parts[best + 1]]
+        assert parts == [token]
+
+
 def test_other_vocabularies_go_through_the_library():
     data = open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()
     encoder, whole = wordbpe.WordEncoder(data), Tokenizer.from_buffer(data)

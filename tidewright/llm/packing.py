@@ -72,7 +72,8 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, length: int = LENGTH
          most_open: int = OPEN, most_pieces: int = 1_000_000) -> DataFrame:
     """Pieces with their ids (little-endian unsigned 32-bit) and where each is packed.
 
-    A worker holds the ids of at most about ``most_pieces`` words; fewer cost time, not memory.
+    A worker holds the ids of at most about ``most_pieces`` words that are not plain; fewer cost time,
+    not memory.
     """
     data = file_bytes(vocabulary)
 

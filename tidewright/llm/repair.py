@@ -53,24 +53,25 @@ def _frequent(a: np.ndarray, b: np.ndarray, salt: int | None) -> tuple[np.ndarra
         _, cell, count = np.unique(key, return_inverse=True, return_counts=True)
     else:
         mix = a * np.uint32(0x9E3779B1 + 2 * salt & 0xFFFFFFFF)
-        mix ^= b * np.uint32(0x85EBCA77) * np.uint32(0xC2B2AE3D)
+        mix ^= b * np.uint32(0x85EBCA77 * 0xC2B2AE3D & 0xFFFFFFFF)
         bits = min(HASH_BITS, len(a).bit_length())
-        cell = mix >> np.uint32(32 - bits)
+        mix >>= np.uint32(32 - bits)
+        cell = mix.astype(np.intp)
         count = np.bincount(cell, minlength=1 << bits)
-    many = np.flatnonzero(count >= max(LEAST, int(count.max(initial=0)) // 32))
+    taken = count >= max(LEAST, int(count.max(initial=0)) // 32)
+    many = np.flatnonzero(taken)
     many = many[np.argsort(-count[many], kind="stable")]
-    rank = np.full(len(count), len(many), np.int32)
+    rank = np.empty(len(count), np.int32)
     rank[many] = np.arange(len(many), dtype=np.int32)
-    here = rank[cell]
-    at = np.flatnonzero(here < len(many))
-    here = here[at]
+    at = np.flatnonzero(taken.take(cell))
+    here = rank.take(cell.take(at))
     sample = np.zeros(len(many), np.int64)
     sample[here] = at  # one occurrence speaks for its cell
     pair_a, pair_b = a[sample], b[sample]
     if salt is not None:
-        same = (a[at] == pair_a[here]) & (b[at] == pair_b[here])
+        same = (a.take(at) == pair_a.take(here)) & (b.take(at) == pair_b.take(here))
         at, here = at[same], here[same]
-    return at, here, pair_a, pair_b, count[cell] >= LEAST
+    return at, here, pair_a, pair_b, (count >= LEAST).take(cell)
 
 
 def grammar(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
