@@ -170,6 +170,21 @@ def test_components_of_odd_rows(spark):
     assert kept.columns == odd.docs(spark).columns
 
 
+def test_queries_of_near_duplicates_are_short(spark, monkeypatch):
+    """The driver plans a query anew after each exchange and holds it, so long ones take its memory."""
+    exchanges = []
+
+    def noted(frame):
+        exchanges.append(frame._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return frame
+
+    held, possible = jaccard.written, jaccard.possible
+    monkeypatch.setattr(jaccard, "written", lambda frame, name: held(noted(frame), name))
+    monkeypatch.setattr(jaccard, "possible", lambda *a: noted(possible(*a)))
+    noted(jaccard.one_of_each(spark.read.parquet(f"{SF}/documents.parquet")))
+    assert len(exchanges) > 5 and max(exchanges) <= 12, exchanges
+
+
 def test_one_prefix_for_many_sets(spark, monkeypatch):
     """Sets that agree in size and prefix and not elsewhere are one group of several classes."""
     draw = random.Random(4)

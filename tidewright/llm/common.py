@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import written
+
 #: The white space that contracts name: blank and U+0009 to U+000D. Fixed values.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -75,13 +77,14 @@ def one_row_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the ``doc_id`` and ``digest`` (``raw_digest``) of ``chosen``.
 
     Where rows agree in both, one of them is returned; they can differ in other columns only.
-    The second shuffle that needs is made only where such rows exist. All columns stay.
+    The second shuffle that needs is made only where such rows exist. All columns stay. ``chosen`` is
+    written, so that the queries on ``docs`` are short and it is worked out once.
     """
     names = docs.columns
     wrapped = docs.select(F.struct(*[docs[f"`{n}`"] for n in names]).alias("row"))
     wrapped = wrapped.select("row", F.col("row.doc_id").alias("doc_id"),
                              raw_digest(F.col("row.text")).alias("digest"))
-    picked = chosen.select(F.col("doc_id").alias("c_id"), F.col("digest").alias("c_digest"))
+    picked = written(chosen.select(F.col("doc_id").alias("c_id"), F.col("digest").alias("c_digest")), "chosen")
     rows = wrapped.join(picked, F.col("doc_id").eqNullSafe(F.col("c_id"))
                         & (F.col("digest") == F.col("c_digest")), "left_semi")
     twice = rows.groupBy("doc_id", "digest").count().where("count > 1").limit(1)

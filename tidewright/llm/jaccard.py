@@ -323,7 +323,11 @@ def to_earliest(entries: DataFrame) -> DataFrame:
 
 
 def across(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes of one list in different components, as far as bounds allow them."""
+    """Pairs of classes of one list in different components, as far as bounds allow them.
+
+    What the bounds leave is written: read as one query, the entries would stand in it six times, and
+    the driver holds and plans such a query anew after each of its exchanges.
+    """
     found = labels.select(F.col("node").alias("l_node"), "label")
     rows = entries.join(found, F.col("node") == F.col("l_node"), "left").select(
         "s", "node", "n", "reach", F.coalesce("label", "node").alias("part"))
@@ -334,17 +338,20 @@ def across(entries: DataFrame, labels: DataFrame) -> DataFrame:
     ).where("parts > 1").select("t_s", F.col("top.part").alias("top"))
     parts = parts.join(tops, F.col("s") == F.col("t_s"))
     main = F.col("part") == F.col("top")
-    bounds = parts.groupBy("s").agg(
+    bounds = written(parts.groupBy(F.col("s").alias("b_s")).agg(
         F.first("top").alias("top"),
         F.min(F.when(main, F.col("n"))).alias("top_n"), F.max(F.when(main, F.col("reach"))).alias("top_reach"),
-        F.min(F.when(~main, F.col("n"))).alias("rest_n"), F.max(F.when(~main, F.col("reach"))).alias("rest_reach"))
-    rows = rows.join(bounds.withColumnRenamed("s", "b_s"), F.col("s") == F.col("b_s"))
-    rest = rows.where("part <> top").where(
-        "(reach >= 3 * top_n AND top_reach >= 3 * n) OR (reach >= 3 * rest_n AND rest_reach >= 3 * n)")
-    others = rows.where("reach >= 3 * rest_n AND rest_reach >= 3 * n").select(
+        F.min(F.when(~main, F.col("n"))).alias("rest_n"), F.max(F.when(~main, F.col("reach"))).alias("rest_reach")),
+        "join-parts")
+    meets_top, meets_rest = (f"(reach >= 3 * {x}_n AND {x}_reach >= 3 * n)" for x in ("top", "rest"))
+    rows = rows.join(bounds, F.col("s") == F.col("b_s")).select(
+        "s", "node", "n", "reach", "part", main.alias("main"), F.expr(meets_rest).alias("other"),
+        F.expr(f"part <> top AND ({meets_top} OR {meets_rest})").alias("rest"))
+    rows = written(rows.where("rest OR other"), "join-apart")
+    rest = rows.where("rest").select("s", "node", "n", "reach", "part")
+    others = rows.where("other").select(
         F.col("s").alias("o_s"), F.col("node").alias("o_node"), F.col("n").alias("o_n"),
-        F.col("reach").alias("o_reach"), F.col("part").alias("o_part"),
-        (F.col("part") == F.col("top")).alias("o_top"))
+        F.col("reach").alias("o_reach"), F.col("part").alias("o_part"), F.col("main").alias("o_top"))
     pairs = rest.join(others, (F.col("s") == F.col("o_s")) & (F.col("part") != F.col("o_part"))
                       & (F.col("o_top") | (F.col("node") < F.col("o_node"))) & F.expr(_ALLOWED))
     return pairs.select(*_ordered("node", "o_node")).distinct()
@@ -356,8 +363,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     rows = written(classify(docs, shingle_counts(docs)), "join-classes")
-    classes = rows.where("node IS NOT NULL").groupBy("node", "n").agg(
-        F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"))
+    classes = written(rows.where("node IS NOT NULL").groupBy("node", "n").agg(
+        F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature")), "join-nodes")
     entries = lists(rows)
     near = verified(to_earliest(entries), docs, classes)
     links = near.union(verified(across(entries, components(near)), docs, classes))
@@ -379,7 +386,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The row with a component's smallest doc_id, with all columns of ``docs``."""
     found = near_duplicates(docs).where("doc_id <=> component_id")
-    alone = found.where("part IS NULL").select("doc_id", "digest")
-    chosen = found.where("part IS NOT NULL").groupBy("part", "doc_id").agg(
-        F.min("digest").alias("digest")).select("doc_id", "digest").unionByName(alone)
+    alone = F.expr("if(part IS NULL, digest, NULL)")  # no component: each text stays
+    chosen = found.groupBy("part", "doc_id", alone.alias("alone")).agg(F.min("digest").alias("digest"))
     return one_row_each(docs, chosen.select("doc_id", F.lower(F.hex("digest")).alias("digest")))
